@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Characters and words that price pages put around numbers.
-NBSP = " "
+NBSP = "\u00a0"
 WIDE_SPACE = "　"
 WIDE_COMMA = "，"
 WIDE_DIGITS = "０１２３４５６７８９"
@@ -17,14 +17,14 @@ UNITS = "円|株|％|%"
 OKU_UNIT = "億円?"
 CHO_UNIT = "兆"
 
-PHP_BLANKS = " \t\n\r\0\x0b"
+BLANKS = " \t\n\r\0\x0b"
 _NUMERIC = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 _PREFIX = r"^\s*([+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?)"
 
 
 def trim(s: Column) -> Column:
     """Strip ASCII blanks and control blanks from both ends."""
-    return F.btrim(s, F.lit(PHP_BLANKS))
+    return F.btrim(s, F.lit(BLANKS))
 
 
 def finite(x: Column) -> Column:
