@@ -114,7 +114,8 @@ def composite_score() -> Column:
         - 0.20 * F.col("breakout_down") / 10.0
         - 0.15 * F.col("gap_retrace") / 10.0
     )
-    return F.when(F.col("bars") >= 30, F.round(clamp(5.0 + 5.0 * raw, 0.0, 10.0)).cast("int"))
+    # The inner rounding lifts sums such as 2.4999999999999996 to the half they stand for.
+    return F.when(F.col("bars") >= 30, F.round(F.round(clamp(5.0 + 5.0 * raw, 0.0, 10.0), 14)).cast("int"))
 
 
 def style_label(labels: dict[str, str] | None = None) -> Column:
