@@ -264,8 +264,8 @@ scored AS (
 final AS (
   SELECT *,
     CAST(round(round(least(10, greatest(0, 5 + 5 * (
-      0.35 * (0.5 * sign(close_slope_10) + 0.3 * sign(close_slope_22) + 0.2 * sign(close_slope_45))
-      + 0.10 * 0.5 * sign(volume_slope_10) + 0.20 * low_vol_score / 10 + 0.15 * breakout_up / 10
+      0.35 * (0.5 * sign(round(close_slope_10, 9)) + 0.3 * sign(round(close_slope_22, 9)) + 0.2 * sign(round(close_slope_45, 9)))
+      + 0.10 * 0.5 * sign(round(volume_slope_10, 9)) + 0.20 * low_vol_score / 10 + 0.15 * breakout_up / 10
       + 0.10 * (0.7 * least(1, greatest(-1, (rsi_14 - 50) / 20)) + 0.3 * tanh(80 * macd / close))
       - 0.20 * breakout_down / 10 - 0.15 * gap_retrace / 10))), 14)) AS INTEGER) AS composite,
     CASE WHEN beta IS NULL OR corr IS NULL OR rel_vol IS NULL OR resid_vol IS NULL OR beta_up IS NULL OR beta_down IS NULL

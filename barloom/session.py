@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", name: str = "barloom", partitions: int | None = None) -> SparkSession:
@@ -40,3 +40,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="barloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialised(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a result to the shared folder and read it back: used several times, computed once.
+
+    Unlike a cache it survives lost executors and cuts the lineage.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
