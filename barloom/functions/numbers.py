@@ -100,9 +100,10 @@ def plain_number(x: Column) -> Column:
     """Whole numbers without a point, others with at most six decimals and no trailing zeros."""
     whole = F.abs(x - F.round(x)) < 1e-7
     fixed = F.format_string("%.6f", x)
-    return F.when(whole, F.round(x).try_cast("bigint").cast("string")).otherwise(
+    shown = F.when(whole, F.round(x).try_cast("bigint").cast("string")).otherwise(
         F.rtrim(F.regexp_replace(fixed, r"0+$", ""), F.lit("."))
     )
+    return F.when(x.isNotNull(), shown)
 
 
 def per_display(s: Column) -> Column:

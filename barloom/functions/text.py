@@ -8,13 +8,14 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .numbers import NBSP, trim
 
 _ENTITY = re.compile(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def html_unescape(s: pd.Series) -> pd.Series:
     """Decode character references; texts without an ampersand pass through untouched."""
     hit = s.str.contains("&", regex=False).fillna(False).astype(bool)
