@@ -1,2 +1,196 @@
-QUERIES = {}
-ORACLES = {}
+"""Snapshot lists, target-day selection, classification and keyword jobs."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import text, titles
+from ..operators import listings as L
+from ..plans import snapshot as S
+from ..sources import adapters
+from .common import SQL_BARS_SUPPLIER, r6, rounded
+
+DAY = "2001-06-15"
+WORDS = ("license", "error", "ouvi", "sch", "tion", "eau", "ing")
+WATCH = ("click", "SIGNUP", "none")
+
+
+def _snapshot(spark, d):
+    return rounded(S.snapshot(adapters.bars_supplier(spark, d), F.lit(DAY)).drop("sort"))
+
+
+def _counts(spark, d):
+    return S.snapshot_counts(adapters.bars_supplier(spark, d), F.lit(DAY))
+
+
+def _listing(spark, d):
+    """Events as five listings, newest first; every 97th row is dated a day late."""
+    e = adapters.table(spark, d, "events")
+    late = F.when(F.col("event_id") % 97 == 0, 1).otherwise(0)
+    return e.select(
+        F.col("event_type").alias("listing"), "event_id", "user_id", "props",
+        F.date_sub(F.col("ts").cast("date"), late).alias("day"),
+        (-F.col("event_id")).alias("pos"),
+    )
+
+
+def _target(spark, d):
+    rows = _listing(spark, d)
+    target = rows.agg(F.date_sub(F.max("day"), 1)).scalar()
+    return L.target_day(rows, F.col("day"), target, ["pos"], ["listing"]).select("listing", "event_id", "day")
+
+
+def _target_one(spark, d):
+    """One listing of everything, started only when its own newest day is the run date."""
+    rows = _listing(spark, d)
+    newest = rows.agg(F.max("day")).scalar()
+    got = L.target_day(rows, F.col("day"), newest, ["pos"])
+    return L.gated(got, newest, F.to_date(F.lit("2024-01-30"))).select("listing", "event_id", "day")
+
+
+def _watch(spark, d):
+    return L.watched(_listing(spark, d), list(WATCH), "listing").select("event_id", "listing")
+
+
+def _watch_table(spark, d):
+    codes = adapters.table(spark, d, "nation").select(F.lower(F.concat(F.lit("brand#"), F.col("n_nationkey"))).alias("code"))
+    part = adapters.table(spark, d, "part").filter("p_size < 10")
+    return L.watched(part, codes.filter("length(code) = 7"), "p_brand").select("p_partkey", "p_brand")
+
+
+def _documents(spark, d):
+    return adapters.table(spark, d, "documents")
+
+
+def _classed(spark, d):
+    return _documents(spark, d).select("doc_id", titles.first_keyword(F.col("text"), WORDS).alias("class"))
+
+
+def _keyword_counts(spark, d):
+    return L.keyword_counts(_classed(spark, d), keywords=WORDS)
+
+
+_HIT_WORDS = ("license", "l i c e n s e d", "open  source", "")
+
+
+def _hits(spark, d):
+    """Documents that mention a keyword, one per (source, length) link."""
+    docs = _documents(spark, d).select(
+        "doc_id", F.col("text").alias("title"),
+        F.when(F.col("doc_id") % 10 == 3, "").otherwise(F.concat_ws("/", "source", (F.col("n_chars") % 50).cast("string"))).alias("url"),
+    )
+    return docs
+
+
+def _keyword_hits(spark, d):
+    return L.keyword_hits(_hits(spark, d), _HIT_WORDS, ["doc_id"]).select("url", "doc_id")
+
+
+def _title_split(spark, d):
+    split = titles.company_and_body(F.col("text"))
+    return _documents(spark, d).select(
+        "doc_id", F.md5(split["company"]).alias("company"), F.length(split["company"]).alias("n_company"),
+        F.md5(split["body"]).alias("body"), F.length(split["body"]).alias("n_body"),
+    )
+
+
+def _union_two(spark, d):
+    """Day and week gainers as two labelled lists of different width."""
+    m = S.day_metrics(adapters.bars_supplier(spark, d), F.lit(DAY))
+    up = L.top_in_order(m.filter("diff_pct IS NOT NULL").withColumn("g", F.lit(1)), L.TOP_NIGHT, ["g"], [F.desc("diff_pct"), F.col("code")])
+    base = L.top_in_order(m.filter("base_7d IS NOT NULL").withColumn("g", F.lit(1)), L.TOP_NIGHT, ["g"], [F.desc("base_7d"), F.col("code")])
+    return rounded(L.labelled_union({"up": up.select("code", "rank", "price", "diff_pct"), "base": base.select("code", "rank", "base_7d")}))
+
+
+def _links(spark, d):
+    p = adapters.table(spark, d, "pages")
+    title = F.regexp_extract("html", "<h1>([^<]*)</h1>", 1)
+    return p.select("page_id", text.hyperlink_cell(F.when(F.col("page_id") % 4 != 0, F.col("url")), F.when(F.col("page_id") % 3 == 0, "").otherwise(title), F.concat(F.lit('say "'), F.col("url"), F.lit('"'))).alias("cell"))
+
+
+QUERIES = {
+    "snapshot_lists": _snapshot,
+    "snapshot_counts": _counts,
+    "target_day_scan": _target,
+    "target_day_single": _target_one,
+    "watch_list": _watch,
+    "watch_list_table": _watch_table,
+    "keyword_class": _classed,
+    "keyword_counts": _keyword_counts,
+    "keyword_hits": _keyword_hits,
+    "title_split": _title_split,
+    "labelled_union": _union_two,
+    "hyperlink_cells": _links,
+}
+
+_METRICS = f"""
+m0 AS (
+  SELECT code, max(close) FILTER (asof_date = DATE '{DAY}') AS price, max(volume) FILTER (asof_date = DATE '{DAY}') AS volume,
+    arg_max(close, asof_date) FILTER (asof_date < DATE '{DAY}') AS prev,
+    max(close) FILTER (asof_date < DATE '{DAY}' AND asof_date >= DATE '{DAY}' - 364) AS high_52w,
+    min(close) FILTER (asof_date < DATE '{DAY}' AND asof_date >= DATE '{DAY}' - 364) AS low_52w,
+    max(close) FILTER (asof_date < DATE '{DAY}' AND asof_date >= date_trunc('year', DATE '{DAY}')) AS high_ytd,
+    min(close) FILTER (asof_date < DATE '{DAY}' AND asof_date >= date_trunc('year', DATE '{DAY}')) AS low_ytd,
+    arg_max(close, asof_date) FILTER (asof_date < date_trunc('week', DATE '{DAY}')) AS base_week,
+    arg_max(close, asof_date) FILTER (asof_date < date_trunc('month', DATE '{DAY}')) AS base_month,
+    arg_max(close, asof_date) FILTER (asof_date < date_trunc('year', DATE '{DAY}')) AS base_year,
+    arg_max(close, asof_date) FILTER (asof_date <= DATE '{DAY}' - 7) AS base_7d,
+    arg_max(close, asof_date) FILTER (asof_date <= DATE '{DAY}' - INTERVAL 1 MONTH) AS base_1m,
+    arg_max(close, asof_date) FILTER (asof_date <= DATE '{DAY}' - INTERVAL 1 YEAR) AS base_1y
+  FROM src GROUP BY code),
+m AS (SELECT *, price - prev AS diff, (price / nullif(prev, 0) - 1) * 100 AS diff_pct FROM m0 WHERE price IS NOT NULL)"""
+
+
+def _entries_sql() -> str:
+    """One statement per list, under each other."""
+    parts = []
+    for k, x in enumerate(S.LISTS, 1):
+        rank = f"CAST(row_number() OVER (ORDER BY {x.sort} {'DESC' if x.falling else ''}, code) AS INTEGER)" if x.top else "CAST(NULL AS INTEGER)"
+        parts.append(
+            f"SELECT {k} AS list_rank, '{x.name}' AS list, {rank} AS rank, code, price, {x.diff} AS diff, {x.diff_pct} AS diff_pct, "
+            f"{x.amount} AS amount FROM m WHERE {x.condition}"
+        )
+    return " UNION ALL ".join(parts)
+
+
+_LISTING = """listing AS (SELECT event_type AS listing, event_id, user_id, props,
+  CAST(ts AS DATE) - CASE WHEN event_id % 97 = 0 THEN 1 ELSE 0 END AS day, -event_id AS pos FROM events)"""
+
+ORACLES = {
+    "snapshot_lists": f"""WITH {SQL_BARS_SUPPLIER}, src AS (SELECT * FROM bars_supplier), {_METRICS}, e AS ({_entries_sql()})
+SELECT list_rank, list, rank, code, {r6('price', 'price')}, {r6('diff', 'diff')}, {r6('diff_pct', 'diff_pct')}, {r6('amount', 'amount')}
+FROM e WHERE rank IS NULL OR rank <= 20""",
+    "snapshot_counts": f"""WITH {SQL_BARS_SUPPLIER}, src AS (SELECT * FROM bars_supplier), {_METRICS}, e AS ({_entries_sql()})
+SELECT list_rank, list, count(*) AS codes FROM e WHERE list_rank BETWEEN 5 AND 8 GROUP BY 1, 2""",
+    "target_day_scan": f"""WITH {_LISTING}, t AS (SELECT max(day) - 1 AS target FROM listing),
+stops AS (SELECT listing, min(pos) AS stop FROM listing, t WHERE day < target GROUP BY listing)
+SELECT l.listing, event_id, day FROM listing l JOIN t ON day = target LEFT JOIN stops s ON s.listing = l.listing WHERE stop IS NULL OR pos < stop""",
+    "target_day_single": f"""WITH {_LISTING}, t AS (SELECT max(day) AS target FROM listing),
+stops AS (SELECT min(pos) AS stop FROM listing, t WHERE day < target)
+SELECT listing, event_id, day FROM listing, t, stops WHERE day = target AND target = DATE '2024-01-30' AND (stop IS NULL OR pos < stop)""",
+    "watch_list": "SELECT event_id, event_type AS listing FROM events WHERE upper(event_type) IN ('CLICK', 'SIGNUP', 'NONE')",
+    "watch_list_table": """SELECT p_partkey, p_brand FROM part WHERE p_size < 10
+  AND upper(p_brand) IN (SELECT upper('brand#' || n_nationkey) FROM nation WHERE n_nationkey < 10)""",
+    "keyword_class": "SELECT doc_id, CASE " + " ".join(f"WHEN contains(text, '{w}') THEN '{w}'" for w in WORDS) + " ELSE 'ー' END AS class FROM documents",
+    "keyword_counts": "WITH c AS (SELECT CASE " + " ".join(f"WHEN contains(text, '{w}') THEN {k}" for k, w in enumerate(WORDS, 1))
+    + f" ELSE {len(WORDS) + 1} END AS position FROM documents) SELECT CAST(position AS INTEGER) AS position, "
+    + f"[{', '.join(repr(w) for w in (*WORDS, 'その他'))}][position] AS label, count(*) AS count FROM c GROUP BY position",
+    "title_split": "WITH s AS (SELECT doc_id, text, CASE "
+    + " ".join(f"WHEN contains(text, '{s}') THEN '{s}'" for s in titles.SEPARATORS)
+    + """ END AS sep FROM documents),
+p AS (SELECT doc_id, CASE WHEN sep IS NULL THEN '' ELSE trim(substr(text, 1, instr(text, sep) - 1), chr(32) || chr(9) || chr(10) || chr(13) || chr(11)) END AS company,
+  CASE WHEN sep IS NULL THEN text ELSE trim(substr(text, instr(text, sep) + length(sep)), chr(32) || chr(9) || chr(10) || chr(13) || chr(11)) END AS body FROM s)
+SELECT doc_id, md5(company) AS company, CAST(length(company) AS INTEGER) AS n_company, md5(body) AS body, CAST(length(body) AS INTEGER) AS n_body FROM p""",
+    "labelled_union": f"""WITH {SQL_BARS_SUPPLIER}, src AS (SELECT * FROM bars_supplier), {_METRICS},
+u AS (SELECT 'up' AS list, 1 AS list_rank, code, CAST(row_number() OVER (ORDER BY diff_pct DESC, code) AS INTEGER) AS rank, price, diff_pct, CAST(NULL AS DOUBLE) AS base_7d FROM m WHERE diff_pct IS NOT NULL
+  UNION ALL SELECT 'base', 2, code, CAST(row_number() OVER (ORDER BY base_7d DESC, code) AS INTEGER), NULL, NULL, base_7d FROM m WHERE base_7d IS NOT NULL)
+SELECT list, list_rank, code, rank, {r6('price', 'price')}, {r6('diff_pct', 'diff_pct')}, {r6('base_7d', 'base_7d')} FROM u WHERE rank <= 30""",
+    "hyperlink_cells": """WITH p AS (SELECT page_id, CASE WHEN page_id % 4 <> 0 THEN url END AS u, url,
+  CASE WHEN page_id % 3 = 0 THEN '' ELSE regexp_extract(html, '<h1>([^<]*)</h1>', 1) END AS t FROM pages),
+q AS (SELECT page_id, u, CASE WHEN t = '' THEN 'say "' || url || '"' ELSE t END AS t FROM p)
+SELECT page_id, CASE WHEN u IS NULL THEN t ELSE '=HYPERLINK("' || replace(u, '"', '""') || '","' || replace(t, '"', '""') || '")' END AS cell FROM q""",
+    "keyword_hits": """WITH h AS (SELECT doc_id, source || '/' || (n_chars % 50) AS url,
+  regexp_replace(text, '[\\s\\x0B\\x{85}\\pZ]+', '', 'g') AS bare FROM documents WHERE doc_id % 10 <> 3)
+SELECT url, min(doc_id) AS doc_id FROM h
+WHERE contains(bare, 'license') OR contains(bare, 'opensource') OR contains(bare, 'licensed') GROUP BY url""",
+}
