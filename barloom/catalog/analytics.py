@@ -8,6 +8,7 @@ from ..operators import bars as B
 from ..operators import integrity, series
 from ..operators.market import INDEX_CODE
 from ..plans import analysis
+from ..session import materialised
 from ..sources import adapters
 from .common import (
     SQL_BARS_BRAND, SQL_BARS_MIXED, SQL_BARS_SHORT, SQL_BARS_SUPPLIER, SQL_BASE, SQL_CODES, bars_mixed, base_info_of,
@@ -19,6 +20,14 @@ SPANS = series.SPANS
 PRICED = ("close", "volume")
 
 
+SMA = [f"{c}_sma_{s}" for c in PRICED for s in SPANS]
+STD = [f"range_std_{s}" for s in SPANS]
+DEV = [f"{c}_dev_{s}" for c in PRICED for s in SPANS]
+MARKET = ["beta", "corr", "rel_vol", "resid_vol", "beta_up", "beta_down", "up_capture", "down_capture"]
+EXTREMES = [f"{k}_{n}" for k in ("rise", "fall") for n in SPANS[:3]]
+SLOPES = [f"{c}_slope_{s}" for c in PRICED for s in SPANS]
+
+
 def _sliced(spark, d):
     return series.with_steps(B.slice_positions(B.repair_nulls(bars_mixed(spark, d))))
 
@@ -34,17 +43,24 @@ def _panel(*cols: str, steps=(), digits=6):
 
 
 def _per_code(*cols: str, align: str = "position"):
-    """Some columns of the report; the optimizer drops the windows and aggregates behind the others."""
+    """Some columns of the report; the optimizer drops the windows and aggregates behind the others.
+
+    Bars that feed both the slices and the index are written once, like the price table they stand for.
+    """
+    needs_index = bool({*MARKET, "style"} & {*cols})
 
     def run(spark, d):
         bars = bars_mixed(spark, d)
+        if not needs_index:
+            return rounded(analysis.metrics(bars).select("code", *cols))
+        bars = materialised(bars, "bars")
         return rounded(analysis.metrics(bars, index_of(bars), align).select("code", *cols))
 
     return run
 
 
 def _wide(spark, d):
-    bars = bars_mixed(spark, d)
+    bars = materialised(bars_mixed(spark, d), "bars")
     out = analysis.analyse(codes_of(spark, d), bars, index_of(bars), RUN_DATE, base_info_of(spark, d))
     return rounded(out)
 
@@ -58,7 +74,7 @@ def _latest_change(spark, d):
 
 
 def _supplier_metrics(spark, d):
-    bars = adapters.bars_supplier(spark, d)
+    bars = materialised(adapters.bars_supplier(spark, d), "bars")
     return rounded(analysis.metrics(bars, index_of(bars)).drop("bars"))
 
 
@@ -70,13 +86,6 @@ def _bars_daily(spark, d):
     return adapters.bars_brand(spark, d)
 
 
-SMA = [f"{c}_sma_{s}" for c in PRICED for s in SPANS]
-STD = [f"range_std_{s}" for s in SPANS]
-DEV = [f"{c}_dev_{s}" for c in PRICED for s in SPANS]
-MARKET = ["beta", "corr", "rel_vol", "resid_vol", "beta_up", "beta_down", "up_capture", "down_capture"]
-EXTREMES = [f"{k}_{n}" for k in ("rise", "fall") for n in SPANS[:3]]
-SLOPES = [f"{c}_slope_{s}" for c in PRICED for s in SPANS]
-
 _PER_CODE = {
     "slope_panel": SLOPES,
     "sma_slope": [f"{c}_sma_slope_{s}" for c in PRICED for s in SPANS],

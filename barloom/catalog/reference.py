@@ -132,7 +132,7 @@ SELECT k AS c_custkey, CASE WHEN c IN (6, 7) THEN bal END AS float_or_null,
     "date_normalise": """WITH t AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, o_orderkey % 5 AS c, make_timestamp(2002, month(o_orderdate), day(o_orderdate), 8, 15, 0) AS g
   FROM orders WHERE NOT (month(o_orderdate) = 2 AND day(o_orderdate) = 29)
   UNION ALL SELECT o_orderkey, CAST(o_orderdate AS DATE), o_orderkey % 5, NULL FROM orders WHERE month(o_orderdate) = 2 AND day(o_orderdate) = 29)
-SELECT o_orderkey, CASE WHEN c < 3 THEN d WHEN c = 3 THEN d + 1 END AS any_date, d AS inside,
+SELECT o_orderkey, CASE WHEN c < 2 THEN d WHEN c = 2 THEN CAST('20' || strftime(d, '%y-%m-%d') AS DATE) WHEN c = 3 THEN d + 1 END AS any_date, d AS inside,
   strftime(CASE WHEN g > TIMESTAMP '2002-01-04 12:00:30' THEN g - INTERVAL 1 YEAR ELSE g END, '%Y-%m-%d %H:%M:%S') AS inferred,
   strftime(d, '%Y-%m-%d') || ' 12:00:30' AS at_clock, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS key,
   CASE WHEN c = 0 AND strftime(d, '%Y-%-m-%-d') = strftime(d, '%Y-%m-%d') THEN CAST(sign(d - DATE '1997-06-15') AS INTEGER) END AS cmp,

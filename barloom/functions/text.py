@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType
 
 from .numbers import NBSP, trim
 
+_SEP = "\x01"
 _ENTITY = re.compile(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
 
 
@@ -53,9 +54,19 @@ def clean_text(s: Column) -> Column:
     return _decoded(strip_tags(s))
 
 
+def clean_many(parts: list[Column]) -> Column:
+    """Several texts decoded and squeezed by one call of the decoder, as an array in the same order."""
+    joined = F.concat_ws(_SEP, *[F.translate(F.coalesce(p, F.lit("")), _SEP, "") for p in parts])
+    return F.transform(F.split(_decoded(joined), _SEP), trim)
+
+
+def without_span_tags(s: Column) -> Column:
+    return F.regexp_replace(s, "<span[^>]*>|</span>", "")
+
+
 def drop_span_tags(s: Column) -> Column:
     """Remove span tags, keep what they enclose."""
-    return _decoded(F.regexp_replace(s, "<span[^>]*>|</span>", ""))
+    return _decoded(without_span_tags(s))
 
 
 def drop_spans(s: Column) -> Column:

@@ -8,15 +8,15 @@ shuffle: a source with a third of all pages is just more rows.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import any_date
 from ..functions.numbers import ascii_digits, first_int, strict_number, trim
-from ..functions.text import absolute_link, cell_text, clean_text, squeeze, squeeze_ascii, strip_tags
-from ..functions.titles import holding_title
+from ..functions.text import absolute_link, cell_text, clean_many, squeeze, squeeze_ascii, strip_tags
+from ..functions.titles import holding_parts
 
 ANY = r"[\s\S]*?"
 
@@ -49,7 +49,10 @@ def at(cells: Column, k: int) -> Column:
 class Rule:
     """``scope`` patterns narrow the page one after the other (group 1 of the first match, or with
     ``every_scope`` of every match of the first pattern); ``block`` is the repeated part.
-    ``cells`` cuts each block into the array ``_td`` once, for all columns made from cells.
+    ``cells`` cuts each block into the array ``_td`` once, for all columns made from cells. ``texts``
+    are columns that still need tags removed and references decoded, done for all of them together.
+    ``keep`` filters before that decoding, so that it runs once and only on rows that stay; it
+    sees a text as ``_raw_<name>``.
     """
 
     name: str
@@ -61,6 +64,8 @@ class Rule:
     keep: str = "true"
     first_block_only: bool = False
     cells: str | None = None
+    cells_group: int = 1
+    texts: dict[str, Callable[[Column], Column]] = field(default_factory=dict)
 
 
 def extract(pages: DataFrame, rule: Rule, html: str = "html") -> DataFrame:
@@ -88,10 +93,19 @@ def _blocks(text: Column, rule: Rule) -> Column:
 
 def _columns(cut: DataFrame, others: list[str], rule: Rule) -> DataFrame:
     if rule.cells:
-        cut = cut.withColumn("_td", every(F.col("_block"), rule.cells))
+        cut = cut.withColumn("_td", every(F.col("_block"), rule.cells, rule.cells_group))
     block = F.col("_block")
-    out = cut.select(*others, "row", *[make(block).alias(name) for name, make in rule.columns.items()])
-    return out.filter(rule.keep)
+    made = {name: make(block) for name, make in rule.columns.items()}
+    out = cut.select(*others, "row", *[c.alias(n) for n, c in made.items()], *_raw_texts(rule, block)).filter(rule.keep)
+    if rule.texts:
+        done = clean_many([F.col(f"_raw_{n}") for n in rule.texts])
+        out = out.select(*others, "row", *made, done.alias("_texts"))
+        out = out.select(*others, "row", *made, *[at(F.col("_texts"), k).alias(n) for k, n in enumerate(rule.texts)])
+    return out
+
+
+def _raw_texts(rule: Rule, block: Column) -> list[Column]:
+    return [trim(strip_tags(make(block))).alias(f"_raw_{n}") for n, make in rule.texts.items()]
 
 
 def _narrow(s: Column, patterns: tuple[str, ...]) -> Column:
@@ -230,56 +244,58 @@ MORNING_LIST = _paged_list(
 )
 
 
-def _notice_link(row: Column, group: int) -> Column:
-    link = r"<a[^>]*href=[\"']([^\"']+)[\"'][^>]*>([\s\S]*?)</a>"
-    main = rf'(?i)<td[^>]*class="[^"]*\btal\b[^"]*\bwsnormal\b[^"]*"[^>]*>[\s\S]*?{link}[\s\S]*?</td>'
-    return F.when(row.rlike(main), F.regexp_extract(row, main, group)).otherwise(
-        F.regexp_extract(row, "(?i)" + link, group)
-    )
+_CELL_CLASS = r'(?i)^<td[^>]*\bclass="([^"]*)"'
 
 
-_TAC = r'(?i)<td[^>]*class="[^"]*\btac\b[^"]*"[^>]*>([\s\S]*?)</td>'
+def _cells_of(test: Callable[[Column], Column]) -> Column:
+    """Whole cells of a row whose class passes the test."""
+    return F.filter(F.col("_td"), lambda c: test(F.lower(F.regexp_extract(c, _CELL_CLASS, 1))))
 
 
-def _notice_code(row: Column) -> Column:
-    cell = r'(?i)<td[^>]*class="[^"]*\btac\b[^"]*"[^>]*>[\s\S]*?<a[^>]*>([\s\S]*?)</a>[\s\S]*?</td>'
-    return F.upper(clean_text(first(row, cell)))
+def _centred(cls: Column) -> Column:
+    return cls.rlike(r"\btac\b")
 
 
-def _notice_kinds(row: Column) -> Column:
-    """Texts of left-aligned cells that are not the title, joined; the first usable one is picked later."""
-    cell = r'(?i)<td[^>]*class="([^"]*)"[^>]*>[\s\S]*?</td>'
-    whole, classes = every(row, cell, 0), every(row, cell, 1)
-    left = F.filter(
-        F.arrays_zip(whole.alias("w"), classes.alias("c")),
-        lambda z: F.lower(z["c"]).contains("tal") & ~F.lower(z["c"]).contains("wsnormal"),
-    )
-    return F.array_join(F.transform(left, lambda z: strip_tags(z["w"])), "\x01")
+def _title_cell(row: Column, group: int) -> Column:
+    """Link of the title cell, of the whole row when no such cell has one."""
+    link = r"(?i)<a\b[^>]*href=[\"']([^\"']+)[\"'][^>]*>([\s\S]*?)</a>"
+    cells = F.filter(_cells_of(lambda c: c.rlike(r"\btal\b.*\bwsnormal\b")), lambda c: c.rlike(link))
+    return F.regexp_extract(F.coalesce(F.get(cells, F.lit(0)), row), link, group)
 
 
+def _kind_cells() -> Column:
+    """Texts of left-aligned cells other than the title's; the first usable one is picked later."""
+    cells = _cells_of(lambda c: c.contains("tal") & ~c.contains("wsnormal"))
+    return F.array_join(F.transform(cells, strip_tags), _KIND_MARK)
+
+
+_KIND_MARK = "\x02"
+
 DISCLOSURES = Rule(
     "disclosures",
     TR,
-    {
-        "code": _notice_code,
-        "company": lambda row: clean_text(first(row, r'(?i)<th[^>]*class="[^"]*\btal\b[^"]*"[^>]*>([\s\S]*?)</th>')),
-        "market": lambda row: clean_text(at(every(row, _TAC), 1)),
-        "_kinds": lambda row: clean_text(_notice_kinds(row)),
-        "title": lambda row: clean_text(_notice_link(row, 2)),
-        "title_url": lambda row: _notice_link(row, 1),
-        "datetime_str": lambda row: clean_text(first(row, TIME_TEXT)),
-        "_head": lambda row: row.rlike("scope=[\"']col[\"']"),
-    },
+    {"title_url": lambda row: _title_cell(row, 1)},
     (NOTICE_TABLE, TBODY),
-    keep="NOT _head AND code <> ''",
+    keep="_raw_code <> ''",
+    cells=r"(?i)<td\b[^>]*>[\s\S]*?</td>",
+    cells_group=0,
+    texts={
+        "code": lambda row: first(F.array_join(_cells_of(_centred), ""), ANCHOR),
+        "company": lambda row: first(row, r'(?i)<th[^>]*class="[^"]*\btal\b[^"]*"[^>]*>([\s\S]*?)</th>'),
+        "market": lambda row: at(_cells_of(_centred), 1),
+        "_kinds": lambda row: _kind_cells(),
+        "title": lambda row: _title_cell(row, 2),
+        "datetime_str": lambda row: first(row, TIME_TEXT),
+    },
 )
 
 
 def disclosure_rows(pages: DataFrame) -> DataFrame:
-    rows = extract(pages, DISCLOSURES)
-    kinds = F.transform(F.split("_kinds", "\x01"), lambda t: squeeze(t))
+    """Rows of announcement tables; heading rows have no linked code and drop out with it."""
+    rows = extract(pages, DISCLOSURES).withColumn("code", F.upper("code"))
+    kinds = F.transform(F.split("_kinds", _KIND_MARK), squeeze)
     usable = F.filter(kinds, lambda t: (t != "") & (t != F.col("market")) & (t != F.col("code")))
-    return rows.withColumn("kind", F.coalesce(F.get(usable, F.lit(0)), F.lit(""))).drop("_kinds", "_head")
+    return rows.withColumn("kind", F.coalesce(F.get(usable, F.lit(0)), F.lit(""))).drop("_kinds")
 
 
 EARNINGS = Rule(
@@ -288,10 +304,10 @@ EARNINGS = Rule(
     {
         "iso": lambda row: first(row, TIME_ATTRIBUTE),
         "code": lambda row: first(row, r'(?i)<td[^>]*\bdata-code="([A-Za-z0-9]+)"'),
-        "title": lambda row: clean_text(first(row, ANCHOR)),
     },
     block_group=0,
     keep="iso <> ''",
+    texts={"title": lambda row: first(row, ANCHOR)},
 )
 
 HOLDING_BLOCK = (
@@ -303,20 +319,36 @@ HOLDING_BLOCK = (
 def holdings_rule(base_url: str) -> Rule:
     """Large-holding headlines taken apart; ``base_url`` precedes the page's own links."""
     heading = r"(?i)<h4\s+class=[\"']title[\"']>([\s\S]*?)</h4>"
+    link = r"(?i)<a\s+[^>]*href=[\"']([^\"']+)[\"'][^>]*>([\s\S]*?)</a>"
+    flag = r"(?i)<span\s+class=[\"']diffflag[^\"']*[\"'][^>]*>(.*?)</span>"
+
+    def url(block: Column) -> Column:
+        href = first(first(block, heading), link)
+        return F.when(href != "", F.concat(F.lit(base_url), href)).otherwise("")
+
+    def title(block: Column) -> Column:
+        head = first(block, heading)
+        return F.when(head.rlike(link), first(head, link, 2)).otherwise(head)
+
     return Rule(
         "holdings",
         HOLDING_BLOCK,
-        {
-            "date": lambda b: clean_text(first(b, r"(?i)<div\s+class=[\"']date[\"']>(.*?)</div>")),
-            "parts": lambda b: holding_title(first(b, heading), base_url),
-        },
+        {"url": url},
         block_group=0,
+        texts={
+            "date": lambda b: first(b, r"(?i)<div\s+class=[\"']date[\"']>(.*?)</div>"),
+            "title": title,
+            "flag": lambda b: first(first(b, heading), flag),
+        },
     )
 
 
 def holding_rows(pages: DataFrame, base_url: str) -> DataFrame:
+    """One row per headline: date, category, reporter, target, code, url, content, title."""
     rows = extract(pages, holdings_rule(base_url))
-    return rows.select(*[c for c in rows.columns if c != "parts"], "parts.*")
+    parts = holding_parts(F.col("title"), F.col("flag"), F.col("url"))
+    others = [c for c in rows.columns if c not in ("url", "title", "flag")]
+    return rows.select(*others, parts.alias("parts")).select(*others, "parts.*")
 
 
 def _time_of(block: Column) -> Column:
@@ -329,11 +361,10 @@ def news_rule(
     """News of one source: block, link and title patterns; without ``timed`` the run's time is used."""
     columns: dict[str, Callable[[Column], Column]] = {
         "time_text": _time_of if timed else (lambda b: F.lit("")),
-        "title": lambda b: clean_text(first(b, title)),
         "url": lambda b: absolute_link(first(b, link), prefix),
     }
-    keep = "url <> '' AND title <> ''" + (" AND time_text <> ''" if timed else "")
-    return Rule(name, block, columns, block_group=block_group, keep=keep)
+    keep = "url <> '' AND _raw_title <> ''" + (" AND time_text <> ''" if timed else "")
+    return Rule(name, block, columns, block_group=block_group, keep=keep, texts={"title": lambda b: first(b, title)})
 
 
 def news_items_rule(name: str, item: str, date_class: str, title_class: str, prefix: str, in_anchor: bool) -> Rule:

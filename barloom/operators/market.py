@@ -37,7 +37,7 @@ def daily_mean_index(bars: DataFrame, code: str = INDEX_CODE) -> DataFrame:
     return bars.groupBy("asof_date").agg(F.avg("close").alias("close")).select(F.lit(code).alias("code"), "*")
 
 
-def with_index_returns(sliced: DataFrame, index: DataFrame, align: str = "position") -> DataFrame:
+def with_index_returns(sliced: DataFrame, index: DataFrame | None, align: str = "position") -> DataFrame:
     """Add ``stock_return`` and ``market_return``, NULL outside the newest 90 aligned pairs.
 
     ``align="position"`` pairs bar k of one series with bar k of the other, counted from the oldest
@@ -46,6 +46,9 @@ def with_index_returns(sliced: DataFrame, index: DataFrame, align: str = "positi
 
     The index holds at most 200 rows by construction, which is what makes the broadcast safe.
     """
+    if index is None:
+        missing = F.lit(None).cast("double")
+        return sliced.withColumns({"stock_return": missing, "market_return": missing})
     if align == "position":
         return _by_position(sliced, index)
     if align == "date":

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numbers as N
-from ..functions.text import clean_text, drop_span_tags
+from ..functions.text import clean_many, strip_tags, without_span_tags
 from .dedupe import last_wins
 from .extract import at, every, first
 
@@ -82,7 +82,7 @@ def _cells_of_row(block: Column, row: int) -> Column:
 
 
 def _labelled_cell(table: Column, label: str) -> Column:
-    return clean_text(first(table, rf"(?i)<th[^>]*>{label}</th>\s*<td[^>]*>([\s\S]*?)</td>"))
+    return first(table, rf"(?i)<th[^>]*>{label}</th>\s*<td[^>]*>([\s\S]*?)</td>")
 
 
 def basic_info(pages: DataFrame, run_date: str) -> DataFrame:
@@ -106,42 +106,58 @@ def basic_info(pages: DataFrame, run_date: str) -> DataFrame:
     ratios = _cells_of_row(first(F.col("_ratios"), _BODY), 0)
     credit_row = at(every(F.col("_credit"), _ROW), 0)
     credit = every(credit_row, _CELL)
-    ratio_margin = N.drop_units(drop_span_tags(at(ratios, 3)))
-
-    def units(c: Column) -> Column:
-        return N.drop_units(clean_text(c))
-
-    fields = {
-        "short_name": N.trim(F.regexp_replace(drop_span_tags(F.col("_name")), r"^\d{4}\s*", "")),
-        "name": clean_text(F.col("_company")),
-        "industry": _labelled_cell(F.col("_table"), INDUSTRY_LABEL),
-        "summary": _labelled_cell(F.col("_table"), SUMMARY_LABEL),
-        "market_cap": N.trim(F.regexp_replace(drop_span_tags(first(F.col("_ratios"), _CAP)), "億円", "")),
-        "listing_class": clean_text(F.col("_market")),
-        "sales": clean_text(at(F.col("_results"), 0)),
-        "ordinary_profit": clean_text(at(F.col("_results"), 1)),
-        "net_income": clean_text(at(F.col("_results"), 2)),
-        "per": N.trim(F.regexp_replace(drop_span_tags(at(ratios, 0)), N.TIMES_UNIT, "")),
-        "pbr": N.trim(F.regexp_replace(drop_span_tags(at(ratios, 1)), N.TIMES_UNIT, "")),
-        "yield": N.drop_units(drop_span_tags(at(ratios, 2))),
-        "close": units(F.col("_close")),
-        "diff": clean_text(at(F.col("_changes"), 0)),
-        "change_pct": units(at(F.col("_changes"), 1)),
-        "volume": units(at(_cells_of_row(first(F.col("_left"), _BODY), 0), 0)),
-        "margin_date": F.regexp_replace(clean_text(first(credit_row, r"(?i)<th[^>]*>([\s\S]*?)</th>")), r"[^\d./-]", ""),
-        "margin_short": units(at(credit, 0)),
-        "margin_long": units(at(credit, 1)),
-        "margin_ratio": F.coalesce(F.nullif(ratio_margin, F.lit("")), units(at(credit, 2))),
+    raw = {
+        "short_name": without_span_tags(F.col("_name")),
+        "name": strip_tags(F.col("_company")),
+        "industry": strip_tags(_labelled_cell(F.col("_table"), INDUSTRY_LABEL)),
+        "summary": strip_tags(_labelled_cell(F.col("_table"), SUMMARY_LABEL)),
+        "market_cap": without_span_tags(first(F.col("_ratios"), _CAP)),
+        "listing_class": strip_tags(F.col("_market")),
+        "sales": strip_tags(at(F.col("_results"), 0)),
+        "ordinary_profit": strip_tags(at(F.col("_results"), 1)),
+        "net_income": strip_tags(at(F.col("_results"), 2)),
+        "per": without_span_tags(at(ratios, 0)),
+        "pbr": without_span_tags(at(ratios, 1)),
+        "yield": without_span_tags(at(ratios, 2)),
+        "close": strip_tags(F.col("_close")),
+        "diff": strip_tags(at(F.col("_changes"), 0)),
+        "change_pct": strip_tags(at(F.col("_changes"), 1)),
+        "volume": strip_tags(at(_cells_of_row(first(F.col("_left"), _BODY), 0), 0)),
+        "margin_date": strip_tags(first(credit_row, r"(?i)<th[^>]*>([\s\S]*?)</th>")),
+        "margin_short": strip_tags(at(credit, 0)),
+        "margin_long": strip_tags(at(credit, 1)),
+        "margin_ratio": strip_tags(at(credit, 2)),
+        "_ratio_margin": without_span_tags(at(ratios, 3)),
+    }
+    read = _decoded_columns(cut, ["code", "_ok"], raw)
+    no_unit = {c: N.drop_units(F.col(c)) for c in ("yield", "close", "change_pct", "volume", "margin_short", "margin_long")}
+    freed = {
+        **no_unit,
+        "short_name": N.trim(F.regexp_replace("short_name", r"^\d{4}\s*", "")),
+        "market_cap": N.trim(F.regexp_replace("market_cap", "億円", "")),
+        "per": N.trim(F.regexp_replace("per", N.TIMES_UNIT, "")),
+        "pbr": N.trim(F.regexp_replace("pbr", N.TIMES_UNIT, "")),
+        "margin_date": F.regexp_replace("margin_date", r"[^\d./-]", ""),
+        "margin_ratio": F.coalesce(
+            F.nullif(N.drop_units(F.col("_ratio_margin")), F.lit("")), N.drop_units(F.col("margin_ratio"))
+        ),
     }
-    result = F.when(F.col("_ok"), RESULT_OK).otherwise(RESULT_BASIC_FAILED)
-    return cut.select(
+    names = [n for n in raw if not n.startswith("_")]
+    return read.select(
         "code",
         F.lit(run_date).alias("run_date"),
-        result.alias("result"),
-        *[F.when(F.col("_ok"), c).otherwise("").alias(n) for n, c in fields.items()],
+        F.when(F.col("_ok"), RESULT_OK).otherwise(RESULT_BASIC_FAILED).alias("result"),
+        *[F.when(F.col("_ok"), freed.get(n, F.col(n))).otherwise("").alias(n) for n in names],
     )
 
 
+def _decoded_columns(cut: DataFrame, keep: list[str], raw: dict[str, Column]) -> DataFrame:
+    """Raw texts as columns, decoded together."""
+    staged = cut.select(*keep, *[c.alias(f"_raw{n}") for n, c in raw.items()])
+    staged = staged.select(*keep, clean_many([F.col(f"_raw{n}") for n in raw]).alias("_texts"))
+    return staged.select(*keep, *[at(F.col("_texts"), k).alias(n) for k, n in enumerate(raw)])
+
+
 def basic_info_numbers(info: DataFrame) -> DataFrame:
     """Report formats: one decimal, market value in 10^8, dashes where a ratio has no meaning."""
     c = F.col
@@ -180,8 +196,8 @@ SCORE_LABELS = {
 
 def _own_text(cell: Column) -> Column:
     """Text directly inside a cell, not inside its links; all of its text when there is none of its own."""
-    own = clean_text(F.regexp_replace(cell, r"<(\w+)[^>]*>[\s\S]*?</\1>", ""))
-    return F.coalesce(F.nullif(own, F.lit("")), clean_text(cell))
+    own = strip_tags(F.regexp_replace(cell, r"<(\w+)[^>]*>[\s\S]*?</\1>", ""))
+    return F.when(own.rlike(r"(?U)[^\s]"), own).otherwise(strip_tags(cell))
 
 
 def _by_label(block: Column, label: str) -> Column:
@@ -206,14 +222,14 @@ def handbook(pages: DataFrame, run_date: str) -> DataFrame:
     info, chart = every(F.col("_info"), _ANY_DD), every(F.col("_chart"), _ANY_DD)
     two, six = F.size(info) >= 2, F.size(chart) >= 6
     fields = {
-        "planned_date": clean_text(F.col("_planned")),
+        "planned_date": strip_tags(F.col("_planned")),
         "feature": _own_text(F.when(two, at(info, 0)).otherwise(_by_label(F.col("_info"), FEATURE_LABEL))),
         "business": _own_text(F.when(two, at(info, 1)).otherwise(_by_label(F.col("_info"), BUSINESS_LABEL))),
-        "score": clean_text(F.col("_score")),
+        "score": strip_tags(F.col("_score")),
     }
     for k, (name, label) in enumerate(SCORE_LABELS.items()):
-        fields[name] = clean_text(F.when(six, at(chart, k)).otherwise(_by_label(F.col("_chart"), label)))
-    read = cut.select("code", "market_class", *[c.alias(n) for n, c in fields.items()])
+        fields[name] = strip_tags(F.when(six, at(chart, k)).otherwise(_by_label(F.col("_chart"), label)))
+    read = _decoded_columns(cut, ["code", "market_class"], fields)
     skipped = ~F.trim("market_class").isin(*TARGET_MARKETS)
     result = (
         F.when(skipped, RESULT_SKIPPED).when(all_blank(*fields), RESULT_HANDBOOK_FAILED).otherwise(RESULT_OK)

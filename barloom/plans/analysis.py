@@ -137,12 +137,15 @@ def _metric_aggregates() -> dict[str, Column]:
 
 def metrics(
     bars: DataFrame,
-    index: DataFrame,
+    index: DataFrame | None = None,
     align: str = "position",
     labels: dict[str, str] | None = None,
     min_bars: int = MIN_BARS,
 ) -> DataFrame:
-    """One row per code with at least ``min_bars`` bars: code, bars and every metric."""
+    """One row per code with at least ``min_bars`` bars: code, bars and every metric.
+
+    Without an ``index`` the market columns are NULL and the style is the last label.
+    """
     rows = market.with_index_returns(metric_series(bars).filter(F.col("n") >= min_bars), index, align)
     grouped = rows.groupBy("code").agg(*[a.alias(k) for k, a in _metric_aggregates().items()])
     return with_scores(grouped, labels)
@@ -165,7 +168,7 @@ def with_scores(grouped: DataFrame, labels: dict[str, str] | None = None) -> Dat
 def analyse(
     codes: DataFrame,
     bars: DataFrame,
-    index: DataFrame,
+    index: DataFrame | None,
     run_date: str,
     base_info: DataFrame | None = None,
     align: str = "position",

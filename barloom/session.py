@@ -17,6 +17,8 @@ def local_session(cores: str = "8", name: str = "barloom", partitions: int | Non
         .appName(name)
         .config("spark.sql.shuffle.partitions", n)
         .config("spark.sql.adaptive.enabled", "true")
+        # Small local data: keep all cores busy instead of merging partitions up to 1 MB.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
