@@ -196,12 +196,12 @@ def _holdings(spark, d):
 
 _NEWS_RULES = (
     X.news_rule(
-        "cards", r"(?i)<div class=\"card\"[^>]*>([\s\S]*?)</div>", r'(?i)<a[^>]*data-testid="Title"[^>]*href="([^"]+)"',
-        r'(?i)<h3[^>]*data-testid="Heading"[^>]*>([\s\S]*?)</h3>', SITE,
+        "cards", r"(?is)<div class=\"card\"[^>]*>(.*?)</div>", r'(?is)<a[^>]*data-testid="Title"[^>]*href="([^"]+)"',
+        r'(?is)<h3[^>]*data-testid="Heading"[^>]*>(.*?)</h3>', SITE,
     ),
-    X.news_rule("heads", r'(?i)<h3 class="item[^"]*"[^>]*>[\s\S]*?</h3>', X.HREF, X.ANCHOR, SITE, timed=False, block_group=0),
+    X.news_rule("heads", r'(?is)<h3 class="item[^"]*"[^>]*>.*?</h3>', X.HREF, X.ANCHOR, SITE, timed=False, block_group=0),
     X.news_items_rule("items", X.tag("li", "newsList__item"), "newsList__date", "newsList__title", SITE, in_anchor=False),
-    X.news_items_rule("notes", r"(?i)<a\b[^>]*>[\s\S]*?</a>", "news-list-date", "news-list-title", SITE, in_anchor=True),
+    X.news_items_rule("notes", r"(?is)<a\b[^>]*>.*?</a>", "news-list-date", "news-list-title", SITE, in_anchor=True),
 )
 
 

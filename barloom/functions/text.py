@@ -71,7 +71,7 @@ def drop_span_tags(s: Column) -> Column:
 
 def drop_spans(s: Column) -> Column:
     """Remove spans together with what they enclose."""
-    return _decoded(F.regexp_replace(s, r"(?i)<span[^>]*>[\s\S]*?</span>", ""))
+    return _decoded(F.regexp_replace(s, r"(?is)<span[^>]*>.*?</span>", ""))
 
 
 def no_blanks(s: Column) -> Column:

@@ -57,23 +57,23 @@ def all_blank(*cols: str) -> Column:
 
 # Ids, class names and labels of the stock information page.
 _ID_MARK = 'id="stockinfo_i1"'
-_SHORT_NAME = r'(?i)<div id="stockinfo_i1"[\s\S]*?<h2>([\s\S]*?)</h2>'
-_MARKET = r'(?i)<span class="market">([\s\S]*?)</span>'
-_CLOSE = r'(?i)<div class="si_i1_2">[\s\S]*?<span class="kabuka">([\s\S]*?)</span>'
-_CHANGES = r'(?i)<dl class="si_i1_dl1">([\s\S]*?)</dl>'
-_RATIOS = r'(?i)<div id="stockinfo_i3">([\s\S]*?)</div>'
-_CAP = r'(?i)class="v_zika2">([\s\S]*?)</td>'
-_COMPANY = r'(?i)<div id="kobetsu_right"[\s\S]*?<div class="company_block">[\s\S]*?'
-_RESULTS = r'(?i)<div id="kobetsu_right"[\s\S]*?<div class="gyouseki_block">[\s\S]*?<tbody>([\s\S]*?)</tbody>'
-_LEFT = r'(?i)<div id="kobetsu_left">([\s\S]*?)</div>'
+_SHORT_NAME = r'(?is)<div id="stockinfo_i1".*?<h2>(.*?)</h2>'
+_MARKET = r'(?is)<span class="market">(.*?)</span>'
+_CLOSE = r'(?is)<div class="si_i1_2">.*?<span class="kabuka">(.*?)</span>'
+_CHANGES = r'(?is)<dl class="si_i1_dl1">(.*?)</dl>'
+_RATIOS = (r'(?is)<div id="stockinfo_i3">(.*?)</div><!--stockinfo_i3-->', r'(?is)<div id="stockinfo_i3">(.*?)</div>')
+_CAP = r'(?is)class="v_zika2">(.*?)</td>'
+_COMPANY = r'(?is)<div id="kobetsu_right".*?<div class="company_block">.*?'
+_RESULTS = r'(?is)<div id="kobetsu_right".*?<div class="gyouseki_block">.*?<tbody>(.*?)</tbody>'
+_LEFT = r'(?is)<div id="kobetsu_left">(.*?)</div>'
 _CREDIT = (
-    r'(?i)<div id="kobetsu_left"[\s\S]*?<h2[^>]*>\s*信用取引[\s\S]*?</h2>[\s\S]*?<table[^>]*>([\s\S]*?)</table>'
+    r'(?is)<div id="kobetsu_left".*?<h2[^>]*>\s*信用取引.*?</h2>.*?<table[^>]*>(.*?)</table>'
 )
-_TABLE = r"(?i)<table[\s\S]*?</table>"
-_ROW = r"(?i)<tr[^>]*>([\s\S]*?)</tr>"
-_CELL = r"(?i)<td[^>]*>([\s\S]*?)</td>"
-_DD = r"(?i)<dd>([\s\S]*?)</dd>"
-_BODY = r"(?i)<tbody>([\s\S]*?)</tbody>"
+_TABLE = r"(?is)<table.*?</table>"
+_ROW = r"(?is)<tr[^>]*>(.*?)</tr>"
+_CELL = r"(?is)<td[^>]*>(.*?)</td>"
+_DD = r"(?is)<dd>(.*?)</dd>"
+_BODY = r"(?is)<tbody>(.*?)</tbody>"
 INDUSTRY_LABEL, SUMMARY_LABEL = "業種", "概要"
 
 
@@ -82,7 +82,7 @@ def _cells_of_row(block: Column, row: int) -> Column:
 
 
 def _labelled_cell(table: Column, label: str) -> Column:
-    return first(table, rf"(?i)<th[^>]*>{label}</th>\s*<td[^>]*>([\s\S]*?)</td>")
+    return first(table, rf"(?is)<th[^>]*>{label}</th>\s*<td[^>]*>(.*?)</td>")
 
 
 def basic_info(pages: DataFrame, run_date: str) -> DataFrame:
@@ -95,9 +95,9 @@ def basic_info(pages: DataFrame, run_date: str) -> DataFrame:
         "_market": first(html, _MARKET),
         "_close": first(html, _CLOSE),
         "_changes": every(first(html, _CHANGES), _DD),
-        "_ratios": first(html, _RATIOS),
-        "_company": first(html, _COMPANY + r"<h3>([\s\S]*?)</h3>"),
-        "_table": first(html, _COMPANY + r"<table[^>]*>([\s\S]*?)</table>"),
+        "_ratios": F.coalesce(*[F.nullif(first(html, p), F.lit("")) for p in _RATIOS], F.lit("")),
+        "_company": first(html, _COMPANY + r"<h3>(.*?)</h3>"),
+        "_table": first(html, _COMPANY + r"<table[^>]*>(.*?)</table>"),
         "_results": _cells_of_row(first(html, _RESULTS), 1),
         "_left": at(every(first(html, _LEFT), _TABLE, 0), 1),
         "_credit": first(first(html, _CREDIT), _BODY),
@@ -123,7 +123,7 @@ def basic_info(pages: DataFrame, run_date: str) -> DataFrame:
         "diff": strip_tags(at(F.col("_changes"), 0)),
         "change_pct": strip_tags(at(F.col("_changes"), 1)),
         "volume": strip_tags(at(_cells_of_row(first(F.col("_left"), _BODY), 0), 0)),
-        "margin_date": strip_tags(first(credit_row, r"(?i)<th[^>]*>([\s\S]*?)</th>")),
+        "margin_date": strip_tags(first(credit_row, r"(?is)<th[^>]*>(.*?)</th>")),
         "margin_short": strip_tags(at(credit, 0)),
         "margin_long": strip_tags(at(credit, 1)),
         "margin_ratio": strip_tags(at(credit, 2)),
@@ -177,16 +177,16 @@ def basic_info_numbers(info: DataFrame) -> DataFrame:
 
 # Class names and labels of the handbook page.
 _PLANNED = (
-    r'(?i)<div[^>]*class="[^"]*planned-disclosure-date[^"]*"[^>]*>[\s\S]*?'
-    r'<span[^>]*class="[^"]*date[^"]*"[^>]*>([\s\S]*?)</span>'
+    r'(?is)<div[^>]*class="[^"]*planned-disclosure-date[^"]*"[^>]*>.*?'
+    r'<span[^>]*class="[^"]*date[^"]*"[^>]*>(.*?)</span>'
 )
-_INFO_LIST = r'(?i)<dl[^>]*class="[^"]*information__list[^"]*"[^>]*>([\s\S]*?)</dl>'
+_INFO_LIST = r'(?is)<dl[^>]*class="[^"]*information__list[^"]*"[^>]*>(.*?)</dl>'
 _SCORE_HEAD = (
-    r'(?i)<div[^>]*class="[^"]*score__head[^"]*"[^>]*>[\s\S]*?<span[^>]*class="[^"]*num[^"]*"[^>]*>([\s\S]*?)</span>'
+    r'(?is)<div[^>]*class="[^"]*score__head[^"]*"[^>]*>.*?<span[^>]*class="[^"]*num[^"]*"[^>]*>(.*?)</span>'
 )
-_SCORE_CHART = r'(?i)<div[^>]*class="[^"]*score__chart-wrapper__main[^"]*"[^>]*>([\s\S]*)'
-_ANY_DD = r"(?i)<dd[^>]*>([\s\S]*?)</dd>"
-_LABELLED = r"(?i)<dt[^>]*>([\s\S]*?)</dt>\s*<dd[^>]*>([\s\S]*?)</dd>"
+_SCORE_CHART = r'(?is)<div[^>]*class="[^"]*score__chart-wrapper__main[^"]*"[^>]*>(.*)'
+_ANY_DD = r"(?is)<dd[^>]*>(.*?)</dd>"
+_LABELLED = r"(?is)<dt[^>]*>(.*?)</dt>\s*<dd[^>]*>(.*?)</dd>"
 FEATURE_LABEL, BUSINESS_LABEL = "特色", "連結事業"
 SCORE_LABELS = {
     "growth": "成長性", "profitability": "収益性", "safety": "安全性", "scale": "規模", "cheapness": "割安度",
@@ -196,7 +196,7 @@ SCORE_LABELS = {
 
 def _own_text(cell: Column) -> Column:
     """Text directly inside a cell, not inside its links; all of its text when there is none of its own."""
-    own = strip_tags(F.regexp_replace(cell, r"<(\w+)[^>]*>[\s\S]*?</\1>", ""))
+    own = strip_tags(F.regexp_replace(cell, r"(?s)<(\w+)[^>]*>.*?</\1>", ""))
     return F.when(own.rlike(r"(?U)[^\s]"), own).otherwise(strip_tags(cell))
 
 
