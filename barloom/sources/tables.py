@@ -54,5 +54,5 @@ def first_column(sheet: DataFrame) -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Stored page files, one row per file."""
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
