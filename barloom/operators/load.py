@@ -71,16 +71,19 @@ def duplicate_dates(rows: DataFrame) -> DataFrame:
 
 
 def chosen_rows(actions: DataFrame, incoming: DataFrame, run_date: Column, cap: int = FULL_CAP) -> DataFrame:
-    """Incoming rows each code will load; ``seq`` is the order in which they were read.
+    """Incoming rows each code will load; ``seq`` is the order in which they were read, unique per code.
 
     Full and replacing loads take the first ``cap`` rows of the code, which is how far back such a
     load reaches by definition; a difference load takes the days after the stored ones up to today.
+    The last row within the cap is looked up per code (the rank filter cuts every task's part first)
+    instead of ranking all rows of a code in one task.
     """
     tagged = incoming.join(actions.filter(F.col("action").isin(FULL, REPLACE, DIFF)), "code")
-    whole = tagged.filter(F.col("action") != DIFF)
-    first_read = newest_n(whole.withColumn("_order", -F.col("seq")), cap, order="_order").drop("rd", "_order")
+    whole = tagged.filter(F.col("action") != DIFF).select("code", (-F.col("seq")).alias("_order"))
+    reach = newest_n(whole, cap, order="_order").groupBy("code").agg((-F.min("_order")).alias("_reach"))
     newer = (F.col("asof_date") > F.col("latest")) & (F.col("asof_date") <= run_date.cast("date"))
-    return first_read.unionByName(tagged.filter(F.col("action") == DIFF).filter(newer))
+    taken = F.when(F.col("action") == DIFF, newer).otherwise(F.col("seq") <= F.col("_reach"))
+    return tagged.join(reach, "code", "left").filter(taken).drop("_reach")
 
 
 def plan_load(

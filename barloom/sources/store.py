@@ -18,9 +18,18 @@ PARTS = ["ym", "bucket"]
 COLUMNS = BARS.fieldNames()
 
 
+def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
+    return df.withColumn("bucket", F.pmod(F.xxhash64("code"), F.lit(buckets)).cast("int"))
+
+
 def _placed(df: DataFrame, buckets: int) -> DataFrame:
     month = (F.year("asof_date") * 100 + F.month("asof_date")).cast("int")
-    return df.withColumns({"ym": month, "bucket": F.pmod(F.xxhash64("code"), F.lit(buckets)).cast("int")})
+    return _bucketed(df.withColumn("ym", month), buckets)
+
+
+def _values(df: DataFrame, column: str) -> list[int]:
+    """Partition values on the driver: never more than the table has months or buckets."""
+    return [r[0] for r in df.select(column).distinct().collect()]
 
 
 def _write(df: DataFrame, path: str) -> None:
@@ -61,9 +70,14 @@ def upsert(
     fresh = _placed(rows.select(*COLUMNS), buckets)
     touched = fresh.select(*PARTS)
     if replaced is not None:
-        touched = touched.union(stored.join(replaced.select("code"), "code", "left_semi").select(*PARTS))
-    touched = touched.distinct()
-    current = stored.filter(F.col("code") != "").join(touched, PARTS, "left_semi").select(*COLUMNS, *PARTS)
+        homes = _values(_bucketed(replaced, buckets), "bucket")
+        gone = stored.filter(F.col("bucket").isin(homes)).join(replaced.select("code"), "code", "left_semi")
+        touched = touched.union(gone.select(*PARTS))
+    touched = materialised(touched.distinct(), "touched")
+    # Literal partition values prune the file listing; the broadcast table has one row per partition.
+    near = F.col("ym").isin(_values(touched, "ym")) & F.col("bucket").isin(_values(touched, "bucket"))
+    current = stored.filter(near & (F.col("code") != "")).join(F.broadcast(touched), PARTS, "left_semi")
+    current = current.select(*COLUMNS, *PARTS)
     markers = touched.select(
         F.lit("").alias("code"),
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in BARS.fields[1:]],
