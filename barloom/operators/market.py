@@ -16,9 +16,11 @@ INDEX_CODE = "0010"
 def index_series(bars: DataFrame, code: str = INDEX_CODE) -> DataFrame:
     """(m_i, m_date, m_close, m_prev, m_n) of the index code: never more than 200 rows.
 
-    Empty when the index has too few bars to be used.
+    Empty when the index has too few bars to be used. The sorted limit keeps 200 rows per task, so
+    the index's history is never gathered in one place.
     """
-    index = slice_positions(bars.filter(F.col("code") == code).select("code", "asof_date", "close"), SLICE_BARS)
+    own = bars.filter(F.col("code") == code).select("code", "asof_date", "close")
+    index = slice_positions(own.orderBy(F.desc("asof_date")).limit(SLICE_BARS), SLICE_BARS)
     return (
         index.withColumn("m_prev", F.expr(f"lag(close) OVER ({ASC})"))
         .filter(F.col("n") >= MIN_BARS)

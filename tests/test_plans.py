@@ -42,6 +42,7 @@ def test_metrics_shuffle_once(stored):
 def test_only_the_bounded_index_is_broadcast_by_hint(stored):
     text = plan(analysis.metrics(stored, market.index_series(stored)))
     assert text.count("BroadcastExchange") == 1 and "WindowGroupLimit" in text
+    assert "TakeOrderedAndProject(limit=200" in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
