@@ -1,8 +1,8 @@
 """The registered queries of this subpackage, each with a SQL statement where SQL can say it."""
 
-from . import sharding, topk
+from . import sharding, topk, toxicity
 
-_MODULES = (topk, sharding)
+_MODULES = (topk, toxicity, sharding)
 
 
 def queries() -> dict:
