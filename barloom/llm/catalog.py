@@ -1,8 +1,8 @@
 """The registered queries of this subpackage, each with a SQL statement where SQL can say it."""
 
-from . import sharding, topk, toxicity
+from . import quality, sharding, topk, toxicity, warc
 
-_MODULES = (topk, toxicity, sharding)
+_MODULES = (topk, toxicity, warc, sharding, quality)
 
 
 def queries() -> dict:
