@@ -50,20 +50,21 @@ def _lines(*fields: tuple[str, Column]) -> Column:
 def records(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", revisit_from: int = 0) -> DataFrame:
     """One row per page: ``_id``, ``_url``, ``_payload``, ``_digest``, ``_bytes``, ``_refers`` (null for a response).
 
-    A page whose key is null is written as a response of its own. If one key and payload repeat, every repeated row but the first in the
-    order of the table's rows is a revisit of the key; which one that is does not show in the result. Payloads of fewer than
-    ``revisit_from`` bytes are always responses. Null html is an empty payload. Other columns are not read.
+    A page whose key is null is written as a response of its own. Rows that repeat both key and payload are alike: with the largest key all
+    of them are responses, otherwise all are revisits. Payloads of fewer than ``revisit_from`` bytes are always responses. Null html is an
+    empty payload. Other columns are not read.
     """
     payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
     rows = pages.select(
         F.col(key).cast("long").alias("_key"), F.regexp_replace(F.col(url), r"[\r\n]+", " ").alias("_url"), payload.alias("_payload"),
-        base32_sha1(payload).alias("_digest"), F.octet_length(payload).cast("long").alias("_bytes"), F.monotonically_increasing_id().alias("_row"),
+        base32_sha1(payload).alias("_digest"), F.octet_length(payload).cast("long").alias("_bytes"),
     )
     takes_part = F.col("_key").isNotNull() & (F.col("_bytes") >= revisit_from)
-    top = rows.where(takes_part).groupBy("_digest").agg(F.max(F.struct("_key", (-F.col("_row")).alias("row"))).alias("_top"), F.count(F.lit(1)).alias("_copies"))
+    # Maxima combine in every task before the shuffle; digests of one row need no join.
+    top = rows.where(takes_part).groupBy("_digest").agg(F.max("_key").alias("_top"), F.count(F.lit(1)).alias("_copies"))
     found = rows.join(top.where("_copies > 1").select("_digest", "_top"), "_digest", "left")
-    is_response = ~takes_part | F.col("_top").isNull() | (F.col("_row") == -F.col("_top.row"))
-    return found.select(F.col("_key").cast("string").alias("_id"), "_url", "_payload", "_digest", "_bytes", F.when(~is_response, F.col("_top._key")).cast("string").alias("_refers"))
+    refers = F.when(takes_part & (F.col("_key") < F.col("_top")), F.col("_top"))
+    return found.select(F.col("_key").cast("string").alias("_id"), "_url", "_payload", "_digest", "_bytes", refers.cast("string").alias("_refers"))
 
 
 def chunk_rows(found: DataFrame, chunk_bytes: int) -> DataFrame:

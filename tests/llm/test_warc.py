@@ -39,11 +39,11 @@ def test_round_trip_of_hard_payloads(spark):
             if got[i][2] == "response":
                 assert b"".join(parts[i][k] for k in sorted(parts[i])) == raw
         kinds = {i: got[i][2] for i in got}
-        assert kinds[15] == "response" and kinds[2] == "revisit" and kinds[1] == "response" and kinds[0] == "revisit"
+        assert kinds[16] == "response" and kinds[2] == kinds[15] == "revisit" and kinds[1] == "response" and kinds[0] == "revisit"
 
 
 def test_repeated_rows_and_threshold(spark):
     rows = [(5, "u", "same", "", 0), (5, "u", "same", "", 0), (4, "u", "same", "", 0), (9, "u", "ab", "", 0), (8, "u", "ab", "", 0)]
     found = warc.records(pages(spark, rows), revisit_from=3).collect()
-    assert sorted((r._id, r._refers or "") for r in found) == [("4", "5"), ("5", ""), ("5", "5"), ("8", ""), ("9", "")]
+    assert sorted((r._id, r._refers or "") for r in found) == [("4", "5"), ("5", ""), ("5", ""), ("8", ""), ("9", "")]
     assert warc.records(pages(spark, [])).collect() == []
