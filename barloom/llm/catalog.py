@@ -1,8 +1,8 @@
 """The registered queries of this subpackage, each with a SQL statement where SQL can say it."""
 
-from . import brown, extraction, quality, sharding, simhash, topk, toxicity, warc
+from . import brown, decontamination, extraction, packing, quality, sharding, simhash, topk, toxicity, warc
 
-_MODULES = (topk, toxicity, warc, sharding, quality, simhash, extraction, brown)
+_MODULES = (topk, toxicity, warc, sharding, quality, decontamination, packing, simhash, extraction, brown)
 
 
 def queries() -> dict:

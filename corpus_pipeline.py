@@ -1,12 +1,56 @@
-"""The corpus pipeline, from raw documents to packed batches."""
+"""The corpus pipeline, from raw documents to packed batches.
+
+Every stage takes the rows that the stage before kept and writes a table in the shared folder, so a lost executor costs at most one stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from barloom.llm import common, decontamination, packing, quality, simhash, toxicity
+
+#: Documents with a toxicity of at least, or a quality below, these go.
+TOXIC_FROM, QUALITY_FROM = 0.5, 0.3
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxic documents go."""
+    model = toxicity.train(docs, common.table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, name="_toxicity").where(F.col("_toxicity") < TOXIC_FROM).drop("_toxicity")
+
+
+def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of low quality go."""
+    model = quality.train(docs, common.table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, name="_quality").where(F.col("_quality") >= QUALITY_FROM).drop("_quality")
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near-duplicates the document with the smallest id stays, once if it repeats; rows without an id stay."""
+    found = simhash.near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    kept = docs.join(found, "doc_id", "left_semi").withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
+    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark passage go."""
+    return decontamination.clean(docs, decontamination.fit(docs, common.table(spark, sf_dir, "benchmark")))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Batches of documents of similar length."""
+    return packing.pack(docs)
 
-from barloom.llm import common
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", without_toxic),
+    ("quality", of_quality),
+    ("near_duplicates", one_of_each),
+    ("decontamination", without_benchmark),
+    ("packing", packed),
+]
+#: Fitted models have no SQL form; the pipeline is tested stage by stage against plain versions.
 ORACLE_SQL = None
 
 
