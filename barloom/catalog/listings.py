@@ -54,8 +54,7 @@ def _watch(spark, d):
 
 def _watch_table(spark, d):
     codes = adapters.table(spark, d, "nation").select(F.lower(F.concat(F.lit("brand#"), F.col("n_nationkey"))).alias("code"))
-    part = adapters.table(spark, d, "part").filter("p_size < 10")
-    return L.watched(part, codes.filter("length(code) = 7"), "p_brand").select("p_partkey", "p_brand")
+    return L.watched(adapters.table(spark, d, "part"), codes, "p_brand").select("p_partkey", "p_brand")
 
 
 def _documents(spark, d):
@@ -160,8 +159,11 @@ ORACLES = {
     "snapshot_lists": f"""WITH {SQL_BARS_SUPPLIER}, src AS (SELECT * FROM bars_supplier), {_METRICS}, e AS ({_entries_sql()})
 SELECT list_rank, list, rank, code, {r6('price', 'price')}, {r6('diff', 'diff')}, {r6('diff_pct', 'diff_pct')}, {r6('amount', 'amount')}
 FROM e WHERE rank IS NULL OR rank <= 20""",
-    "snapshot_counts": f"""WITH {SQL_BARS_SUPPLIER}, src AS (SELECT * FROM bars_supplier), {_METRICS}, e AS ({_entries_sql()})
-SELECT list_rank, list, count(*) AS codes FROM e WHERE list_rank BETWEEN 5 AND 8 GROUP BY 1, 2""",
+    "snapshot_counts": f"""WITH {SQL_BARS_SUPPLIER}, src AS (SELECT * FROM bars_supplier), {_METRICS}
+SELECT 5 AS list_rank, '本日、52週高値更新' AS list, count(*) FILTER (price > high_52w) AS codes FROM m
+UNION ALL SELECT 6, '本日、52週安値更新', count(*) FILTER (price < low_52w) FROM m
+UNION ALL SELECT 7, '本日、年初来高値更新', count(*) FILTER (price > high_ytd) FROM m
+UNION ALL SELECT 8, '本日、年初来安値更新', count(*) FILTER (price < low_ytd) FROM m""",
     "target_day_scan": f"""WITH {_LISTING}, t AS (SELECT max(day) - 1 AS target FROM listing),
 stops AS (SELECT listing, min(pos) AS stop FROM listing, t WHERE day < target GROUP BY listing)
 SELECT l.listing, event_id, day FROM listing l JOIN t ON day = target LEFT JOIN stops s ON s.listing = l.listing WHERE stop IS NULL OR pos < stop""",
@@ -169,8 +171,8 @@ SELECT l.listing, event_id, day FROM listing l JOIN t ON day = target LEFT JOIN
 stops AS (SELECT min(pos) AS stop FROM listing, t WHERE day < target)
 SELECT listing, event_id, day FROM listing, t, stops WHERE day = target AND target = DATE '2024-01-30' AND (stop IS NULL OR pos < stop)""",
     "watch_list": "SELECT event_id, event_type AS listing FROM events WHERE upper(event_type) IN ('CLICK', 'SIGNUP', 'NONE')",
-    "watch_list_table": """SELECT p_partkey, p_brand FROM part WHERE p_size < 10
-  AND upper(p_brand) IN (SELECT upper('brand#' || n_nationkey) FROM nation WHERE n_nationkey < 10)""",
+    "watch_list_table": """SELECT p_partkey, p_brand FROM part
+WHERE upper(p_brand) IN (SELECT upper('brand#' || n_nationkey) FROM nation)""",
     "keyword_class": "SELECT doc_id, CASE " + " ".join(f"WHEN contains(text, '{w}') THEN '{w}'" for w in WORDS) + " ELSE 'ー' END AS class FROM documents",
     "keyword_counts": "WITH c AS (SELECT CASE " + " ".join(f"WHEN contains(text, '{w}') THEN {k}" for k, w in enumerate(WORDS, 1))
     + f" ELSE {len(WORDS) + 1} END AS position FROM documents) SELECT CAST(position AS INTEGER) AS position, "

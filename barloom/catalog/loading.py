@@ -8,6 +8,7 @@ from ..operators import load
 from ..operators.bars import latest_dates, newest_n
 from ..session import materialised, shared_dir
 from ..sources import adapters, store
+from ..streaming import jobs
 from .common import SQL_BARS_BRAND, rounded
 
 TODAY = "2002-01-04"
@@ -37,36 +38,41 @@ def _stored(moved):
     )
 
 
-def _incoming(moved, doubled: bool = False):
-    """Newest ten bars per code in reading order; with ``doubled`` the newest day of case 5 comes twice."""
-    rows = newest_n(moved, 10).withColumn("seq", F.col("rd") - 1)
+def _daily(moved, doubled: bool = False):
+    """Every bar in reading order, newest first; with ``doubled`` the newest day of case 5 comes twice."""
+    rows = moved.withColumn("seq", F.datediff(F.to_date(F.lit(TODAY)), "asof_date"))
     if doubled:
-        again = rows.filter((F.col("s") == 5) & (F.col("rd") == 1)).withColumn("seq", F.lit(99))
+        again = rows.filter((F.col("s") == 5) & (F.col("seq") == 0)).withColumn("seq", F.lit(1_000_000))
         rows = rows.unionByName(again)
     return rows.select("code", "asof_date", "open", "high", "low", "close", "volume", "seq")
 
 
+def _full(moved):
+    """The second feed, read for full and replacing loads; its volumes tell it from the daily one."""
+    return _daily(moved).withColumn("volume", F.col("volume") + 1)
+
+
 def _codes(spark, d):
     return adapters.table(spark, d, "part").select(F.col("p_brand").alias("code")).distinct()
 
 
 def _actions(spark, d):
     moved = _shifted(spark, d)
-    return load.load_actions(_codes(spark, d), _stored(moved), _incoming(moved), F.lit(TODAY))
+    return load.load_actions(_codes(spark, d), _stored(moved), _daily(moved), F.lit(TODAY))
 
 
 def _split(spark, d):
     moved = _shifted(spark, d)
-    return load.split_codes(_stored(moved), _incoming(moved))
+    return load.split_codes(_stored(moved), _daily(moved))
 
 
 def _dup(spark, d):
-    return load.duplicate_dates(_incoming(_shifted(spark, d), doubled=True))
+    return load.duplicate_dates(_daily(_shifted(spark, d), doubled=True))
 
 
-def _plan(spark, d):
-    moved = materialised(_shifted(spark, d), "bars")
-    return moved, *load.plan_load(_codes(spark, d), _stored(moved), _incoming(moved, True), F.lit(TODAY))
+def _plan(spark, d, cap=None):
+    moved = _shifted(spark, d)
+    return moved, *load.plan_load(_codes(spark, d), _stored(moved), _daily(moved, True), _full(moved), F.lit(TODAY), cap)
 
 
 def _status(spark, d):
@@ -74,6 +80,12 @@ def _status(spark, d):
     return status.withColumn("result", load.status_text())
 
 
+def _capped(spark, d):
+    """The same with loads that reach back 280 rows, as the report's page walk did."""
+    _, status, _ = _plan(spark, d, 280)
+    return status.select("code", "action", "latest", "n_rows")
+
+
 def _counts(spark, d):
     return load.status_counts(_status(spark, d))
 
@@ -88,8 +100,25 @@ def _store(spark, d):
     moved = materialised(_shifted(spark, d), "bars")
     path = shared_dir(spark, "prices")
     store.create(_stored(moved), path, buckets=2)
-    status, rows = load.plan_load(_codes(spark, d), store.read(spark, path), _incoming(moved, True), F.lit(TODAY))
-    store.apply_load(spark, path, status, rows, buckets=2)
+    status, rows = load.plan_load(
+        _codes(spark, d), store.read(spark, path), _daily(moved, True), _full(moved), F.lit(TODAY)
+    )
+    store.apply_load(spark, path, status, rows)
+    return rounded(store.read(spark, path).drop("ym"))
+
+
+def _load_stream(spark, d):
+    """The load as a stream: the daily feed comes in three parts, all rows of a code in one file."""
+    moved = materialised(_shifted(spark, d), "bars")
+    path, incoming = shared_dir(spark, "prices"), shared_dir(spark, "incoming")
+    store.create(_stored(moved), path, buckets=2)
+    daily = _daily(moved, True)
+    for k in (2, 0, 1):
+        part = daily.filter(F.pmod(F.xxhash64("code"), F.lit(3)) == k)
+        part.repartition("code").write.mode("append").parquet(incoming)
+    stream = jobs.file_stream(spark, incoming, daily.schema, files_per_batch=2)
+    full = materialised(_full(moved), "full")
+    jobs.bars_to_store(stream, _codes(spark, d), path, shared_dir(spark, "load-ckpt"), F.lit(TODAY), full).awaitTermination()
     return rounded(store.read(spark, path).drop("ym"))
 
 
@@ -127,10 +156,12 @@ QUERIES = {
     "split_detect": _split,
     "dup_dates": _dup,
     "load_status": _status,
+    "load_capped": _capped,
     "load_counts": _counts,
     "upsert_last_wins": _last_wins,
     "load_merged": _merged,
     "store_upsert": _store,
+    "load_stream": _load_stream,
     "row_validation": _validate,
 }
 
@@ -143,8 +174,9 @@ stored AS (
   SELECT code, CASE WHEN s = 2 THEN asof_date + 1 ELSE asof_date END AS asof_date, open, high, low,
          CASE WHEN s = 3 THEN close * 2 ELSE close END AS close, volume
   FROM moved WHERE s <> 0 AND (asof_date < DATE '{TODAY}' OR s IN (1, 2))),
-plain AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY asof_date DESC) - 1 AS seq FROM moved) WHERE seq < 10),
-incoming AS (SELECT * FROM plain UNION ALL SELECT * REPLACE (99 AS seq) FROM plain WHERE s = 5 AND seq = 0),
+plain AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY asof_date DESC) - 1 AS seq FROM moved),
+incoming AS (SELECT * FROM plain UNION ALL SELECT * FROM plain WHERE s = 5 AND seq = 0),
+again AS (SELECT * REPLACE (volume + 1 AS volume) FROM plain),
 latest AS (SELECT code, max(asof_date) AS latest FROM stored GROUP BY code),
 last5 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY asof_date DESC) AS rd FROM stored) WHERE rd <= 5),
 split AS (SELECT l.code FROM last5 l JOIN plain p ON p.code = l.code AND p.asof_date = l.asof_date
@@ -156,7 +188,8 @@ actions AS (
   FROM (SELECT DISTINCT p_brand AS code FROM part) c LEFT JOIN latest l ON l.code = c.code),
 chosen AS (
   SELECT i.*, action FROM incoming i JOIN actions a ON a.code = i.code
-  WHERE action IN ('FULL', 'REPLACE') OR (action = 'DIFF' AND asof_date > latest AND asof_date <= DATE '{TODAY}')),
+  WHERE action = 'DIFF' AND asof_date > latest AND asof_date <= DATE '{TODAY}'
+  UNION ALL SELECT f.*, action FROM again f JOIN actions a ON a.code = f.code WHERE action IN ('FULL', 'REPLACE')),
 doubled AS (SELECT DISTINCT code FROM (SELECT code FROM chosen GROUP BY code, asof_date HAVING count(*) > 1)),
 status AS (
   SELECT a.code, CASE WHEN d.code IS NOT NULL THEN 'ERROR' ELSE action END AS action,
@@ -187,9 +220,13 @@ ORACLES = {
     "split_detect": f"{_SQL} SELECT code, true AS split FROM split",
     "dup_dates": f"{_SQL} SELECT code, asof_date, count(*) AS copies FROM incoming GROUP BY code, asof_date HAVING count(*) > 1",
     "load_status": f"{_SQL} {_STATUS}",
-    "load_counts": f"{_SQL} SELECT action, count(*) AS codes FROM status GROUP BY action",
+    "load_capped": f"""{_SQL} SELECT code, action, latest, CASE WHEN action IN ('FULL', 'REPLACE') THEN least(n_rows, 280) ELSE n_rows END AS n_rows
+FROM status""",
+    "load_counts": f"""{_SQL} SELECT a AS action, (SELECT count(*) FROM status WHERE action = a) AS codes
+FROM (VALUES ('FULL'), ('REPLACE'), ('DIFF'), ('SKIP'), ('ERROR')) v(a)""",
     "load_merged": _bars_out("merged"),
     "store_upsert": _bars_out("merged"),
+    "load_stream": _bars_out("merged"),
     "upsert_last_wins": """SELECT code, asof_date, l_orderkey, l_linenumber, l_extendedprice, l_quantity FROM (
   SELECT p_brand AS code, CAST(l_shipdate AS DATE) AS asof_date, l_orderkey, l_linenumber, l_extendedprice, l_quantity,
          row_number() OVER (PARTITION BY p_brand, CAST(l_shipdate AS DATE)

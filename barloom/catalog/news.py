@@ -75,35 +75,48 @@ def _rejected(spark, d):
     return jobs.rejected(_rows(spark, d)).select("event_id", "reason")
 
 
+def _event_files(spark, d):
+    """All events as files that arrive out of order: the newest days, then the oldest, then the rest. A user's day is in one file."""
+    events = adapters.table(spark, d, "events").select(*EVENTS.fieldNames())
+    path, day = shared_dir(spark, "event-files"), F.dayofmonth("ts")
+    for part in (F.coalesce(day > 20, F.lit(True)), day <= 10, (day > 10) & (day <= 20)):
+        events.filter(part).repartition("user_id", F.to_date("ts")).write.mode("append").parquet(path)
+    return jobs.file_stream(spark, path, EVENTS, files_per_batch=2)
+
+
 def _table_stream(spark, d):
-    """The news table written by the batch-wise stream job."""
-    events = jobs.file_stream(spark, d, EVENTS, pattern="events.parquet")
+    """The news table written by two runs of the stream job: the second, with a checkpoint of its own, adds nothing twice."""
+    events, path = _as_news(_event_files(spark, d)), shared_dir(spark, "news")
+    for _ in range(2):
+        jobs.news_to_table(events, path, shared_dir(spark, "news-ckpt"), ["source_rank", "event_id"]).awaitTermination()
+    return spark.read.parquet(path).select("url", "event_id", "source")
+
+
+def _recent_stream(spark, d):
+    """The same with the age limit of the rolling table."""
     path = shared_dir(spark, "news")
-    q = jobs.news_to_table(_as_news(events), path, shared_dir(spark, "news-ckpt"), ["source_rank", "event_id"])
-    q.awaitTermination()
+    order = ["source_rank", "event_id"]
+    jobs.news_to_table(_as_news(_event_files(spark, d)), path, shared_dir(spark, "news-ckpt"), order, _run_ts()).awaitTermination()
     return spark.read.parquet(path).select("url", "event_id", "source")
 
 
 def _link_stream(spark, d):
-    """Distinct links by watermark; the events span more than the delay, but a link belongs to one day."""
-    events = jobs.file_stream(spark, d, EVENTS, pattern="events.parquet")
-    news = _as_news(events).filter("trim(url) <> '' AND ts IS NOT NULL")
+    """Distinct links, from files that come out of order."""
     path = shared_dir(spark, "links")
-    jobs.links_to_table(news, path, shared_dir(spark, "links-ckpt")).awaitTermination()
+    jobs.links_to_table(_as_news(_event_files(spark, d)), path, shared_dir(spark, "links-ckpt")).awaitTermination()
     return spark.read.parquet(path).select("url")
 
 
 def _bars_stream(spark, d):
-    """Brand bars arriving in two files, upserted batch by batch into a store that starts with old bars."""
+    """Brand bars arriving in three parts, the middle one last, upserted batch by batch into a store that starts with old bars."""
     bars = materialised(adapters.bars_brand(spark, d), "bars")
     old = bars.filter("year(asof_date) < 1996").withColumn("close", F.col("close") * 0)
     path, incoming = shared_dir(spark, "prices"), shared_dir(spark, "incoming")
-    store.create(old, path, buckets=1)
-    for k, part in enumerate((bars.filter("month(asof_date) <= 6"), bars.filter("month(asof_date) > 6"))):
-        part.withColumn("seq", F.lit(k)).coalesce(1).write.mode("append").parquet(incoming)
+    store.create(old, path, buckets=2)
+    for k, part in enumerate(("month(asof_date) <= 4", "month(asof_date) > 8", "month(asof_date) BETWEEN 5 AND 8")):
+        bars.filter(part).withColumn("seq", F.lit(k)).repartition("code").write.mode("append").parquet(incoming)
     schema = bars.withColumn("seq", F.lit(0)).schema
-    stream = jobs.file_stream(spark, incoming, schema, files_per_batch=1)
-    jobs.upserts_to_store(stream, path, shared_dir(spark, "bars-ckpt"), buckets=1).awaitTermination()
+    jobs.upserts_to_store(jobs.file_stream(spark, incoming, schema), path, shared_dir(spark, "bars-ckpt")).awaitTermination()
     return rounded(store.read(spark, path).drop("ym"))
 
 
@@ -115,6 +128,7 @@ QUERIES = {
     "news_sorted": _sorted,
     "news_rejected": _rejected,
     "news_table_stream": _table_stream,
+    "news_recent_stream": _recent_stream,
     "news_stream": _link_stream,
     "bars_stream": _bars_stream,
 }
@@ -133,6 +147,8 @@ ORACLES = {
     "news_sorted": f"WITH {_NEWS} SELECT event_id, substr(sha256(strftime(ts, '%Y-%m-%d %H:%M:%S') || '|' || title), 1, 16) AS id FROM n WHERE ts IS NOT NULL ORDER BY ts DESC, id",
     "news_rejected": f"WITH {_NEWS} SELECT event_id, 'unreadable time or blank link' AS reason FROM n WHERE ts IS NULL OR trim(url) = ''",
     "news_table_stream": f"WITH {_NEWS}, {_FIRST} SELECT url, event_id, source FROM f WHERE k = 1",
+    "news_recent_stream": f"""WITH {_NEWS}, f AS (SELECT url, event_id, source, row_number() OVER (PARTITION BY url ORDER BY source_rank, event_id) AS k
+  FROM n WHERE trim(url) <> '' AND ts >= TIMESTAMP '{RUN_TS}' - INTERVAL 8 DAY) SELECT url, event_id, source FROM f WHERE k = 1""",
     "news_stream": f"WITH {_NEWS} SELECT DISTINCT url FROM n WHERE ts IS NOT NULL AND trim(url) <> ''",
     "bars_stream": f"WITH {SQL_BARS_BRAND} SELECT code, asof_date, "
     + ", ".join(f"floor({c} * 1000000.0 + 0.5003) / 1000000.0 AS {c}" for c in ("open", "high", "low", "close", "volume")) + " FROM bars_brand",

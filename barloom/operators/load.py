@@ -10,7 +10,6 @@ from .bars import latest_dates, newest_n
 from .dedupe import last_wins
 
 FULL, REPLACE, DIFF, SKIP, ERROR = "FULL", "REPLACE", "DIFF", "SKIP", "ERROR"
-FULL_CAP = 280
 SPLIT_BARS = 5
 KEY = ["code", "asof_date"]
 
@@ -70,31 +69,41 @@ def duplicate_dates(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
-def chosen_rows(actions: DataFrame, incoming: DataFrame, run_date: Column, cap: int = FULL_CAP) -> DataFrame:
-    """Incoming rows each code will load; ``seq`` is the order in which they were read, unique per code.
+def chosen_rows(
+    actions: DataFrame, daily: DataFrame, full: DataFrame | None, run_date: Column, cap: int | None = None
+) -> DataFrame:
+    """Rows each code will load; ``seq`` is the order in which they were read, unique per code and feed.
 
-    Full and replacing loads take the first ``cap`` rows of the code, which is how far back such a
-    load reaches by definition; a difference load takes the days after the stored ones up to today.
-    The last row within the cap is looked up per code (the rank filter cuts every task's part first)
-    instead of ranking all rows of a code in one task.
+    A difference load takes the days of ``daily`` after the stored ones up to today. Full and replacing
+    loads read the code again in ``full``, all of it unless ``cap`` says how many rows such a load
+    reaches back (280 pages' worth in the original report). With a cap the last row within it is looked
+    up per code (the rank filter cuts every task's part first) instead of ranking all rows of a code in one task.
     """
-    tagged = incoming.join(actions.filter(F.col("action").isin(FULL, REPLACE, DIFF)), "code")
-    whole = tagged.filter(F.col("action") != DIFF).select("code", (-F.col("seq")).alias("_order"))
-    reach = newest_n(whole, cap, order="_order").groupBy("code").agg((-F.min("_order")).alias("_reach"))
     newer = (F.col("asof_date") > F.col("latest")) & (F.col("asof_date") <= run_date.cast("date"))
-    taken = F.when(F.col("action") == DIFF, newer).otherwise(F.col("seq") <= F.col("_reach"))
-    return tagged.join(reach, "code", "left").filter(taken).drop("_reach")
+    diff = daily.join(actions.filter(F.col("action") == DIFF), "code").filter(newer)
+    if full is None:
+        return diff
+    whole = full.join(actions.filter(F.col("action").isin(FULL, REPLACE)), "code")
+    if cap is not None:
+        ordered = whole.select("code", (-F.col("seq")).alias("_order"))
+        reach = newest_n(ordered, cap, order="_order").groupBy("code").agg((-F.min("_order")).alias("_reach"))
+        whole = whole.join(reach, "code").filter(F.col("seq") <= F.col("_reach")).drop("_reach")
+    return diff.unionByName(whole)
 
 
 def plan_load(
-    codes: DataFrame, stored: DataFrame, incoming: DataFrame, run_date: Column, cap: int = FULL_CAP, **split
-) -> tuple[DataFrame, DataFrame]:
+    codes: DataFrame, stored: DataFrame, daily: DataFrame, full: DataFrame | None, run_date: Column,
+    cap: int | None = None, **split,
+) -> tuple[DataFrame, DataFrame]:
     """(status, rows) of one run. A code that fails keeps its stored bars and the others go on.
 
+    ``daily`` serves the split check and difference loads, ``full`` the full and replacing loads. A code
+    that must be replaced but has no row in ``full`` fails, so a short feed never costs stored history.
+
     status: code, action, latest, n_rows, failed. rows: bars to write, with the code's action.
     """
-    actions = load_actions(codes, stored, incoming, run_date, **split)
-    chosen = chosen_rows(actions, incoming, run_date, cap)
+    actions = load_actions(codes, stored, daily, run_date, **split)
+    chosen = chosen_rows(actions, daily, full, run_date, cap)
     per_day = chosen.groupBy(*KEY).agg(F.count(F.lit(1)).alias("copies"))
     per_code = per_day.groupBy("code").agg(
         F.sum("copies").alias("n_rows"), F.max("asof_date").alias("newest"), (F.max("copies") > 1).alias("doubled")
@@ -124,8 +133,11 @@ def status_text(action: str = "action", n_rows: str = "n_rows", failed: str = "f
     return text.otherwise(STATUS_FUTURE)
 
 
-def status_counts(status: DataFrame, by: str = "action") -> DataFrame:
-    return status.groupBy(by).agg(F.count(F.lit(1)).alias("codes"))
+def status_counts(status: DataFrame) -> DataFrame:
+    """Codes per action; an action without codes counts 0."""
+    every = status.sparkSession.createDataFrame([(a,) for a in (FULL, REPLACE, DIFF, SKIP, ERROR)], "action string")
+    found = status.groupBy("action").agg(F.count(F.lit(1)).alias("codes"))
+    return every.join(found, "action", "left").select("action", F.coalesce("codes", F.lit(0)).alias("codes"))
 
 
 def merge_bars(stored: DataFrame, rows: DataFrame, replaced: DataFrame | None = None) -> DataFrame:

@@ -113,7 +113,10 @@ def snapshot(bars: DataFrame, run_date: Column, lists: tuple[RankedList, ...] =
     return top.unionByName(full).drop("top")
 
 
-def snapshot_counts(bars: DataFrame, run_date: Column) -> DataFrame:
-    """Number of codes per full list, zero included in no list."""
-    entries = snapshot_entries(day_metrics(bars, run_date))
-    return entries.filter("NOT top").groupBy("list_rank", "list").agg(F.count(F.lit(1)).alias("codes"))
+def snapshot_counts(bars: DataFrame, run_date: Column, lists: tuple[RankedList, ...] = LISTS) -> DataFrame:
+    """Number of codes per full list, 0 for a list without codes."""
+    entries = snapshot_entries(day_metrics(bars, run_date), lists)
+    found = entries.filter("NOT top").groupBy("list_rank").agg(F.count(F.lit(1)).alias("codes"))
+    names = [(k, x.name) for k, x in enumerate(lists, 1) if x.top is None]
+    every = bars.sparkSession.createDataFrame(names, "list_rank int, list string")
+    return every.join(found, "list_rank", "left").select("list_rank", "list", F.coalesce("codes", F.lit(0)).alias("codes"))

@@ -16,6 +16,7 @@ from ..session import materialised
 BUCKETS = 16
 PARTS = ["ym", "bucket"]
 COLUMNS = BARS.fieldNames()
+_META = "buckets int, columns string"
 
 
 def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
@@ -45,7 +46,18 @@ def _write(df: DataFrame, path: str) -> None:
 
 
 def create(bars: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """A new store. The bucket count is kept with it, later writes follow it."""
+    spark = bars.sparkSession
     _write(_placed(bars.select(*COLUMNS), buckets), path)
+    spark.createDataFrame([(buckets, ",".join(COLUMNS))], _META).coalesce(1).write.mode("overwrite").parquet(f"{path}/_meta")
+
+
+def buckets_of(spark: SparkSession, path: str) -> int:
+    """The bucket count a store was created with; a store of other columns is refused."""
+    meta = spark.read.schema(_META).parquet(f"{path}/_meta").first()
+    if meta is None or meta["columns"] != ",".join(COLUMNS):
+        raise ValueError(f"{path} is not a store of {COLUMNS}")
+    return meta["buckets"]
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame:
@@ -58,15 +70,20 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert(
-    spark: SparkSession, path: str, rows: DataFrame, replaced: DataFrame | None = None, buckets: int = BUCKETS
+    spark: SparkSession, path: str, rows: DataFrame, replaced: DataFrame | None = None, buckets: int | None = None
 ) -> None:
     """Write unique (code, day) ``rows``; bars of ``replaced`` codes go first.
 
-    One write job: new files are staged and swapped in when all of them are complete, so a lost
-    executor only repeats its tasks. Every touched partition also gets one row with a blank code, which
+    The store's own bucket count is used; another one given as ``buckets`` is refused. One write job: new files
+    are staged and swapped in, folder by folder, when all of them are complete, so a lost executor only
+    repeats its tasks. The swap itself is not atomic: after a driver lost in the middle of it the staged
+    files of a folder may still have to be moved, or the load run again from its feeds. Every touched partition also gets one row with a blank code, which
     ``read`` skips: without it a partition left empty by a replacement would keep its old files.
     """
-    stored = _stored(spark, path)
+    own = buckets_of(spark, path)
+    if buckets not in (None, own):
+        raise ValueError(f"{path} has {own} buckets, not {buckets}")
+    buckets, stored = own, _stored(spark, path)
     fresh = _placed(rows.select(*COLUMNS), buckets)
     touched = fresh.select(*PARTS)
     if replaced is not None:
@@ -86,11 +103,11 @@ def upsert(
     _write(merge_bars(current, fresh, replaced).unionByName(markers), path)
 
 
-def apply_load(spark: SparkSession, path: str, status: DataFrame, rows: DataFrame, buckets: int = BUCKETS) -> None:
+def apply_load(spark: SparkSession, path: str, status: DataFrame, rows: DataFrame) -> None:
     """Write the result of ``plan_load``. The day's rows are used for the touched partitions, the keys
     to overwrite and the rows themselves, so they are computed once, into the shared folder."""
     replaced = status.filter(F.col("action") == "REPLACE").select("code")
-    upsert(spark, path, materialised(rows, "load-rows"), materialised(replaced, "load-replaced"), buckets)
+    upsert(spark, path, materialised(rows, "load-rows"), materialised(replaced, "load-replaced"))
 
 
-__all__ = ["BUCKETS", "KEY", "apply_load", "create", "read", "upsert"]
+__all__ = ["BUCKETS", "KEY", "apply_load", "buckets_of", "create", "read", "upsert"]

@@ -2,39 +2,30 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators import load
-from ..operators.news import MAX_AGE_DAYS, fresh_enough, merge_news, with_ids
+from ..operators.news import fresh_enough, merge_news, with_ids
 from ..sources import store
 
 
 def file_stream(
-    spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None, pattern: str | None = None
+    spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Parquet files as a stream; the schema is given, never inferred."""
+    """Parquet files of a folder as a stream; the schema is given, never inferred."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
     return reader.parquet(path)
 
 
-def distinct_links(news: DataFrame, delay_days: int = MAX_AGE_DAYS) -> DataFrame:
-    """Each link once. State per link is dropped ``delay_days`` after the newest time seen.
-
-    A link that returns after a longer gap comes through again; where that matters, use
-    ``news_to_table``, which compares with the whole table. ``ts`` must be TIMESTAMP.
-    """
-    return news.withWatermark("ts", f"{delay_days} days").dropDuplicatesWithinWatermark(["url"])
-
-
 def _unusable() -> Column:
     return F.col("ts").isNull() | (F.coalesce(F.trim("url"), F.lit("")) == "")
 
@@ -50,65 +41,74 @@ def _start(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int],
     )
 
 
-def links_to_table(news: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """``distinct_links`` appended to a Parquet table."""
-    return (
-        distinct_links(news)
-        .writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def _run_of(checkpoint: str) -> str:
+    """A name for all batches of one checkpoint. Batch numbers start anew with a new checkpoint, the name keeps them apart."""
+    return hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
 
-def news_to_table(
-    news: DataFrame, path: str, checkpoint: str, order: list[str], run_ts: Column | None = None
-) -> StreamingQuery:
-    """Append unseen links of every batch, compared with the whole table written so far.
+def _written(spark: SparkSession, path: str, run: str, number: int) -> DataFrame:
+    """Links of other runs and of earlier batches of this run."""
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], "url string")
+    return table.filter((F.col("run") != run) | (F.col("batch") < number)).select("url")
 
-    Batches are written under their number and replaced when repeated, so a batch that ran twice
-    after a failure leaves its rows once.
-    """
+
+def _unseen_to_table(
+    news: DataFrame, path: str, checkpoint: str, order: list[str], finish: Callable[[DataFrame], DataFrame]
+) -> StreamingQuery:
+    run = _run_of(checkpoint)
 
     def each(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        usable = batch.filter(~_unusable())
-        if run_ts is not None:
-            usable = fresh_enough(usable, run_ts)
-        unseen = merge_news(usable, _written(spark, path, number, usable), order)
-        with_ids(unseen).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        unseen = merge_news(batch.filter(~_unusable()), _written(batch.sparkSession, path, run, number), order)
+        finish(unseen).write.mode("overwrite").parquet(f"{path}/run={run}/batch={number}")
 
     return _start(news, checkpoint, each)
 
 
-def _written(spark: SparkSession, path: str, number: int, like: DataFrame) -> DataFrame:
-    """Links of earlier batches."""
-    if number == 0:
-        return like.select("url").filter(F.lit(False))
-    return spark.read.parquet(path).filter(F.col("batch") < number).select("url")
+def links_to_table(news: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Every link once in a Parquet table, whatever the order and the cut of the input: the table is the
+    memory, no watermark drops what comes late."""
+    return _unseen_to_table(news, path, checkpoint, ["ts"], lambda rows: rows)
+
+
+def news_to_table(
+    news: DataFrame, path: str, checkpoint: str, order: list[str], run_ts: Column | None = None
+) -> StreamingQuery:
+    """Append unseen links of every batch, compared with the whole table written so far.
+
+    Batches are written under their checkpoint's name and their number and replaced when repeated, so a batch
+    that ran twice after a failure leaves its rows once, and a new checkpoint adds to the table. With
+    ``run_ts`` rows over the age limit are left out.
+    """
+    young = news if run_ts is None else fresh_enough(news, run_ts)
+    return _unseen_to_table(young, path, checkpoint, order, with_ids)
 
 
 def bars_to_store(
-    bars: DataFrame, codes: DataFrame, path: str, checkpoint: str, run_date: Column, buckets: int = store.BUCKETS
+    bars: DataFrame, codes: DataFrame, path: str, checkpoint: str, run_date: Column, full: DataFrame | None = None
 ) -> StreamingQuery:
-    """Run the daily load on every batch of incoming bars (``seq`` is their reading order).
+    """Run the daily load on every batch of incoming bars (``seq`` is their reading order, all rows of a code in one file).
 
-    Writing the same bars again changes nothing, so a repeated batch is harmless.
+    ``full`` is the feed for full and replacing loads. Writing the same bars again changes nothing, so a
+    repeated batch is harmless; a code loaded up to the run date is skipped by later batches.
     """
 
     def each(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        status, rows = load.plan_load(codes, store.read(spark, path), batch, run_date)
-        store.apply_load(spark, path, status, rows, buckets)
+        status, rows = load.plan_load(codes, store.read(spark, path), batch, full, run_date)
+        store.apply_load(spark, path, status, rows)
 
     return _start(bars, checkpoint, each)
 
 
-def upserts_to_store(bars: DataFrame, path: str, checkpoint: str, buckets: int = store.BUCKETS) -> StreamingQuery:
+def upserts_to_store(bars: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Last-wins upsert of every batch, without load decisions."""
 
     def each(batch: DataFrame, number: int) -> None:
-        store.upsert(batch.sparkSession, path, load.last_wins(batch, load.KEY, ["seq"]), buckets=buckets)
+        store.upsert(batch.sparkSession, path, load.last_wins(batch, load.KEY, ["seq"]))
 
     return _start(bars, checkpoint, each)

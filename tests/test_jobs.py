@@ -163,6 +163,18 @@ def test_distinct_links_over_batches(spark, tmp_path):
     assert codes(spark.read.parquet(out), "url") == ["a", "b", "c"]
 
 
+def test_late_links_and_a_new_checkpoint_lose_nothing(spark, tmp_path):
+    src, out = (str(tmp_path / n) for n in ("src", "out"))
+    schema = _write_batches(spark, src, [[(u, 1, u, f"2026-{t}T00:00:00")] for u, t in (("a", "03-30"), ("b", "01-01"), ("c", "02-02"))])
+    jobs.links_to_table(jobs.file_stream(spark, src, schema, 1), out, str(tmp_path / "c1")).awaitTermination()
+    assert codes(spark.read.parquet(out), "url") == ["a", "b", "c"]
+    news_out, more = str(tmp_path / "news"), str(tmp_path / "more")
+    jobs.news_to_table(jobs.file_stream(spark, src, schema), news_out, str(tmp_path / "c2"), ["source_rank"]).awaitTermination()
+    _write_batches(spark, more, [[("d", 1, "D", "2026-03-01T00:00:00"), ("a", 1, "A", "2026-03-01T00:00:00")]])
+    jobs.news_to_table(jobs.file_stream(spark, more, schema), news_out, str(tmp_path / "c3"), ["source_rank"]).awaitTermination()
+    assert codes(spark.read.parquet(news_out), "url") == ["a", "b", "c", "d"]
+
+
 def test_bar_stream_runs_the_load(spark, tmp_path):
     src, path, ckpt = (str(tmp_path / n) for n in ("src", "prices", "ckpt"))
 
@@ -173,7 +185,7 @@ def test_bar_stream_runs_the_load(spark, tmp_path):
     rows(("a", 0, 11.0), ("a", 1, 10.0), ("s", 0, 9.0), ("s", 1, 10.0), ("n", 0, 1.0)).withColumn("seq", F.monotonically_increasing_id()).coalesce(1).write.parquet(src)
     schema = spark.read.parquet(src).schema
     names = spark.createDataFrame([("a",), ("s",), ("n",)], "code string")
-    jobs.bars_to_store(jobs.file_stream(spark, src, schema), names, path, ckpt, F.lit(str(D)), buckets=1).awaitTermination()
+    jobs.bars_to_store(jobs.file_stream(spark, src, schema), names, path, ckpt, F.lit(str(D)), spark.read.parquet(src)).awaitTermination()
     got = sorted((r["code"], r["close"]) for r in store.read(spark, path).collect())
     assert got == [("a", 10.0), ("a", 11.0), ("n", 1.0), ("s", 9.0), ("s", 10.0)]
 

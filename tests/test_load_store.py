@@ -28,7 +28,7 @@ def keyed(df):
 
 def plan(spark, codes, stored, inc, **kw):
     names = spark.createDataFrame([(c,) for c in codes], "code string")
-    status, rows = load.plan_load(names, stored, inc, F.lit(str(TODAY)), **kw)
+    status, rows = load.plan_load(names, stored, inc, kw.pop("full", inc), F.lit(str(TODAY)), **kw)
     return {r["code"]: r for r in status.collect()}, status, rows
 
 
@@ -74,6 +74,24 @@ def test_full_load_takes_the_first_rows_read(spark):
     assert sorted(k for _, k in keyed(rows)) == list(range(12))
 
 
+def test_replacement_reads_the_full_feed(spark):
+    stored = bars(spark, [("a", k, 20.0) for k in range(1, 301)])
+    daily = incoming(spark, [("a", 0, 10.0), ("a", 1, 10.0)])
+    full = incoming(spark, [("a", k, 10.0) for k in range(300)])
+    got, status, rows = plan(spark, ["a"], stored, daily, full=full)
+    assert (got["a"]["action"], got["a"]["n_rows"]) == ("REPLACE", 300) and len(keyed(rows)) == 300
+    for short in (None, full.limit(0)):
+        got, status, rows = plan(spark, ["a"], stored, daily, full=short)
+        assert got["a"]["failed"] and rows.count() == 0
+        assert len(keyed(load.merge_bars(stored, rows, status.filter("action = 'REPLACE'")))) == 300
+
+
+def test_counts_have_every_action(spark):
+    _, status, _ = plan(spark, ["a"], bars(spark, []), incoming(spark, [("a", 0, 1.0)]))
+    counts = {r["action"]: r["codes"] for r in load.status_counts(status).collect()}
+    assert counts == {"FULL": 1, "REPLACE": 0, "DIFF": 0, "SKIP": 0, "ERROR": 0}
+
+
 def test_validate_rows(spark):
     raw = spark.createDataFrame(
         [("1301", "2026-03-02", "1", "", "x", "2.5", "10.9"), ("toolongcode", "2026-03-02", "1", "1", "1", "1", "1"),
@@ -99,6 +117,14 @@ def test_upsert_overwrites_and_extends(spark, path):
         assert keyed(store.read(spark, path)) == {("a", 0): 9.0, ("a", 40): 2.0, ("b", 0): 3.0, ("c", 0): 4.0}
 
 
+def test_the_store_keeps_its_bucket_count(spark, path):
+    store.create(bars(spark, [(f"c{k}", 0, 1.0) for k in range(20)]), path, buckets=2)
+    store.upsert(spark, path, bars(spark, [(f"c{k}", 0, 2.0) for k in range(20)]))
+    assert store.read(spark, path).count() == 20
+    with pytest.raises(ValueError):
+        store.upsert(spark, path, bars(spark, [("c1", 0, 3.0)]), buckets=16)
+
+
 def test_replacement_empties_old_partitions(spark, path):
     store.create(bars(spark, [("a", k, 1.0) for k in (0, 40, 80, 120)] + [("b", 40, 5.0)]), path, buckets=1)
     replaced = spark.createDataFrame([("a",)], "code string")
@@ -122,5 +148,5 @@ def test_a_load_through_the_store(spark, path):
     store.create(bars(spark, [("split", 1, 20.0), ("split", 400, 22.0), ("diff", 1, 10.0)]), path, buckets=2)
     inc = incoming(spark, [("split", 0, 10.5), ("split", 1, 10.0), ("diff", 0, 11.0), ("diff", 1, 10.0), ("new", 0, 1.0)])
     _, status, rows = plan(spark, ["split", "diff", "new"], store.read(spark, path), inc)
-    store.apply_load(spark, path, status, rows, buckets=2)
+    store.apply_load(spark, path, status, rows)
     assert keyed(store.read(spark, path)) == {("split", 0): 10.5, ("split", 1): 10.0, ("diff", 0): 11.0, ("diff", 1): 10.0, ("new", 0): 1.0}
