@@ -51,7 +51,7 @@ def test_paraphrases_and_hard_rows(spark):
         for k in rng.sample(range(len(w)), len(w) // 12):
             w[k] = "changed"
         host = base[n].split()
-        rows.append((10_000 + n, " ".join([*host[:70], *w, *host[70:]]).upper()))
+        rows.append((10_000 + n, re.sub("[a-z]", lambda m: m[0].upper(), " ".join([*host[:70], *w, *host[70:]]))))
         want.add((10_000 + n, i))
     rows += [(1, ""), (2, None), (None, items[0][1]), (3, items[0][1]), (3, items[0][1]), (4, "the " * 100_000), (5, "one")]
     some = spark.createDataFrame([(k, t, 0.0) for k, t in rows], "doc_id long, text string, cosine double")
@@ -66,6 +66,19 @@ def test_paraphrases_and_hard_rows(spark):
     assert decontamination.leaks(some, nothing).collect() == []
 
 
+def test_stray_matches_do_not_hide_a_passage():
+    words = [f"w{k}" for k in range(20)]
+    import pyarrow as pa
+
+    items = decontamination.Items([1], pa.array([" ".join(words)]), np.ones(decontamination.TERMS), np.eye(decontamination.TERMS, 4))
+    keys = items.keys[0]
+    strange = list(range(1, 60))
+    assert items.check(0, [*strange, *keys, *strange]) == 1.0
+    assert items.check(0, [keys[0], *strange, 7, *keys[1:], *strange]) == 0.95
+    assert items.check(0, [x for k in keys for x in (k, *strange[:3])]) == 0.0
+    assert items.check(0, [*strange, *keys[:10], *strange]) == 0.0
+
+
 def test_longest_common_subsequence():
     rng = np.random.default_rng(0)
     for _ in range(200):
