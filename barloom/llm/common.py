@@ -38,9 +38,9 @@ def lower_ascii(text: Column) -> Column:
 
 
 def sampled(df: DataFrame, key: str, bound: int) -> DataFrame:
-    """About ``bound`` rows at most, chosen by a hash of the key, in a reproducible way.
+    """About ``bound`` rows, chosen by a hash of the key, in a reproducible way. Rows of one key come together, so callers make keys distinct.
 
-    Used for nothing but the labelled rows that a classifier is fitted on.
+    Used for nothing but what a model is fitted on: labelled rows, and texts for the axes of the latent space.
     """
     n = df.count()
     if n <= bound:
@@ -48,6 +48,25 @@ def sampled(df: DataFrame, key: str, bound: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1_000_000)) < int(1_000_000 * bound / n))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def fitting_rows(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str, bound: int) -> DataFrame:
+    """(h, y, t): hash of the key, label and text of at most about ``bound`` labelled rows.
+
+    Rows whose label or key is null are left out. A key counts once per label, with its smallest text if it has several, so a key that
+    holds a third of all rows adds no more than any other.
+    """
+    given = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(key, label).distinct()
+    rows = docs.select(key, text).join(sampled(given, key, bound), key)
+    return rows.groupBy(F.xxhash64(key).alias("h"), F.col(label).cast("double").alias("y")).agg(F.min(F.coalesce(F.col(text), F.lit(""))).alias("t"))
+
+
 def numbered(df: DataFrame, groups: list[str], order: list[str], spread: str, name: str, per_block: int = 65_536) -> DataFrame:
     """``name``: 0, 1, 2, ... within each group, without bringing a group together in one task.
 

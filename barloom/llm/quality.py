@@ -171,11 +171,8 @@ class Network:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text", bound: int = BOUND) -> Network:
-    """Fit on labelled rows; rows whose label or key is null are left out. Without labelled rows the network keeps its first weights."""
-    chosen = common.sampled(labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(key, label), key, bound)
-    rows = docs.select(key, text).join(chosen, key).select(
-        F.xxhash64(key).alias("h"), F.col(label).cast("double").alias("y"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t")
-    )
+    """Fit on labelled rows (see ``common.fitting_rows``). Without labelled rows the network keeps its first weights."""
+    rows = common.fitting_rows(docs, labels, label, key, text, bound).select("h", "y", F.col("t").cast("binary").alias("t"))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts: list[bytes] = []

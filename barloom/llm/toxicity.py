@@ -94,11 +94,8 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text", bound: int = BOUND) -> Model:
-    """Fit on labelled rows; rows whose label or key is null are left out, repeated labels of a key count once each."""
-    chosen = common.sampled(labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(key, label), key, bound)
-    rows = docs.select(key, text).join(chosen, key).select(
-        F.xxhash64(key).alias("h"), F.col(label).cast("double").alias("y"), F.col(text).alias("t")
-    )
+    """Fit on labelled rows (see ``common.fitting_rows``); without any the model has no weights."""
+    rows = common.fitting_rows(docs, labels, label, key, text, bound)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -129,8 +126,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
 def score(docs: DataFrame, model, text: str = "text", name: str = "score") -> DataFrame:
     """The rows of ``docs`` with a probability in column ``name``; null and empty texts get that of the bias.
 
-    Works for every model with ``score(array of texts) -> array of probabilities``.
+    Works for every model with ``score(array of texts) -> array of probabilities``. A column that is called ``name`` already is replaced.
     """
+    kept = [c for c in docs.columns if c != name or c == text]
+    docs = docs.select(*[F.col(f"`{c}`") for c in kept])
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,19 +17,22 @@ TOXIC_FROM, QUALITY_FROM = 0.5, 0.3
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Toxic documents go."""
     model = toxicity.train(docs, common.table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, name="_toxicity").where(F.col("_toxicity") < TOXIC_FROM).drop("_toxicity")
+    p = common.unused(docs, "_toxicity")
+    return toxicity.score(docs, model, name=p).where(F.col(p) < TOXIC_FROM).drop(p)
 
 
 def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of low quality go."""
     model = quality.train(docs, common.table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, name="_quality").where(F.col("_quality") >= QUALITY_FROM).drop("_quality")
+    p = common.unused(docs, "_quality")
+    return toxicity.score(docs, model, name=p).where(F.col(p) >= QUALITY_FROM).drop(p)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near-duplicates the document with the smallest id stays, once if it repeats; rows without an id stay."""
     found = simhash.near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(found, "doc_id", "left_semi").withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
+    mark = common.unused(docs, "_text")
+    kept = docs.join(found, "doc_id", "left_semi").withColumn(mark, F.xxhash64("text")).dropDuplicates(["doc_id", mark]).drop(mark)
     return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
 
 

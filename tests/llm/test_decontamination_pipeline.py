@@ -40,7 +40,7 @@ def test_documents_table(spark):
     assert want and {(r.doc_id, r.item_id) for r in got} == want
 
 
-def test_paraphrases_and_hard_rows(spark):
+def test_paraphrases_and_hard_rows(spark, monkeypatch):
     rng = random.Random(4)
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(300).select("doc_id", "text")
     base = [r.text for r in docs.collect() if len(r.text.split()) > 150][:20]
@@ -62,6 +62,12 @@ def test_paraphrases_and_hard_rows(spark):
     assert sorted(got, key=str) == sorted([*want, (None, items[0][0]), (3, items[0][0]), (3, items[0][0])], key=str)
     kept = decontamination.clean(some, fitted).collect()
     assert sorted(r.doc_id for r in kept) == [1, 2, 4, 5] and kept[0].cosine == 0.0
+    # A benchmark over the size of a pass is searched in several, with the same result.
+    monkeypatch.setattr(decontamination, "PASS_ITEMS", 5)
+    parted = decontamination.fit(docs.union(some.select("doc_id", "text")), benchmark.union(benchmark))
+    assert parted.passes > 2 and max(len(parted.items(k).ids) for k in range(parted.passes)) < len(items)
+    assert sorted(((r.doc_id, r.item_id) for r in decontamination.leaks(some, parted).collect()), key=str) == sorted(got, key=str)
+    assert sorted(r.doc_id for r in decontamination.clean(some, parted).collect()) == [1, 2, 4, 5]
     nothing = decontamination.fit(docs.limit(0), benchmark.limit(0))
     assert decontamination.leaks(some, nothing).collect() == []
 
@@ -132,3 +138,15 @@ def test_pipeline_hard_rows(spark, tmp_path):
         got = corpus_pipeline.run(spark, sf).collect()
         assert len(got) <= len(some)
         assert all(r.doc_id in (None, 1, 2, 3, 5) for r in got)
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(200)
+    names = ["_toxicity", "_quality", "_text", "score", "h", "t", "y", "k", "fp", "component_id", "item_id", "toxic", "quality", "_n", "bucket"]
+    for n in names:
+        docs = docs.withColumn(n, corpus_pipeline.F.lit(f"own {n}"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SF)
+        assert after.columns == docs.columns
+        assert all(r[n] == f"own {n}" for r in after.collect() for n in names)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 200

@@ -37,6 +37,21 @@ def test_hard_rows(spark):
         assert toxicity.score(docs.limit(0), module.train(docs.limit(0), labels, label)).collect() == []
 
 
+def test_a_hot_key_adds_one_row(spark):
+    from barloom.llm import common
+
+    docs = spark.range(30_000).selectExpr("if(id < 10000, 0, id) AS doc_id", "concat('text ', id % 7) AS text", "'x' AS toxic")
+    labels = spark.range(0, 30_000, 3).selectExpr("if(id < 9000, 0, id) AS doc_id", "cast(id % 2 AS int) AS toxic")
+    rows = common.fitting_rows(docs, labels, "toxic", "doc_id", "text", 2_000).collect()
+    assert 1_500 < len(rows) < 2_500 and len({(r.h, r.y) for r in rows}) == len(rows)
+
+
+def test_score_replaces_a_column_of_its_name(spark):
+    docs = spark.createDataFrame([("a", "own", 1)], "text string, score string, n int")
+    got = toxicity.score(docs, toxicity.Model(np.zeros(0, np.int64), np.zeros(0), 0.0)).collect()
+    assert got == [("a", 1, 0.5)]
+
+
 def test_network_gradients():
     net = quality.Network(3)
     rng = np.random.default_rng(0)
