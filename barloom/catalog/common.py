@@ -57,7 +57,7 @@ def base_info_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_TRADE_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax"
+_TRADE_ORDER = "l_orderkey, l_linenumber, price"
 
 SQL_BARS_BRAND = f"""
 bars_brand AS (

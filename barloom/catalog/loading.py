@@ -127,11 +127,12 @@ def _last_wins(spark, d):
     trades = adapters.table(spark, d, "lineitem").join(
         adapters.table(spark, d, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")
     )
-    seq = ["l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity"]
+    cents = [F.floor(F.col(c) * 100 + 0.5).cast("long") for c in ("l_extendedprice", "l_quantity")]
     rows = trades.select(
-        F.col("p_brand").alias("code"), F.col("l_shipdate").cast("date").alias("asof_date"), *seq
-    )
-    return load.last_wins(rows, load.KEY, seq)
+        F.col("p_brand").alias("code"), F.col("l_shipdate").cast("date").alias("asof_date"),
+        "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", adapters.line_position(cents[0] * 1_000_000 + cents[1]).alias("seq"),
+    )
+    return load.last_wins(rows, load.KEY, ["seq"]).drop("seq")
 
 
 def _validate(spark, d):

@@ -11,13 +11,19 @@ MARKET_ZONE = "Asia/Tokyo"
 _OFFSET = r"(Z|[+-]\d{2}:?\d{2})$"
 
 
-def _part(s: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(s, pattern, group).try_cast("int")
+#: A day with one kind of separator; a year of two digits goes with slashes only. Groups: year, separator, month, day.
+_DAY = r"(\d{4}|\d{2}(?=/))([-/])(\d{1,2})\2(\d{1,2})"
+_FULL_DAY = r"(\d{4})(/)(\d{2})/(\d{2})"
+_SHORT_DAY = r"(?<!\S)(\d{2})(/)(\d{2})/(\d{2})(?!\S)"
+#: A day whose year may be left out, and a clock whose seconds may. Groups: year, month, day, hour, minute, second.
+_DAY_AND_CLOCK = r"^(?:(\d{4})/)?(\d{2})/(\d{2})\s+(\d{2}):(\d{2})(?::([0-5]\d))?$"
 
 
-def _date_from(s: Column, pattern: str, century: int = 0) -> Column:
-    y, m, d = (_part(s, pattern, g) for g in (1, 2, 3))
-    return F.try_to_date(F.format_string("%04d-%02d-%02d", y + century, m, d), "yyyy-MM-dd")
+def _day(s: Column, pattern: str) -> Column:
+    """The date of the first match, two-digit years in this century; NULL for none or for no day of the calendar."""
+    year, month, day = (F.regexp_extract(s, pattern, g) for g in (1, 3, 4))
+    full = F.when(F.length(year) == 2, F.concat(F.lit("20"), year)).otherwise(year)
+    return F.try_to_date(F.concat_ws("-", full, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")), "yyyy-MM-dd")
 
 
 def market_time(iso: Column, zone: str = MARKET_ZONE) -> Column:
@@ -42,25 +48,18 @@ def clock(iso: Column) -> Column:
 def any_date(s: Column) -> Column:
     """Y-m-d, Y/m/d, yy/m/d (this century) or an ISO time, as a date; otherwise NULL."""
     t = trim(s)
-    return F.coalesce(
-        _date_from(t, r"^(\d{4})-(\d{1,2})-(\d{1,2})$"),
-        _date_from(t, r"^(\d{4})/(\d{1,2})/(\d{1,2})$"),
-        _date_from(t, r"^(\d{2})/(\d{1,2})/(\d{1,2})$", 2000),
-        market_time(t).cast("date"),
-    )
+    return F.coalesce(_day(t, f"^{_DAY}$"), market_time(t).cast("date"))
 
 
 def date_inside(s: Column) -> Column:
     """First Y/m/d found in a text, else a two-digit-year date standing alone."""
-    return F.coalesce(
-        _date_from(s, r"(\d{4})/(\d{2})/(\d{2})"),
-        _date_from(s, r"(?:^|\s)(\d{2})/(\d{2})/(\d{2})(?:\s|$)", 2000),
-    )
+    return F.coalesce(_day(s, _FULL_DAY), _day(s, _SHORT_DAY))
 
 
 def date_key(s: Column) -> Column:
     """First eight digits of a text as a number."""
-    return F.substring(F.regexp_replace(s, r"\D+", ""), 1, 8).try_cast("int")
+    digits = F.regexp_extract_all(s, F.lit(r"\d"), F.lit(0))
+    return F.array_join(F.slice(digits, 1, 8), "").try_cast("int")
 
 
 def inferred_time(s: Column, run_ts: Column) -> Column:
@@ -69,24 +68,20 @@ def inferred_time(s: Column, run_ts: Column) -> Column:
     Missing seconds count as 00.
     """
     t, now = trim(s), run_ts.cast("timestamp_ntz")
-    full = r"^(\d{4}/\d{2}/\d{2})\s+(\d{2}:\d{2})(:\d{2})?$"
-    short = r"^(\d{2}/\d{2})\s+(\d{2}:\d{2})(:\d{2})?$"
+    year, month, day, hour, minute, second = (F.regexp_extract(t, _DAY_AND_CLOCK, g).try_cast("int") for g in range(1, 7))
 
-    def stamp(day: Column, pattern: str) -> Column:
-        secs = F.coalesce(F.nullif(F.regexp_extract(t, pattern, 3), F.lit("")), F.lit(":00"))
-        text = F.concat(day, F.lit(" "), F.regexp_extract(t, pattern, 2), secs)
-        return F.regexp_replace(text, "/", "-").try_cast("timestamp_ntz")
+    def in_year(y: Column) -> Column:
+        return F.try_make_timestamp_ntz(y, month, day, hour, minute, F.coalesce(second, F.lit(0)))
 
-    with_year = stamp(F.regexp_extract(t, full, 1), full)
-    guess = stamp(F.concat(F.year(now).cast("string"), F.lit("/"), F.regexp_extract(t, short, 1)), short)
-    last_year = guess - F.expr("INTERVAL 1 YEAR")
-    return F.when(t.rlike(full), with_year).when(t.rlike(short), F.when(guess > now, last_year).otherwise(guess))
+    this_year = in_year(F.year(now))
+    yearless = F.when(this_year > now, this_year - F.expr("INTERVAL 1 YEAR")).otherwise(this_year)
+    return F.when(year.isNotNull(), in_year(year)).otherwise(yearless)
 
 
 def day_at_run_clock(day: Column, run_ts: Column) -> Column:
     """``Y/m/d`` with the run's clock time."""
     text = F.concat(
-        F.date_format(_date_from(trim(day), r"^(\d{4})/(\d{2})/(\d{2})$"), "yyyy-MM-dd"),
+        F.date_format(_day(trim(day), f"^{_FULL_DAY}$"), "yyyy-MM-dd"),
         F.lit(" "),
         F.date_format(run_ts, "HH:mm:ss"),
     )

@@ -60,6 +60,12 @@ def test_dedupe_combines_before_the_shuffle(spark):
     assert "partial_max_by" in text and "Window" not in text
 
 
+@pytest.mark.parametrize("name", ["bars_daily", "upsert_last_wins"])
+def test_trades_are_not_sorted_before_the_shuffle(spark, name):
+    text = plan(catalog.queries()[name](spark, SF))
+    assert text.count("HashAggregate") == 2 and "SortAggregate" not in text and "Sort [" not in text
+
+
 @pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_cross_joins(spark, name):
     if "stream" in name or name in ("store_upsert",):
