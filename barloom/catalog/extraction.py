@@ -143,8 +143,11 @@ def _disclosures(spark, d):
         F.date_format("o_orderdate", "yy/MM/dd"), F.lit("&nbsp;15:30</time></td></tr>"),
     )
     pages = _paged(o.select("o_orderkey", row.alias("r")), 100, "o_orderkey", "r", "o_orderkey")
-    head = '<table class="stock_table"><thead><tr><th scope="col">c</th></tr></thead><tbody><tr><th scope="col">c</th></tr>'
-    html = pages.select("page_id", _page(F.col("rows"), head, "</tbody></table>").alias("html"))
+    # Every fourth page has a table without a body; heading rows hold a linked code, so that only their scope tells them apart.
+    head = '<tr><th scope="col">c</th><td class="tac"><a href="/s">head</a></td></tr>'
+    body = _page(F.col("rows"), f'<table class="stock_table"><thead>{head}</thead><tbody>{head}', "</tbody></table>")
+    bare = _page(F.col("rows"), f'<table class="stock_table">{head}', "</table>")
+    html = pages.select("page_id", F.when(F.col("page_id") % 4 == 0, bare).otherwise(body).alias("html"))
     out = X.disclosure_rows(html)
     return out.select(
         "page_id", "code", "company", "market", "kind", "title", "title_url", "datetime_str", dates.date_inside(F.col("datetime_str")).alias("day")
@@ -190,7 +193,10 @@ def _holdings(spark, d):
         title, F.lit("</a></h4></div>"),
     )
     pages = _paged(c.select("c_custkey", block.alias("r")), PAGE_ROWS, "c_custkey", "r", "c_custkey")
-    html = pages.select("page_id", _page(F.col("rows"), '<div class="news_box">', "</div></div>").alias("html"))
+    # Two of three pages have a box, with a headline outside it that does not count.
+    outside = '<div class="news"><div class="date">2002-01-01</div><h4 class="title">outside</h4></div>'
+    boxed = _page(F.col("rows"), f'{outside}<div class="news_box">', f"</div>{outside}")
+    html = pages.select("page_id", F.when(F.col("page_id") % 3 == 0, _page(F.col("rows"))).otherwise(boxed).alias("html"))
     return X.holding_rows(html, SITE).drop("row")
 
 

@@ -18,14 +18,21 @@ from ..functions.numbers import ascii_digits, first_int, strict_number, trim
 from ..functions.text import absolute_link, cell_text, clean_many, squeeze, squeeze_ascii, strip_tags
 from ..functions.titles import holding_parts
 
+
+def start(name: str, cls: str | None = None) -> str:
+    """Pattern of a start tag, if wanted of a class (a whole class token)."""
+    token = f"\\bclass=[\"'](?:[^\"']*\\s)?{cls}(?:\\s[^\"']*)?[\"'][^>]*" if cls else ""
+    return f"<{name}\\b[^>]*{token}>"
+
+
 def tag(name: str, cls: str | None = None, exact: bool = False) -> str:
-    """Pattern of an element of a class (a whole class token), its content in group 1."""
-    head = f"<{name}\\b[^>]*>"
-    if exact:
-        head = f"<{name}>"
-    elif cls:
-        head = f"<{name}\\b[^>]*\\bclass=[\"'](?:[^\"']*\\s)?{cls}(?:\\s[^\"']*)?[\"'][^>]*>"
-    return f"(?is){head}(.*?)</{name}>"
+    """Pattern of an element, its content in group 1."""
+    return f"(?is){f'<{name}>' if exact else start(name, cls)}(.*?)</{name}>"
+
+
+def attribute(name: str, attr: str, value: str = "[^\"']+") -> str:
+    """Pattern of a start tag with an attribute, its value in group 1."""
+    return f"(?is)<{name}\\b[^>]*\\b{attr}=[\"']({value})[\"'][^>]*>"
 
 
 def first(s: Column, pattern: str, group: int = 1) -> Column:
@@ -50,7 +57,8 @@ class Rule:
     ``_td`` holds struct(cls, html)). ``texts``
     are columns that still need tags removed and references decoded, done for all of them together.
     ``keep`` filters before that decoding, so that it runs once and only on rows that stay; it
-    sees a text as ``_raw_<name>``.
+    sees a text as ``_raw_<name>``. ``prefer`` names a part of the scope (group 1) that is looked at alone where there is one: its first
+    match, or with ``prefer_every`` all of them. Blocks that match ``skip`` are left out.
     """
 
     name: str
@@ -64,6 +72,9 @@ class Rule:
     cells: str | None = None
     classed_cells: bool = False
     texts: dict[str, Callable[[Column], Column]] = field(default_factory=dict)
+    prefer: str | None = None
+    prefer_every: bool = False
+    skip: str | None = None
 
 
 def extract(pages: DataFrame, rule: Rule, html: str = "html") -> DataFrame:
@@ -82,7 +93,12 @@ def extract(pages: DataFrame, rule: Rule, html: str = "html") -> DataFrame:
 
 def _blocks(text: Column, rule: Rule) -> Column:
     def cut(s: Column) -> Column:
-        return every(s, rule.block, rule.block_group)
+        if rule.prefer:
+            parts = every(s, rule.prefer)
+            parts = parts if rule.prefer_every else F.slice(parts, 1, 1)
+            s = F.when(F.size(parts) > 0, F.array_join(parts, "\n")).otherwise(s)
+        found = every(s, rule.block, rule.block_group)
+        return F.filter(found, lambda b: ~b.rlike(rule.skip)) if rule.skip else found
 
     if rule.every_scope:
         scopes = every(text, rule.scope[0])
@@ -136,6 +152,12 @@ ANCHOR = r"(?is)<a\b[^>]*>(.*?)</a>"
 HREF = r"(?i)<a\b[^>]*\bhref=[\"']([^\"']+)[\"']"
 HEADER_BLOCK = r'(?is)<div\s+class="meigara_count">(.*?)</div>'
 COUNT_UNIT = "銘柄"
+LEFT, CENTRED, WRAPPED = "tal", "tac", "wsnormal"
+CODE_ATTRIBUTE = "data-code"
+HEADLINE_BOX, HEADLINE, HEADLINE_DATE, HEADLINE_TITLE, HEADLINE_FLAG = "news_box", "news", "date", "title", "diffflag"
+
+#: A link: its target in group 1, its text in group 2.
+LINK = attribute("a", "href") + "(.*?)</a>"
 
 
 def _tds(row: Column) -> Column:
@@ -258,20 +280,23 @@ def _cells_of(test: Callable[[Column], Column]) -> Column:
     return F.transform(F.filter("_td", lambda c: test(c["cls"])), lambda c: c["html"])
 
 
+def _has(cls: Column, token: str) -> Column:
+    return F.array_contains(F.split(cls, r"\s+"), token)
+
+
 def _centred(cls: Column) -> Column:
-    return cls.rlike(r"\btac\b")
+    return _has(cls, CENTRED)
 
 
 def _title_cell(row: Column, group: int) -> Column:
     """Link of the title cell, of the whole row when no such cell has one."""
-    link = r"(?is)<a\b[^>]*href=[\"']([^\"']+)[\"'][^>]*>(.*?)</a>"
-    cells = F.filter(_cells_of(lambda c: c.rlike(r"\btal\b.*\bwsnormal\b")), lambda c: c.rlike(link))
-    return F.regexp_extract(F.coalesce(F.get(cells, F.lit(0)), row), link, group)
+    cells = F.filter(_cells_of(lambda c: _has(c, LEFT) & _has(c, WRAPPED)), lambda c: c.rlike(LINK))
+    return F.regexp_extract(F.coalesce(F.get(cells, F.lit(0)), row), LINK, group)
 
 
 def _kind_cells() -> Column:
     """Texts of left-aligned cells other than the title's; the first usable one is picked later."""
-    cells = _cells_of(lambda c: c.contains("tal") & ~c.contains("wsnormal"))
+    cells = _cells_of(lambda c: _has(c, LEFT) & ~_has(c, WRAPPED))
     return F.array_join(F.transform(cells, strip_tags), _KIND_MARK)
 
 
@@ -281,13 +306,15 @@ DISCLOSURES = Rule(
     "disclosures",
     TR,
     {"title_url": lambda row: _title_cell(row, 1)},
-    (NOTICE_TABLE, TBODY),
+    (NOTICE_TABLE,),
+    prefer=TBODY,
+    skip=attribute("th", "scope", "col"),
     keep="_raw_code <> ''",
-    cells=r'(?is)<td\b[^>]*\bclass="([^"]*)"[^>]*>.*?</td>',
+    cells=attribute("td", "class", "[^\"']*") + ".*?</td>",
     classed_cells=True,
     texts={
         "code": lambda row: first(F.array_join(_cells_of(_centred), ""), ANCHOR),
-        "company": lambda row: first(row, r'(?is)<th[^>]*class="[^"]*\btal\b[^"]*"[^>]*>(.*?)</th>'),
+        "company": lambda row: first(row, tag("th", LEFT)),
         "market": lambda row: at(_cells_of(_centred), 1),
         "_kinds": lambda row: _kind_cells(),
         "title": lambda row: _title_cell(row, 2),
@@ -306,45 +333,47 @@ def disclosure_rows(pages: DataFrame) -> DataFrame:
 
 EARNINGS = Rule(
     "earnings",
-    r"(?is)<tr.*?</tr>",
+    TR,
     {
         "iso": lambda row: first(row, TIME_ATTRIBUTE),
-        "code": lambda row: first(row, r'(?i)<td[^>]*\bdata-code="([A-Za-z0-9]+)"'),
+        "code": lambda row: first(row, attribute("td", CODE_ATTRIBUTE, "[A-Za-z0-9]+")),
     },
-    block_group=0,
     keep="iso <> ''",
     texts={"title": lambda row: first(row, ANCHOR)},
 )
 
+#: A headline, from its date to its title; date in group 1, title in group 2. A date never reaches over its own end tag.
 HOLDING_BLOCK = (
-    r"(?is)<div\s+class=[\"']news[\"'][^>]*>\s*<div\s+class=[\"']date[\"']>[^\n]*?</div>\s*"
-    r"<h4\s+class=[\"']title[\"']>.*?</h4>\s*</div>"
+    f"(?is){start('div', HEADLINE)}\\s*{start('div', HEADLINE_DATE)}((?:(?!</div>).)*)</div>\\s*{start('h4', HEADLINE_TITLE)}(.*?)</h4>\\s*</div>"
 )
+#: The box of the headlines ends where the end of a headline is followed by the end of the box.
+HOLDING_BOX = f"(?is){start('div', HEADLINE_BOX)}(.*?</div>)\\s*</div>"
 
 
 def holdings_rule(base_url: str) -> Rule:
-    """Large-holding headlines taken apart; ``base_url`` precedes the page's own links."""
-    heading = r"(?is)<h4\s+class=[\"']title[\"']>(.*?)</h4>"
-    link = r"(?is)<a\s+[^>]*href=[\"']([^\"']+)[\"'][^>]*>(.*?)</a>"
-    flag = r"(?i)<span\s+class=[\"']diffflag[^\"']*[\"'][^>]*>(.*?)</span>"
+    """Large-holding headlines taken apart; ``base_url`` precedes the page's own links. Where a page has boxes, headlines outside do not count."""
+
+    def heading(block: Column) -> Column:
+        return first(block, HOLDING_BLOCK, 2)
 
     def url(block: Column) -> Column:
-        href = first(first(block, heading), link)
+        href = first(heading(block), LINK)
         return F.when(href != "", F.concat(F.lit(base_url), href)).otherwise("")
 
     def title(block: Column) -> Column:
-        head = first(block, heading)
-        return F.when(head.rlike(link), first(head, link, 2)).otherwise(head)
+        return F.when(heading(block).rlike(LINK), first(heading(block), LINK, 2)).otherwise(heading(block))
 
     return Rule(
         "holdings",
         HOLDING_BLOCK,
         {"url": url},
         block_group=0,
+        prefer=HOLDING_BOX,
+        prefer_every=True,
         texts={
-            "date": lambda b: first(b, r"(?i)<div\s+class=[\"']date[\"']>(.*?)</div>"),
+            "date": lambda b: first(b, HOLDING_BLOCK, 1),
             "title": title,
-            "flag": lambda b: first(first(b, heading), flag),
+            "flag": lambda b: first(heading(b), tag("span", HEADLINE_FLAG)),
         },
     )
 
