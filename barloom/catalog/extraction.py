@@ -133,22 +133,26 @@ def _night_morning(spark, d):
 # --- announcements ----------------------------------------------------------------------------
 
 
-def _disclosures(spark, d):
-    o = adapters.table(spark, d, "orders")
+def disclosure_pages(spark, d, pos="o_orderkey", day="o_orderdate"):
+    """Orders as announcements, read in order of ``pos`` and dated ``day``."""
+    o = adapters.table(spark, d, "orders").withColumns({"pos": F.expr(pos), "day": F.expr(day)})
     key = F.col("o_orderkey").cast("string")
     row = F.concat(
         F.lit('<tr><td class="tac"><a href="/s">o'), key, F.lit('</a></td><th class="tal">Firm &amp; '), F.col("o_custkey").cast("string"),
         F.lit('</th><td class="tac">'), F.col("o_orderstatus"), F.lit('</td><td class="tal">'), F.col("o_orderpriority"),
         F.lit('</td><td class="tal wsnormal"><a href="/pdf/'), key, F.lit('">Notice &lt;'), key, F.lit("&gt;</a></td><td><time>"),
-        F.date_format("o_orderdate", "yy/MM/dd"), F.lit("&nbsp;15:30</time></td></tr>"),
+        F.date_format("day", "yy/MM/dd"), F.lit("&nbsp;15:30</time></td></tr>"),
     )
-    pages = _paged(o.select("o_orderkey", row.alias("r")), 100, "o_orderkey", "r", "o_orderkey")
+    pages = _paged(o.select("pos", row.alias("r")), 100, "pos", "r", "pos")
     # Every fourth page has a table without a body; heading rows hold a linked code, so that only their scope tells them apart.
     head = '<tr><th scope="col">c</th><td class="tac"><a href="/s">head</a></td></tr>'
     body = _page(F.col("rows"), f'<table class="stock_table"><thead>{head}</thead><tbody>{head}', "</tbody></table>")
     bare = _page(F.col("rows"), f'<table class="stock_table">{head}', "</table>")
-    html = pages.select("page_id", F.when(F.col("page_id") % 4 == 0, bare).otherwise(body).alias("html"))
-    out = X.disclosure_rows(html)
+    return pages.select("page_id", F.when(F.col("page_id") % 4 == 0, bare).otherwise(body).alias("html"))
+
+
+def _disclosures(spark, d):
+    out = X.disclosure_rows(disclosure_pages(spark, d))
     return out.select(
         "page_id", "code", "company", "market", "kind", "title", "title_url", "datetime_str", dates.date_inside(F.col("datetime_str")).alias("day")
     )
@@ -157,8 +161,8 @@ def _disclosures(spark, d):
 _KINDS = ("最高益を更新", "業績を上方修正", "今期は減益", "配当を維持")
 
 
-def _earnings_pages(spark, d):
-    e = adapters.table(spark, d, "events")
+def earnings_pages(spark, d, pos="event_id"):
+    e = adapters.table(spark, d, "events").withColumn("pos", F.expr(pos))
     kind = F.element_at(F.array(*[F.lit(k) for k in _KINDS]), (F.col("event_id") % 4 + 1).cast("int"))
     stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     row = F.concat(
@@ -166,12 +170,12 @@ def _earnings_pages(spark, d):
         F.when(F.col("event_id") % 9 != 0, F.col("user_id").cast("string")).otherwise(""), F.lit('">c</td><td><a href="/n">'),
         F.col("event_type"), F.lit("、"), kind, F.lit(" &amp; "), F.col("event_id").cast("string"), F.lit("</a></td></tr>"),
     )
-    pages = _paged(e.select("event_id", row.alias("r")), 100, "event_id", "r", "event_id")
+    pages = _paged(e.select("pos", row.alias("r")), 100, "pos", "r", "pos")
     return pages.select("page_id", _page(F.col("rows"), "<table>", "</table>").alias("html"))
 
 
 def _earnings(spark, d):
-    rows = X.extract(_earnings_pages(spark, d), X.EARNINGS).filter("code <> '' AND title <> ''")
+    rows = X.extract(earnings_pages(spark, d), X.EARNINGS).filter("code <> '' AND title <> ''")
     split = titles.company_and_body(F.col("title"))
     return rows.select(
         "page_id", dates.month_day(F.col("iso")).alias("date"), dates.clock(F.col("iso")).alias("time"), "code",
@@ -179,8 +183,8 @@ def _earnings(spark, d):
     )
 
 
-def _holdings(spark, d):
-    c = adapters.table(spark, d, "customer")
+def holding_pages(spark, d, pos="c_custkey"):
+    c = adapters.table(spark, d, "customer").withColumn("pos", F.expr(pos))
     key = F.col("c_custkey")
     suffix = F.when(key % 3 == 0, "（買い増し）").when(key % 3 == 1, "（保有減少）").otherwise("")
     mark = F.when(key % 5 == 0, F.format_string("Corp%04d", key)).otherwise(
@@ -192,15 +196,18 @@ def _holdings(spark, d):
         F.lit('</div><h4 class="title"><span class="diffflag up">増</span><a href="/r/'), key.cast("string"), F.lit('">'),
         title, F.lit("</a></h4></div>"),
     )
-    pages = _paged(c.select("c_custkey", block.alias("r")), PAGE_ROWS, "c_custkey", "r", "c_custkey")
+    pages = _paged(c.select("pos", block.alias("r")), PAGE_ROWS, "pos", "r", "pos")
     # Two of three pages have a box, with a headline outside it that does not count.
     outside = '<div class="news"><div class="date">2002-01-01</div><h4 class="title">outside</h4></div>'
     boxed = _page(F.col("rows"), f'{outside}<div class="news_box">', f"</div>{outside}")
-    html = pages.select("page_id", F.when(F.col("page_id") % 3 == 0, _page(F.col("rows"))).otherwise(boxed).alias("html"))
-    return X.holding_rows(html, SITE).drop("row")
+    return pages.select("page_id", F.when(F.col("page_id") % 3 == 0, _page(F.col("rows"))).otherwise(boxed).alias("html"))
+
+
+def _holdings(spark, d):
+    return X.holding_rows(holding_pages(spark, d), SITE).drop("row")
 
 
-_NEWS_RULES = (
+NEWS_RULES = (
     X.news_rule(
         "cards", r"(?is)<div class=\"card\"[^>]*>(.*?)</div>", r'(?is)<a[^>]*data-testid="Title"[^>]*href="([^"]+)"',
         r'(?is)<h3[^>]*data-testid="Heading"[^>]*>(.*?)</h3>', SITE,
@@ -211,28 +218,32 @@ _NEWS_RULES = (
 )
 
 
-def _news_articles(spark, d):
-    """One event rendered in each of the four layouts; every rule picks up its own."""
-    e = adapters.table(spark, d, "events")
+def news_blocks(link):
+    """An event as a news item in the layout of every source, by rule name; ``link`` makes an address of the source's letter."""
     key, stamp = F.col("event_id").cast("string"), F.date_format("ts", "yyyy/MM/dd HH:mm")
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
     def text(*parts):
         return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
-    block = F.concat(
-        text('<div class="card"><time datetime="', iso, '">x</time><a data-testid="Title" href="/a/', key, '"><h3 data-testid="Heading">A ', key, "</h3></a></div>"),
-        text('<h3 class="item_x"> <a href="', SITE, "/b/", key, '">B &amp; ', key, "</a></h3>"),
-        text('<ul><li class="newsList__item new"><span class="newsList__date"> </span><span class="newsList__date">', stamp, '</span><a class="x newsList__title" href="c/', key, '">C  ', key, "</a></li></ul>"),
-        text('<p><a href="/d/', key, '"><span class="news-list-date">', stamp, '</span><span class="news-list-title">D ', key, "</span></a></p>"),
-    )
-    pages = _paged(e.select("event_id", block.alias("r")), PAGE_ROWS, "event_id", "r", "event_id")
-    html = pages.select("page_id", _page(F.col("rows")).alias("html"))
-    found = [X.extract(html, r).withColumn("source", F.lit(r.name)) for r in _NEWS_RULES]
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out.drop("row")
+    return {
+        "cards": text('<div class="card"><time datetime="', iso, '">x</time><a data-testid="Title" href="/', link("a"), '"><h3 data-testid="Heading">A ', key, "</h3></a></div>"),
+        "heads": text('<h3 class="item_x"> <a href="', SITE, "/", link("b"), '">B &amp; ', key, "</a></h3>"),
+        "items": text('<ul><li class="newsList__item new"><span class="newsList__date"> </span><span class="newsList__date">', stamp, '</span><a class="x newsList__title" href="', link("c"), '">C  ', key, "</a></li></ul>"),
+        "notes": text('<p><a href="/', link("d"), '"><span class="news-list-date">', stamp, '</span><span class="news-list-title">D ', key, "</span></a></p>"),
+    }
+
+
+def paged_news(events, block):
+    pages = _paged(events.select("event_id", block.alias("r")), PAGE_ROWS, "event_id", "r", "event_id")
+    return pages.select("page_id", _page(F.col("rows")).alias("html"))
+
+
+def _news_articles(spark, d):
+    """One event rendered in each of the four layouts on one page, cut by all rules in one pass; every rule picks up its own."""
+    blocks = news_blocks(lambda letter: F.concat_ws("/", F.lit(letter), F.col("event_id").cast("string")))
+    pages = paged_news(adapters.table(spark, d, "events"), F.concat(*blocks.values()))
+    return X.extract_all(pages, NEWS_RULES).drop("row")
 
 
 # --- reference pages --------------------------------------------------------------------------

@@ -10,13 +10,17 @@ from ..plans import snapshot as S
 from ..sources import adapters
 from .common import SQL_BARS_SUPPLIER, r6, rounded
 
-DAY = "2001-06-15"
+# A day on which every full list of the snapshot has codes.
+DAY = "1995-02-13"
 WORDS = ("license", "error", "ouvi", "sch", "tion", "eau", "ing")
 WATCH = ("click", "SIGNUP", "none")
 
 
 def _snapshot(spark, d):
-    return rounded(S.snapshot(adapters.bars_supplier(spark, d), F.lit(DAY)).drop("sort"))
+    nations = adapters.table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("market"))
+    suppliers = adapters.table(spark, d, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+    names = suppliers.select(F.col("s_suppkey").cast("string").alias("code"), F.col("s_name").alias("name"), "market")
+    return rounded(S.snapshot(adapters.bars_supplier(spark, d), F.lit(DAY), names=names).drop("sort"))
 
 
 def _counts(spark, d):
@@ -140,25 +144,60 @@ m0 AS (
 m AS (SELECT *, price - prev AS diff, (price / nullif(prev, 0) - 1) * 100 AS diff_pct FROM m0 WHERE price IS NOT NULL)"""
 
 
-def _entries_sql() -> str:
-    """One statement per list, under each other."""
-    parts = []
-    for k, x in enumerate(S.LISTS, 1):
-        rank = f"CAST(row_number() OVER (ORDER BY {x.sort} {'DESC' if x.falling else ''}, code) AS INTEGER)" if x.top else "CAST(NULL AS INTEGER)"
-        parts.append(
-            f"SELECT {k} AS list_rank, '{x.name}' AS list, {rank} AS rank, code, price, {x.diff} AS diff, {x.diff_pct} AS diff_pct, "
-            f"{x.amount} AS amount FROM m WHERE {x.condition}"
-        )
-    return " UNION ALL ".join(parts)
+def _top_sql(k: int, name: str, order: str, condition: str, diff: str = "diff", pct: str = "diff_pct", amount: str = "CAST(NULL AS DOUBLE)") -> str:
+    return (
+        f"SELECT {k} AS list_rank, '{name}' AS list, CAST(row_number() OVER (ORDER BY {order}, code) AS INTEGER) AS rank, code, price, "
+        f"{diff} AS diff, {pct} AS diff_pct, {amount} AS amount FROM m WHERE {condition}"
+    )
+
 
+def _full_sql(k: int, name: str, condition: str) -> str:
+    return f"SELECT {k}, '{name}', CAST(NULL AS INTEGER), code, price, diff, diff_pct, CAST(NULL AS DOUBLE) FROM m WHERE {condition}"
+
+
+def _change_sql(k: int, name: str, base: str, falling: str) -> str:
+    change = f"(price - {base}) / nullif({base}, 0) * 100"
+    return _top_sql(k, name, f"price / nullif({base}, 0) {falling}", f"{base} <> 0", f"price - {base}", change, base)
+
+
+# The expected lists, written from the report and not from the rules under test.
+_ENTRIES = " UNION ALL ".join(
+    [
+        _top_sql(1, "売買代金", "price * volume DESC", "true", amount="price * volume"),
+        _top_sql(2, "出来高", "volume DESC", "price >= 100", amount="volume"),
+        _top_sql(3, "今日の株価上昇率", "diff_pct DESC", "diff_pct IS NOT NULL"),
+        _top_sql(4, "今日の株価下落率", "diff_pct", "diff_pct IS NOT NULL"),
+        _full_sql(5, "本日、52週高値更新", "price > high_52w"),
+        _full_sql(6, "本日、52週安値更新", "price < low_52w"),
+        _full_sql(7, "本日、年初来高値更新", "price > high_ytd"),
+        _full_sql(8, "本日、年初来安値更新", "price < low_ytd"),
+        _change_sql(9, "今週の株価上昇率", "base_week", "DESC"),
+        _change_sql(10, "今月の株価上昇率", "base_month", "DESC"),
+        _change_sql(11, "今年の株価上昇率", "base_year", "DESC"),
+        _change_sql(12, "過去1週間の株価上昇率", "base_7d", "DESC"),
+        _change_sql(13, "過去1ヵ月の株価上昇率", "base_1m", "DESC"),
+        _change_sql(14, "過去1年の株価上昇率", "base_1y", "DESC"),
+        _change_sql(15, "今週の株価下落率", "base_week", "ASC"),
+        _change_sql(16, "今月の株価下落率", "base_month", "ASC"),
+        _change_sql(17, "今年の株価下落率", "base_year", "ASC"),
+        _change_sql(18, "過去1週間の株価下落率", "base_7d", "ASC"),
+        _change_sql(19, "過去1ヵ月の株価下落率", "base_1m", "ASC"),
+        _change_sql(20, "過去1年の株価下落率", "base_1y", "ASC"),
+    ]
+)
+
+
+# Separators of company and body, in the order in which they are tried.
+_SEPARATORS = ("、", "：", ":", "／", "/", " - ", "-")
 
 _LISTING = """listing AS (SELECT event_type AS listing, event_id, user_id, props,
   CAST(ts AS DATE) - CASE WHEN event_id % 97 = 0 THEN 1 ELSE 0 END AS day, -event_id AS pos FROM events)"""
 
 ORACLES = {
-    "snapshot_lists": f"""WITH {SQL_BARS_SUPPLIER}, src AS (SELECT * FROM bars_supplier), {_METRICS}, e AS ({_entries_sql()})
-SELECT list_rank, list, rank, code, {r6('price', 'price')}, {r6('diff', 'diff')}, {r6('diff_pct', 'diff_pct')}, {r6('amount', 'amount')}
-FROM e WHERE rank IS NULL OR rank <= 20""",
+    "snapshot_lists": f"""WITH {SQL_BARS_SUPPLIER}, src AS (SELECT * FROM bars_supplier), {_METRICS}, e AS ({_ENTRIES}),
+names AS (SELECT CAST(s_suppkey AS VARCHAR) AS code, s_name AS name, n_name AS market FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey)
+SELECT list_rank, list, rank, code, name, market, {r6('price', 'price')}, {r6('diff', 'diff')}, {r6('diff_pct', 'diff_pct')}, {r6('amount', 'amount')}
+FROM e LEFT JOIN names USING (code) WHERE rank IS NULL OR rank <= 20""",
     "snapshot_counts": f"""WITH {SQL_BARS_SUPPLIER}, src AS (SELECT * FROM bars_supplier), {_METRICS}
 SELECT 5 AS list_rank, '本日、52週高値更新' AS list, count(*) FILTER (price > high_52w) AS codes FROM m
 UNION ALL SELECT 6, '本日、52週安値更新', count(*) FILTER (price < low_52w) FROM m
@@ -178,7 +217,7 @@ WHERE upper(p_brand) IN (SELECT upper('brand#' || n_nationkey) FROM nation)""",
     + f" ELSE {len(WORDS) + 1} END AS position FROM documents) SELECT CAST(position AS INTEGER) AS position, "
     + f"[{', '.join(repr(w) for w in (*WORDS, 'その他'))}][position] AS label, count(*) AS count FROM c GROUP BY position",
     "title_split": "WITH s AS (SELECT doc_id, text, CASE "
-    + " ".join(f"WHEN contains(text, '{s}') THEN '{s}'" for s in titles.SEPARATORS)
+    + " ".join(f"WHEN contains(text, '{s}') THEN '{s}'" for s in _SEPARATORS)
     + """ END AS sep FROM documents),
 p AS (SELECT doc_id, CASE WHEN sep IS NULL THEN '' ELSE trim(substr(text, 1, instr(text, sep) - 1), chr(32) || chr(9) || chr(10) || chr(13) || chr(11)) END AS company,
   CASE WHEN sep IS NULL THEN text ELSE trim(substr(text, instr(text, sep) + length(sep)), chr(32) || chr(9) || chr(10) || chr(13) || chr(11)) END AS body FROM s)

@@ -1,8 +1,8 @@
-"""Price bars: null repair, newest-N slices and neighbours in time."""
+"""Price bars: null repair and newest-N slices."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE_BARS = 200
@@ -36,23 +36,3 @@ def slice_positions(bars: DataFrame, n: int = SLICE_BARS) -> DataFrame:
 def latest_dates(bars: DataFrame) -> DataFrame:
     """Newest date per code; blank codes dropped."""
     return bars.filter(F.trim("code") != "").groupBy("code").agg(F.max("asof_date").alias("latest"))
-
-
-def with_previous(bars: DataFrame, cols: list[str], era: Column | None = None) -> DataFrame:
-    """Add ``prev_<col>`` from the bar before, over unbounded history.
-
-    Codes are split by calendar year (``era``) so that no task ever holds the whole history of
-    one code; only the first and last bar of every year travel to the per-code stitch.
-    """
-    era = F.year("asof_date") if era is None else era
-    inside = Window.partitionBy("code", "_era").orderBy("asof_date")
-    before = {f"prev_{c}": F.lag(c).over(inside) for c in cols}
-    split = bars.withColumn("_era", era).withColumns(
-        {**before, "_first": F.row_number().over(inside) == 1, "_last": F.lead("asof_date").over(inside).isNull()}
-    )
-    inner = split.filter(~F.col("_first"))
-    stitch = Window.partitionBy("code").orderBy("asof_date")
-    edges = split.filter(F.col("_first") | F.col("_last")).withColumns(
-        {f"prev_{c}": F.lag(c).over(stitch) for c in cols}
-    )
-    return inner.unionByName(edges.filter("_first")).drop("_era", "_first", "_last")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,6 +92,38 @@ def extract(pages: DataFrame, rule: Rule, html: str = "html") -> DataFrame:
     return _columns(cut, others, rule)
 
 
+def extract_all(pages: DataFrame, rules: tuple[Rule, ...], html: str = "html") -> DataFrame:
+    """Rows of several rules of equal columns and without ``cells``, with the rule's name as ``source``: pages are read and cut once.
+
+    The blocks of all rules leave the page together; the rule of a block then picks its expressions.
+    """
+    others = [c for c in pages.columns if c != html]
+
+    def numbered(k: int) -> Column:
+        return F.transform(_blocks(F.col(html), rules[k]), lambda b, i: F.struct(F.lit(k).alias("k"), i.alias("row"), b.alias("b")))
+
+    tagged = [numbered(k) for k in range(len(rules))]
+    cut = pages.select(*others, F.explode(F.concat(*tagged)).alias("_z")).select(*others, "_z.k", "_z.row", F.col("_z.b").alias("_block"))
+    block, names = F.col("_block"), sorted({*rules[0].columns, *rules[0].texts})
+
+    def raw(rule: Rule) -> Column:
+        made = {n: rule.columns[n](block) if n in rule.columns else trim(strip_tags(rule.texts[n](block))) for n in names}
+        return F.struct(*[c.alias(n) for n, c in made.items()])
+
+    picked = reduce(lambda e, kr: F.when(F.col("k") == kr[0], raw(kr[1])).otherwise(e), enumerate(rules), F.lit(None))
+    rows = cut.select(*others, "k", "row", picked.alias("_v")).select(*others, "k", "row", "_v.*")
+    kept = [f"(k = {k} AND {r.keep.replace('_raw_', '')})" for k, r in enumerate(rules)]
+    rows = rows.filter(" OR ".join(kept))
+    decoded = sorted({n for r in rules for n in r.texts})
+    done = rows.withColumn("_texts", clean_many([F.col(n) for n in decoded]))
+    by_text = {
+        n: F.when(F.col("k").isin([k for k, r in enumerate(rules) if n in r.texts]), at(F.col("_texts"), decoded.index(n))).otherwise(F.col(n))
+        for n in decoded
+    }
+    source = F.element_at(F.array(*[F.lit(r.name) for r in rules]), F.col("k") + 1)
+    return done.select(*others, "row", *[by_text.get(n, F.col(n)).alias(n) for n in names], source.alias("source"))
+
+
 def _blocks(text: Column, rule: Rule) -> Column:
     def cut(s: Column) -> Column:
         if rule.prefer:

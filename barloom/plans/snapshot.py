@@ -103,14 +103,19 @@ def snapshot_entries(metrics: DataFrame, lists: tuple[RankedList, ...] = LISTS)
     return flat.select("list_rank", "list", "top", "sort", "code", "price", "diff", "diff_pct", "amount")
 
 
-def snapshot(bars: DataFrame, run_date: Column, lists: tuple[RankedList, ...] = LISTS) -> DataFrame:
+def snapshot(
+    bars: DataFrame, run_date: Column, lists: tuple[RankedList, ...] = LISTS, names: DataFrame | None = None
+) -> DataFrame:
     """The lists under each other. ``rank`` is set for top lists; full lists are ordered by ``sort`` only,
-    since numbering them would need one task per list."""
-    entries = snapshot_entries(day_metrics(bars, run_date), lists)
-    order = [F.col("sort"), F.col("code")]
-    top = top_in_order(entries.filter("top"), TOP_DAY, ["list_rank"], order)
-    full = entries.filter("NOT top").withColumn("rank", F.lit(None).cast("int"))
-    return top.unionByName(full).drop("top")
+    since numbering them would need one task per list.
+
+    One window ranks everything, so bars are read once: a code of a full list is a group of its own there and always
+    passes. ``names`` has one row per code with ``code``, ``name`` and ``market``.
+    """
+    entries = snapshot_entries(day_metrics(bars, run_date), lists).withColumn("_own", F.when(~F.col("top"), F.col("code")))
+    ranked = top_in_order(entries, TOP_DAY, ["list_rank", "_own"], [F.col("sort"), F.col("code")])
+    ranked = ranked.withColumn("rank", F.when(F.col("top"), F.col("rank"))).drop("top", "_own")
+    return ranked if names is None else ranked.join(names.select("code", "name", "market"), "code", "left")
 
 
 def snapshot_counts(bars: DataFrame, run_date: Column, lists: tuple[RankedList, ...] = LISTS) -> DataFrame:

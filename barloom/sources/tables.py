@@ -35,10 +35,10 @@ def read_raw_bars(spark: SparkSession, path: str) -> DataFrame:
 def read_sheet(spark: SparkSession, path: str, required: tuple[str, ...] = ()) -> DataFrame:
     """A spreadsheet export: header names trimmed and freed from a byte-order mark, rows numbered.
 
-    ``row_idx`` follows the order of the file; blank lines are skipped by the reader. A missing
+    ``row_idx`` follows the order of the file; blank lines are skipped by the reader, doubled quotes are one. A missing
     required column fails here, before anything runs.
     """
-    raw = spark.read.option("header", True).option("multiLine", True).csv(path)
+    raw = spark.read.options(header=True, multiLine=True, escape='"').csv(path)
     df = raw.toDF(*[c.removeprefix(BOM).strip() for c in raw.columns])
     missing = [c for c in required if c not in df.columns]
     if missing:

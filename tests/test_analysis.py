@@ -167,12 +167,23 @@ def test_short_index_is_not_used(spark):
     assert got["beta"] is None and got["style"] == analysis.scores.STYLES["none"]
 
 
-def test_with_previous_over_years(spark):
-    days = [dt.date(2018, 12, 30), dt.date(2018, 12, 31), dt.date(2019, 1, 2), dt.date(2021, 5, 5), dt.date(2022, 1, 1), dt.date(2022, 1, 2)]
-    rows = [(c, d, None, None, None, float(k), None) for c in "ab" for k, d in enumerate(days)]
-    got = B.with_previous(spark.createDataFrame(rows, BARS), ["asof_date", "close"]).filter("code = 'a'").orderBy("asof_date").collect()
-    assert [r["prev_asof_date"] for r in got] == [None, *days[:-1]]
-    assert [r["prev_close"] for r in got] == [None, 0.0, 1.0, 2.0, 3.0, 4.0]
+def test_drops_between_years(spark):
+    """Drops at the first bar of a year, over a gap of years, and two in one year, of which the newer counts."""
+    def bars(code, *days):
+        return [(code, dt.date(*day), None, None, None, close, None) for *day, close in days]
+
+    rows = (
+        bars("edge", (2018, 12, 30, 900.0), (2018, 12, 31, 900.0), (2019, 1, 2, 500.0))
+        + bars("gap", (2018, 5, 5, 900.0), (2021, 5, 5, 500.0), (2022, 1, 1, 510.0))
+        + bars("two", (2018, 12, 31, 2000.0), (2019, 1, 2, 1000.0), (2019, 1, 3, 500.0), (2020, 1, 1, 500.0), (2020, 1, 2, 500.0))
+        + bars("none", (2018, 12, 31, 500.0), (2019, 1, 2, None), (2020, 1, 2, 300.0))
+    )
+    got = {r["code"]: r for r in integrity.suspicious_drops(spark.createDataFrame(rows, BARS)).collect()}
+    assert set(got) == {"edge", "gap", "two"}
+    day = dt.date
+    assert [got["edge"][c] for c in ("asof_date", "prev_date", "prev_close", "repair_date")] == [day(2019, 1, 2), day(2018, 12, 31), 900.0, day(2018, 12, 31)]
+    assert [got["gap"][c] for c in ("asof_date", "prev_date", "close", "repair_date")] == [day(2021, 5, 5), day(2018, 5, 5), 500.0, day(2021, 5, 5)]
+    assert [got["two"][c] for c in ("asof_date", "prev_close", "drop_pct", "repair_date")] == [day(2019, 1, 3), 1000.0, 50.0, day(2020, 1, 1)]
 
 
 def test_suspicious_drops(spark):

@@ -66,6 +66,13 @@ def test_trades_are_not_sorted_before_the_shuffle(spark, name):
     assert text.count("HashAggregate") == 2 and "SortAggregate" not in text and "Sort [" not in text
 
 
+@pytest.mark.parametrize("name, scans", [("snapshot_lists", 1), ("integrity_hits", 1), ("extract_news", 1), ("snapshot_counts", 1)])
+def test_the_facts_are_read_once(spark, name, scans):
+    text = plan(catalog.queries()[name](spark, SF))
+    facts = re.findall(r"FileScan parquet .*?(?:lineitem|events)\.parquet", text)
+    assert len(facts) == scans
+
+
 @pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_cross_joins(spark, name):
     if "stream" in name or name in ("store_upsert",):
