@@ -342,6 +342,14 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
             return roots
 
 
+def rooted(marked: DataFrame, radius: int = RADIUS, more: DataFrame | None = None) -> DataFrame:
+    """(fp, root): every fingerprint of ``marked`` with the smallest one that links of at most ``radius`` bits, or of ``more`` (a, b), reach."""
+    classes = common.stored(marked.select("fp").distinct(), "simhash-classes")
+    found = links(classes, radius) if more is None else links(classes, radius).union(more)
+    found = components(common.stored(found, "simhash-links"), "simhash")
+    return classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """key, fp, component_id: the smallest key that links of at most ``radius`` bits reach, one row per row.
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import common, decontamination, packing, quality, simhash, toxicity
+from barloom.llm import common, decontamination, packing, quality, shingles, simhash, toxicity
 
 #: Documents with a toxicity of at least, or a quality below, these go.
 TOXIC_FROM, QUALITY_FROM = 0.5, 0.3
@@ -29,9 +29,18 @@ def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near-duplicates the document with the smallest id stays, once if it repeats; rows without an id stay."""
-    found = simhash.near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    """Of every group of near-duplicates the document with the smallest id stays, once if it repeats; rows without an id stay.
+
+    Groups are connected by fingerprints of at most RADIUS differing bits, and by five-word shingle sets of a similarity of at least 0.8.
+    """
     mark = common.unused(docs, "_text")
+    texts = docs.select(F.xxhash64("text").alias("x"), F.col("text").alias("t"))
+    marked = common.stored(simhash.fingerprints(texts, "x", "t").distinct(), "near-marks")
+    alike = shingles.alike(texts).join(marked.toDF("a", "fp_a"), "a").join(marked.toDF("b", "fp_b"), "b")
+    roots = simhash.rooted(marked, more=alike.where("fp_a != fp_b").select(F.greatest("fp_a", "fp_b"), F.least("fp_a", "fp_b")))
+    group = marked.join(roots, "fp").select(F.col("x").alias(mark), "root")
+    rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias(mark)).join(group, mark)
+    found = rows.groupBy("root").agg(F.min("id").alias("doc_id")).where("doc_id is not null").select("doc_id")
     kept = docs.join(found, "doc_id", "left_semi").withColumn(mark, F.xxhash64("text")).dropDuplicates(["doc_id", mark]).drop(mark)
     return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
 
