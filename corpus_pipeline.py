@@ -29,7 +29,7 @@ def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near-duplicates the document with the smallest id stays, once if it repeats; rows without an id stay.
+    """Of every group of near-duplicates one document stays: of the smallest id, then text; rows without an id come last.
 
     Groups are connected by fingerprints of at most RADIUS differing bits, and by five-word shingle sets of a similarity of at least 0.8.
     """
@@ -39,10 +39,11 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     alike = shingles.alike(texts).join(marked.toDF("a", "fp_a"), "a").join(marked.toDF("b", "fp_b"), "b")
     roots = simhash.rooted(marked, more=alike.where("fp_a != fp_b").select(F.greatest("fp_a", "fp_b"), F.least("fp_a", "fp_b")))
     group = marked.join(roots, "fp").select(F.col("x").alias(mark), "root")
-    rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias(mark)).join(group, mark)
-    found = rows.groupBy("root").agg(F.min("id").alias("doc_id")).where("doc_id is not null").select("doc_id")
-    kept = docs.join(found, "doc_id", "left_semi").withColumn(mark, F.xxhash64("text")).dropDuplicates(["doc_id", mark]).drop(mark)
-    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    rows = docs.select(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.xxhash64("text").alias(mark)).alias("row"))
+    first = rows.join(group, F.col(f"row.{mark}") == F.col(mark)).groupBy("root").agg(F.min("row").alias("row")).select("row.id", F.col(f"row.{mark}").alias("x"))
+    again = docs.withColumn(mark, F.xxhash64("text"))
+    kept = again.join(first, (again[mark] == first["x"]) & again["doc_id"].eqNullSafe(first["id"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", mark]).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,3 +53,13 @@ def test_pairs_are_those_of_all_pairs(spark):
     texts = spark.createDataFrame(rows, "x long, t string")
     assert {(r.a, r.b) for r in shingles.alike(texts).collect()} == plain_pairs(rows)
     assert shingles.alike(texts.limit(0)).collect() == []
+
+
+def test_stage_keeps_one_row_of_each_group(spark):
+    long = " ".join(f"w{k}" for k in range(100))
+    own = ["one whole text of its own " * 3, "another text that has nothing shared " * 3]
+    rows = [(1, own[0]), (2, own[0]), (2, own[1]), (1, own[1]), (1, own[1]), (None, own[0]), (None, long), (None, long), (None, long + " more"), (3, None), (None, "")]
+    docs = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "doc_id long, text string, n int")
+    kept = corpus_pipeline.one_of_each(spark, docs, SF).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept if r.doc_id) == sorted([("1", own[0]), ("1", own[1]), ("3", None)], key=str)
+    assert len([r for r in kept if r.doc_id is None]) == 1 and all(r.text.startswith(long) for r in kept if r.doc_id is None)
