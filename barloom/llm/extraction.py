@@ -1,13 +1,14 @@
 """Main text of web pages: parser events, text-to-tag ratio per line, Gaussian smoothing, threshold clustering (Weninger et al. 2010).
 
 The standard library's parser streams events over the whole page. A line is the text between two block boundaries. Elements that never hold
-article text (menus, forms, scripts and the like, by tag, role or words of class and id) are left out with all they contain; open elements
-that the page forgot to close are closed by the rules of ``CLOSED_BY`` and by their parents' end.
+article text (menus, forms, scripts and the like, by tag or role) are left out with all they contain; open elements
+that the page forgot to close are closed by the rules of ``CLOSED_BY`` and by their parents' end. What only a class or id calls so is left out
+if it holds less than ``SHARE`` of the page's text; a name that merely mentions such a word lowers the score of its lines.
 
 Each line has a ratio: characters of text outside links, over tags seen in it. The ratios are smoothed along the page by a Gaussian kernel,
 and the threshold that parts content from the rest lies between the two means of a clustering of the logarithms of smoothed ratios.
-Lines of explicit article elements are content: a page that marks its article has no use for the guess. Where nothing is marked, the
-regions over the threshold are content, with the headings right before them.
+A line's score is that logarithm, raised by ``MARKED`` inside an explicit article element, lowered by ``UNMARKED`` outside where a page has
+one, and by ``NAMED`` inside an element whose name mentions a word of the kind above. The regions over the threshold are content on every page, with the headings right before them.
 
 Pages are independent: one pass, no shuffle, one page in memory at a time.
 """
@@ -57,6 +58,14 @@ KEPT_NAMES = re.compile(r"^(article|post|entry|story|main)[-_]?(body|content|tex
 ARTICLE = {"article", "main"}
 
 RADIUS, SIGMA = 2, 1.0
+#: What an article element adds to a line's score, and a name that mentions a dropped word takes off, in logarithms of the ratio.
+MARKED, NAMED = 2.0, 1.0
+#: What the lines outside lose on a page that marks an article; and characters per tag over which a line is no more of an article than others.
+UNMARKED, FULL = 1.5, 60.0
+#: A name cuts an element that holds less than this share of the page's text.
+SHARE = 0.5
+#: Before a word these say what the rest of the page has, not what the element is.
+ABOUT_PAGE = set("with has no without".split())
 _SPACE = re.compile(r"\s+")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -68,6 +77,7 @@ class Line:
     linked: float  # share of characters inside links
     in_article: bool
     heading: bool
+    named: bool = False  # inside an element whose name mentions a dropped word
 
 
 @dataclass
@@ -75,10 +85,12 @@ class _Open:
     tag: str
     dropped: bool
     article: bool
+    cut: bool = False
+    named: bool = False
 
 
 def is_dropped(tag: str, attrs: list[tuple[str, str | None]], inside_article: bool) -> bool:
-    """Whether an element is outside the article by its tag, role, visibility or names. A page header is dropped, an article's is kept."""
+    """Whether an element is outside the article by its tag, role or visibility. A page header is dropped, an article's is kept."""
     if tag in DROPPED or (tag == "header" and not inside_article):
         return True
     if not attrs or tag in ("html", "body"):
@@ -88,10 +100,20 @@ def is_dropped(tag: str, attrs: list[tuple[str, str | None]], inside_article: bo
         return True
     if "display:none" in (given.get("style") or "").replace(" ", "").lower():
         return True
+    return False
+
+
+def named(tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
+    """Whether a class or id is a dropped word or ends with one, and whether one mentions such a word. Never so for what marks the article."""
+    if not attrs or tag in ("html", "body") or tag in ARTICLE:
+        return False, False
+    given = dict(attrs)
     names = f"{given.get('class') or ''} {given.get('id') or ''}".split()
     if not names or any(KEPT_NAMES.match(n.lower()) for n in names):
-        return False
-    return any(w.lower() in DROPPED_WORDS for n in names for w in _PARTS.findall(n))
+        return False, False
+    parts = [[w.lower() for w in _PARTS.findall(n)] for n in names]
+    ends = any(p and p[-1] in DROPPED_WORDS and not (len(p) > 1 and p[-2] in ABOUT_PAGE) for p in parts)
+    return ends, any(w in DROPPED_WORDS for p in parts for w in p)
 
 
 @dataclass
@@ -103,23 +125,27 @@ class Lines(HTMLParser):
     def __post_init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[_Open] = []
-        self.dropped = self.articles = self.links = self.headings = 0
-        self.parts: list[str] = []
-        self.tags = self.linked = 0
+        self.dropped = self.articles = self.links = self.named = 0
+        self.cuts: list[int] = []  # open elements that their names may cut
+        self.sizes: list[int] = []  # characters in each of these elements
+        self.parts: list[tuple[str, tuple[int, ...], bool]] = []
+        self.raw: list[tuple[list, int, bool, bool, bool]] = []
+        self.tags = self.size = 0
         self.was_heading = False
 
     def _break(self) -> None:
-        text = _SPACE.sub(" ", "".join(self.parts)).strip()
-        if text:
-            linked = self.linked / len(text)
-            self.lines.append(Line(text, max(len(text) - self.linked, 0) / max(self.tags, 1), linked, self.articles > 0, self.was_heading))
-        self.parts, self.tags, self.linked, self.was_heading = [], 0, 0, False
+        if self.parts:
+            self.raw.append((self.parts, self.tags, self.articles > 0, self.was_heading, self.named > 0))
+        self.parts, self.tags, self.was_heading = [], 0, False
 
     def _pop(self) -> None:
         was = self.stack.pop()
         self.dropped -= was.dropped
         self.articles -= was.article
         self.links -= was.tag == "a"
+        self.named -= was.named
+        if was.cut:
+            self.cuts.pop()
 
     def handle_starttag(self, tag, attrs):
         if tag in CLOSED_BY:
@@ -137,11 +163,16 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         drop = is_dropped(tag, attrs, self.articles > 0)
-        opened = _Open(tag, drop, tag in ARTICLE and not self.dropped)
+        cut, mentions = named(tag, attrs)
+        opened = _Open(tag, drop, tag in ARTICLE and not self.dropped, cut, mentions)
         self.stack.append(opened)
         self.dropped += opened.dropped
         self.articles += opened.article
         self.links += tag == "a"
+        self.named += mentions
+        if cut:
+            self.cuts.append(len(self.sizes))
+            self.sizes.append(0)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)  # a slash does not close an HTML element
@@ -161,15 +192,24 @@ class Lines(HTMLParser):
     def handle_data(self, data):
         if self.dropped:
             return
-        self.parts.append(data)
-        if self.links:
-            self.linked += len(data.strip())
+        self.parts.append((data, tuple(self.cuts), self.links > 0))
+        n = len(data.strip())
+        self.size += n
+        for k in self.cuts:
+            self.sizes[k] += n
         if self.stack and self.stack[-1].tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
             self.was_heading = True
 
     def close(self):
         super().close()
         self._break()
+        gone = {k for k, n in enumerate(self.sizes) if n < SHARE * self.size}
+        for parts, tags, in_article, heading, is_named in self.raw:
+            kept = [(data, linked) for data, cuts, linked in parts if gone.isdisjoint(cuts)]
+            text = _SPACE.sub(" ", "".join(data for data, _ in kept)).strip()
+            if text:
+                linked = sum(len(data.strip()) for data, is_link in kept if is_link)
+                self.lines.append(Line(text, max(len(text) - linked, 0) / max(tags, 1), linked / len(text), in_article, heading, is_named))
 
 
 def smoothed(ratios: np.ndarray, radius: int = RADIUS, sigma: float = SIGMA) -> np.ndarray:
@@ -179,30 +219,37 @@ def smoothed(ratios: np.ndarray, radius: int = RADIUS, sigma: float = SIGMA) ->
     return total / np.convolve(np.ones(len(ratios)), kernel, "full")[radius : radius + len(ratios)]
 
 
-def threshold(values: np.ndarray) -> float:
-    """The point half-way between the means of the two clusters of the logarithms, found by Lloyd's steps; under all if there is one cluster."""
-    logs = np.log1p(values)
-    low, high = logs.min(), logs.max()
-    if high - low < np.log(3):
-        return -1.0
+def threshold(scores: np.ndarray) -> float:
+    """The point half-way between the means of the two clusters of the scores, found by Lloyd's steps.
+
+    A score of 0 takes part, that of a line of nothing but links: most of these are left out before, and without it pages of nothing but
+    their article would be parted into long and short paragraphs.
+    """
+    scores = np.append(scores, 0.0)
+    low, high = scores.min(), scores.max()
+    if low == high:
+        return -np.inf
     for _ in range(50):
         mid = (low + high) / 2
-        new = logs[logs <= mid].mean(), logs[logs > mid].mean()
+        new = scores[scores <= mid].mean(), scores[scores > mid].mean()
         if new == (low, high):
             break
         low, high = new
-    return float(np.expm1((low + high) / 2))
+    return float((low + high) / 2)
 
 
 def content(lines: list[Line]) -> list[str]:
     """The texts of the lines that belong to the article."""
-    marked = [x.text for x in lines if x.in_article]
-    if marked or not lines:
-        return marked
-    values = smoothed(np.array([x.ratio for x in lines]))
-    keep = (values > threshold(values)) & (np.array([x.linked for x in lines]) < 0.5)
+    if not lines:
+        return []
+    marked = np.array([x.in_article for x in lines])
+    ratios = np.log1p(smoothed(np.minimum([x.ratio for x in lines], FULL)))
+    scores = np.where(marked, np.minimum(ratios + MARKED, np.log1p(FULL)), ratios - UNMARKED * marked.any())
+    scores = scores - NAMED * np.array([x.named for x in lines])
+    own = marked | (np.array([x.linked for x in lines]) < 0.5)
+    keep = (scores > threshold(scores)) & own
     for k in range(len(lines) - 2, -1, -1):
-        if lines[k].heading and keep[k + 1] and lines[k].linked < 0.5:
+        if lines[k].heading and keep[k + 1] and own[k] and marked[k] == marked[k + 1]:
             keep[k] = True
     return [x.text for x, use in zip(lines, keep) if use]
 

@@ -2,6 +2,7 @@
 
 import html as escapes
 import re
+from collections import Counter
 
 from barloom.llm import extraction
 
@@ -43,3 +44,25 @@ def test_pages_table(spark):
     for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
         inside = re.search("<article>(.*?)</article>", r.html, re.S)[1]
         assert got[r.page_id] == " ".join(escapes.unescape(re.sub("<[^>]+>", " \0 ", inside)).replace("\0", " ").split())
+
+
+BODY = [f"Sentence {i} of a long paragraph that has a good number of words in it, and no tags at all, so it reads on." for i in range(8)]
+
+
+def test_body_outside_of_article_elements():
+    body = "".join(f"<p>{x}</p>" for x in BODY)
+    cards = "".join(f"<article><h3>Card {i}</h3><p>Short teaser {i}</p></article>" for i in range(4))
+    links = "<ul>" + "".join(f"<li><a href=/{i}>Link {i}</a>" for i in range(12)) + "</ul>"
+    for page in (f"<body>{links}<div class=text>{body}</div>{cards}{links}</body>", f"<body>{links}<article><p>{BODY[0]}</p></article>{body}{links}</body>"):
+        got = extraction.main_text(page)
+        assert all(x in got for x in BODY) and "Link 3" not in got
+
+
+def test_pages_without_their_article_tags(spark):
+    shared = wanted = found = 0
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        inside = re.search("<article>(.*?)</article>", r.html, re.S)[1]
+        want = Counter(escapes.unescape(re.sub("<[^>]+>", " ", inside)).split())
+        got = Counter(extraction.main_text(re.sub("</?article>", " ", r.html)).split())
+        shared, wanted, found = shared + (want & got).total(), wanted + want.total(), found + got.total()
+    assert shared > 0.98 * wanted and shared > 0.98 * found
