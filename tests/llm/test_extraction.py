@@ -66,3 +66,13 @@ def test_pages_without_their_article_tags(spark):
         got = Counter(extraction.main_text(re.sub("</?article>", " ", r.html)).split())
         shared, wanted, found = shared + (want & got).total(), wanted + want.total(), found + got.total()
     assert shared > 0.98 * wanted and shared > 0.98 * found
+
+
+def test_names_that_mention_a_dropped_word():
+    body = "".join(f"<p>{x}</p>" for x in BODY)
+    for box in ("<div class='content with-sidebar'>{}</div>", "<main class='has-comments'>{}</main>", "<div id='social-history'>{}</div>", "<section class='legal-news'>{}</section>"):
+        assert extraction.main_text(f"<body>{box.replace('{}', body)}</body>") == " ".join(BODY)
+        two = f"<body><div>{body}</div>{box.replace('{}', '<p>' + BODY[0] + ' Once more.</p>')}</body>"
+        assert "Once more." in extraction.main_text(two)
+    small = f"<body><div>{body}</div><div class=comments><p>{BODY[0]} First!</p></div><div class='page-sidebar'>{BODY[1]} Aside.</div></body>"
+    assert extraction.main_text(small) == " ".join(BODY)
