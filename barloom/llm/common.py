@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name, dots and quotes included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """A table in the shared checkpoint folder: computed once, and read again if an executor is lost."""
     return materialised(df, f"llm-{purpose}")
