@@ -99,20 +99,41 @@ def _keys(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return out
 
 
+def spans(data: np.ndarray, offsets: np.ndarray, parts: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text of every word of the texts that ``offsets`` cuts ``data`` into; no word crosses the end of a text."""
+    inside = ~parts[data]
+    begins, ends = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    ends[:-1] &= ~inside[1:]
+    edge = offsets[(offsets > 0) & (offsets < len(data))]
+    begins[edge] = inside[edge]
+    ends[edge - 1] = inside[edge - 1]
+    start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    return start, end, np.searchsorted(offsets, start, "right") - 1
+
+
+def taken(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The bytes of the words only, one word after the other."""
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[start] += 1
+    edge[end] -= 1
+    return data[np.cumsum(edge[:-1], dtype=np.int8).view(bool)]
+
+
+def numbers(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """A number for every word, equal for equal words only, and the words that the numbers stand for."""
+    at = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(end - start, out=at[1:])
+    array = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(at), pa.py_buffer(taken(data, start, end))])
+    coded = array.dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary
+
+
 def words(values: pa.Array, parts: np.ndarray = BLANK) -> Iterator[Words]:
     """The words of every text of a column, group by group; groups cover all texts, those without words included."""
     raw, at = column(values)
     with np.errstate(over="ignore"):
         for lo, hi in groups(at):
             data = LOWER[raw[at[lo] : at[hi]]]
-            offsets = at[lo : hi + 1] - at[lo]
-            inside = ~parts[data]
-            begins, ends = inside.copy(), inside.copy()
-            begins[1:] &= ~inside[:-1]
-            ends[:-1] &= ~inside[1:]
-            edge = offsets[(offsets > 0) & (offsets < len(data))]
-            begins[edge] = inside[edge]
-            ends[edge - 1] = inside[edge - 1]
-            start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-            text = np.searchsorted(offsets, start, "right") - 1
+            start, end, text = spans(data, at[lo : hi + 1] - at[lo], parts)
             yield Words(lo, hi, text, _keys(data, start, end), start, end, data)
