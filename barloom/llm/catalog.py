@@ -1,8 +1,8 @@
 """The registered queries of this subpackage, each with a SQL statement where SQL can say it."""
 
-from . import brown, contentsort, decontamination, extraction, packing, periodic, quality, sharding, simhash, topk, toxicity, warc
+from . import brown, contentsort, decontamination, divergence, extraction, packing, periodic, quality, sharding, simhash, topk, toxicity, warc
 
-_MODULES = (topk, toxicity, warc, sharding, quality, decontamination, packing, simhash, extraction, brown, contentsort, periodic)
+_MODULES = (topk, toxicity, warc, sharding, quality, decontamination, packing, simhash, extraction, brown, contentsort, divergence, periodic)
 
 
 def queries() -> dict:
