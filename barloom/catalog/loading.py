@@ -15,15 +15,16 @@ TODAY = "2002-01-04"
 
 
 def _shifted(spark, d):
-    """Brand bars moved so that every code's newest bar falls on the run date; ``s`` picks the case."""
-    bars = adapters.bars_brand(spark, d)
+    """Brand bars moved so that every code's newest bar falls on the run date; ``s`` picks the case. Both are written once, being
+    read as the store and as two feeds."""
+    bars = materialised(adapters.bars_brand(spark, d), "bars")
     moved = bars.join(latest_dates(bars), "code").withColumns(
         {
             "asof_date": F.date_add("asof_date", F.datediff(F.to_date(F.lit(TODAY)), "latest")),
             "s": F.regexp_extract("code", r"(\d+)", 1).cast("int") % 7,
         }
     )
-    return moved.drop("latest")
+    return materialised(moved.drop("latest"), "moved-bars")
 
 
 def _stored(moved):
@@ -92,12 +93,13 @@ def _counts(spark, d):
 
 def _merged(spark, d):
     moved, status, rows = _plan(spark, d)
+    rows = materialised(rows, "load-rows")  # keys and rows of the merge, as the store does it
     return rounded(load.merge_bars(_stored(moved), rows, status.filter("action = 'REPLACE'")))
 
 
 def _store(spark, d):
     """The same through the partitioned store: create it, plan against it, load, read back."""
-    moved = materialised(_shifted(spark, d), "bars")
+    moved = _shifted(spark, d)
     path = shared_dir(spark, "prices")
     store.create(_stored(moved), path, buckets=2)
     status, rows = load.plan_load(
@@ -108,17 +110,15 @@ def _store(spark, d):
 
 
 def _load_stream(spark, d):
-    """The load as a stream: the daily feed comes in three parts, all rows of a code in one file."""
-    moved = materialised(_shifted(spark, d), "bars")
+    """The load as a stream: every code is cut over all three files of the daily feed, the newest days in the last but one."""
+    moved = _shifted(spark, d)
     path, incoming = shared_dir(spark, "prices"), shared_dir(spark, "incoming")
     store.create(_stored(moved), path, buckets=2)
     daily = _daily(moved, True)
     for k in (2, 0, 1):
-        part = daily.filter(F.pmod(F.xxhash64("code"), F.lit(3)) == k)
-        part.repartition("code").write.mode("append").parquet(incoming)
-    stream = jobs.file_stream(spark, incoming, daily.schema, files_per_batch=2)
-    full = materialised(_full(moved), "full")
-    jobs.bars_to_store(stream, _codes(spark, d), path, shared_dir(spark, "load-ckpt"), F.lit(TODAY), full).awaitTermination()
+        daily.filter(F.pmod("seq", F.lit(3)) == k).coalesce(1).write.mode("append").parquet(incoming)
+    stream = jobs.file_stream(spark, incoming, daily.schema, files_per_batch=1)
+    jobs.bars_to_store(stream, _codes(spark, d), path, shared_dir(spark, "load-ckpt"), F.lit(TODAY), _full(moved))
     return rounded(store.read(spark, path).drop("ym"))
 
 

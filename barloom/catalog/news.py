@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import news as N
 from ..session import materialised, shared_dir
-from ..sources import adapters, sinks, store
+from ..sources import adapters, linktable, sinks, store
 from ..streaming import jobs
 from .common import SQL_BARS_BRAND, rounded
 
@@ -76,11 +78,12 @@ def _rejected(spark, d):
 
 
 def _event_files(spark, d):
-    """All events as files that arrive out of order: the newest days, then the oldest, then the rest. A user's day is in one file."""
+    """All events as files that arrive out of order: the newest days, then the oldest, then the rest. A user's day is in one file,
+    because across batches the first batch wins, not the first source."""
     events = adapters.table(spark, d, "events").select(*EVENTS.fieldNames())
     path, day = shared_dir(spark, "event-files"), F.dayofmonth("ts")
     for part in (F.coalesce(day > 20, F.lit(True)), day <= 10, (day > 10) & (day <= 20)):
-        events.filter(part).repartition("user_id", F.to_date("ts")).write.mode("append").parquet(path)
+        events.filter(part).repartition(2, "user_id", F.to_date("ts")).write.mode("append").parquet(path)
     return jobs.file_stream(spark, path, EVENTS, files_per_batch=2)
 
 
@@ -89,7 +92,7 @@ def _table_stream(spark, d):
     events, path = _as_news(_event_files(spark, d)), shared_dir(spark, "news")
     for _ in range(2):
         jobs.news_to_table(events, path, shared_dir(spark, "news-ckpt"), ["source_rank", "event_id"]).awaitTermination()
-    return spark.read.parquet(path).select("url", "event_id", "source")
+    return linktable.read(spark, path).select("url", "event_id", "source")
 
 
 def _recent_stream(spark, d):
@@ -97,14 +100,20 @@ def _recent_stream(spark, d):
     path = shared_dir(spark, "news")
     order = ["source_rank", "event_id"]
     jobs.news_to_table(_as_news(_event_files(spark, d)), path, shared_dir(spark, "news-ckpt"), order, _run_ts()).awaitTermination()
-    return spark.read.parquet(path).select("url", "event_id", "source")
+    return linktable.read(spark, path).select("url", "event_id", "source")
 
 
 def _link_stream(spark, d):
-    """Distinct links, from files that come out of order."""
-    path = shared_dir(spark, "links")
-    jobs.links_to_table(_as_news(_event_files(spark, d)), path, shared_dir(spark, "links-ckpt")).awaitTermination()
-    return spark.read.parquet(path).select("url")
+    """Links once and rows beyond the age limit apart, from files of all events cut at random, the same links in several files."""
+    path, late, ckpt, files = (shared_dir(spark, n) for n in ("links", "late", "links-ckpt", "event-files"))
+    events = adapters.table(spark, d, "events").select(*EVENTS.fieldNames())
+    for k in (2, 0, 1):
+        events.filter(F.pmod("event_id", F.lit(3)) == k).coalesce(1).write.mode("append").parquet(files)
+    stream = _as_news(jobs.file_stream(spark, files, EVENTS, files_per_batch=1))
+    for query in jobs.links_to_table(stream, path, late, ckpt, dt.datetime.fromisoformat(RUN_TS)):
+        query.awaitTermination()
+    once = spark.read.parquet(path).select("url", F.lit(False).alias("late"))
+    return once.union(spark.read.parquet(late).select("url", F.lit(True)).distinct())
 
 
 def _bars_stream(spark, d):
@@ -149,7 +158,8 @@ ORACLES = {
     "news_table_stream": f"WITH {_NEWS}, {_FIRST} SELECT url, event_id, source FROM f WHERE k = 1",
     "news_recent_stream": f"""WITH {_NEWS}, f AS (SELECT url, event_id, source, row_number() OVER (PARTITION BY url ORDER BY source_rank, event_id) AS k
   FROM n WHERE trim(url) <> '' AND ts >= TIMESTAMP '{RUN_TS}' - INTERVAL 8 DAY) SELECT url, event_id, source FROM f WHERE k = 1""",
-    "news_stream": f"WITH {_NEWS} SELECT DISTINCT url FROM n WHERE ts IS NOT NULL AND trim(url) <> ''",
+    "news_stream": f"""WITH {_NEWS} SELECT DISTINCT url, ts < TIMESTAMP '{RUN_TS}' - INTERVAL 8 DAY AS late FROM n
+  WHERE ts IS NOT NULL AND trim(url) <> ''""",
     "bars_stream": f"WITH {SQL_BARS_BRAND} SELECT code, asof_date, "
     + ", ".join(f"floor({c} * 1000000.0 + 0.5003) / 1000000.0 AS {c}" for c in ("open", "high", "low", "close", "volume")) + " FROM bars_brand",
 }

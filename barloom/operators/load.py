@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import strict_number
+from ..session import materialised
 from .bars import latest_dates, newest_n
-from .dedupe import last_wins
+from .dedupe import last_wins  # noqa: F401  (part of this module's interface)
 
 FULL, REPLACE, DIFF, SKIP, ERROR = "FULL", "REPLACE", "DIFF", "SKIP", "ERROR"
 SPLIT_BARS = 5
 KEY = ["code", "asof_date"]
+#: What a run keeps of the store before it: the newest SPLIT_BARS bars per code.
+FROZEN = "code string, asof_date date, close double"
 
 # Status texts of the load report, {n} is the row count.
 STATUS_TEXT = {
@@ -39,8 +42,8 @@ def split_codes(stored: DataFrame, incoming: DataFrame, bars: int = SPLIT_BARS,
     Only days that also came in can differ, and a bar's rank depends on newer bars alone, so
     stored bars before the first incoming day are pruned in the scan without changing the result.
     """
-    first_day = incoming.agg(F.min("asof_date")).scalar()
-    recent = stored.filter(F.col("asof_date") >= first_day).select(*KEY, "close")
+    first_day = incoming.agg(F.min("asof_date")).first()[0]
+    recent = stored.filter(F.col("asof_date") >= F.lit(first_day).cast("date")).select(*KEY, "close")
     ours = newest_n(recent, bars).select(*KEY, F.col("close").alias("ours"))
     both = ours.join(incoming.select(*KEY, F.col("close").alias("theirs")), KEY)
     gap = F.abs(F.coalesce("ours", F.lit(0.0)) - F.coalesce("theirs", F.lit(0.0)))
@@ -100,10 +103,13 @@ def plan_load(
     ``daily`` serves the split check and difference loads, ``full`` the full and replacing loads. A code
     that must be replaced but has no row in ``full`` fails, so a short feed never costs stored history.
 
+    The actions, one row per code, and the chosen rows are written once inside the job: status and rows are short plans over them, and
+    no feed is read a second time.
+
     status: code, action, latest, n_rows, failed. rows: bars to write, with the code's action.
     """
-    actions = load_actions(codes, stored, daily, run_date, **split)
-    chosen = chosen_rows(actions, daily, full, run_date, cap)
+    actions = materialised(load_actions(codes, stored, daily, run_date, **split), "load-actions")
+    chosen = materialised(chosen_rows(actions, daily, full, run_date, cap), "load-chosen")
     per_day = chosen.groupBy(*KEY).agg(F.count(F.lit(1)).alias("copies"))
     per_code = per_day.groupBy("code").agg(
         F.sum("copies").alias("n_rows"), F.max("asof_date").alias("newest"), (F.max("copies") > 1).alias("doubled")
@@ -118,9 +124,9 @@ def plan_load(
         F.when(failed, F.lit(0)).otherwise(n_rows).cast("bigint").alias("n_rows"),
         failed.alias("failed"),
     )
+    # A code with a doubled day loads nothing, so what is left has one row per code and day.
     bad = per_code.filter("doubled").select("code")
-    kept = chosen.join(bad, "code", "left_anti")
-    return status, last_wins(kept, KEY, ["seq"])
+    return status, chosen.join(bad, "code", "left_anti").select(*chosen.columns)
 
 
 def status_text(action: str = "action", n_rows: str = "n_rows", failed: str = "failed") -> Column:

@@ -43,10 +43,14 @@ def with_ids(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"id": short_id(text, F.col("title")), "read": F.lit("")})
 
 
+def first_of_links(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Each link once, the first row in ``order`` wins. A link that repeats a billion times costs one row per task."""
+    return first_wins(rows.withColumn("url", F.trim("url")), ["url"], order)
+
+
 def merge_news(rows: DataFrame, history: DataFrame, order: list[str]) -> DataFrame:
     """New rows only, each link once, the first source in ``order`` wins.
 
-    Links are reduced to one row each before they meet the history, so both sides of the anti join
-    have unique keys and a link that repeats a billion times costs one row per task.
+    Links are reduced to one row each before they meet the history, so both sides of the anti join have unique keys.
     """
-    return new_only(first_wins(rows, ["url"], order), history, "url")
+    return new_only(first_of_links(rows, order), history, "url")

@@ -1,4 +1,4 @@
-"""Writers: report CSVs and the rolling news table."""
+"""Writers: report CSVs, and the order in which news are read."""
 
 from __future__ import annotations
 
@@ -29,11 +29,6 @@ def write_csv(
     out.write.mode(mode).options(header=True, escape='"', emptyValue="", nullValue="").csv(path)
 
 
-def append_news(rows: DataFrame, path: str) -> None:
-    """Append to the rolling news table. Its order, newest first, is a property of reading."""
-    rows.write.mode("append").parquet(path)
-
-
 def newest_first(news: DataFrame) -> DataFrame:
     """Global order by time; the id splits equal times, so no range of the sort gets too big."""
     return news.orderBy(F.desc("ts"), "id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +11,17 @@ from ..schemas import BARS, RAW_BARS
 BOM = "\ufeff"
 
 
+def read_if_there(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """A Parquet table, or None while nothing has been written to ``path``."""
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return table if schema is None else spark.read.schema(schema).parquet(path)
+
+
 def read_bars(spark: SparkSession, path: str) -> DataFrame:
     """Bars from Parquet with the canonical schema; no inference, so filters and columns push down."""
     return spark.read.schema(BARS).parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from barloom.operators import dedupe, extract, listings, news, reference
 from barloom.plans import snapshot
 from barloom.schemas import BARS
-from barloom.sources import sinks, store, tables
+from barloom.sources import linktable, sinks, store, tables
 from barloom.streaming import jobs
 
 D = dt.date(2026, 3, 2)
@@ -144,50 +144,128 @@ def test_news_stream_equals_batches(spark, tmp_path):
     first = [("a", 2, "A2", "2026-03-01T00:00:00"), ("a", 1, "A1", "2026-03-01T00:00:00"), ("b", 1, "B", "2026-03-01T00:00:00"), (" ", 1, "x", "2026-03-01T00:00:00")]
     schema = _write_batches(spark, src, [first])
 
-    def run():
+    def run(ckpt=ckpt):
         jobs.news_to_table(jobs.file_stream(spark, src, schema, 1), out, ckpt, ["source_rank"]).awaitTermination()
-        return sorted((r["url"], r["title"]) for r in spark.read.parquet(out).collect())
+        return sorted((r["url"], r["title"]) for r in linktable.read(spark, out).collect())
 
     assert run() == [("a", "A1"), ("b", "B")]
-    # A month later the link is still known, because the table itself is the memory.
-    _write_batches(spark, src, [[("a", 0, "A0", "2026-04-01T00:00:00"), ("c", 1, "C", "2026-04-01T00:00:00"), ("d", 1, "D", None)]])
+    # A month later the link is still known, because the table itself is the memory; the first batch wins, though a better source came later.
+    _write_batches(spark, src, [[("a", 0, "A0", "2026-04-01T00:00:00"), (" c ", 1, "C", "2026-04-01T00:00:00"), ("d", 1, "D", None)]])
     assert run() == [("a", "A1"), ("b", "B"), ("c", "C")]
     assert run() == [("a", "A1"), ("b", "B"), ("c", "C")]
+    assert run(str(tmp_path / "another")) == [("a", "A1"), ("b", "B"), ("c", "C")]
 
 
-def test_distinct_links_over_batches(spark, tmp_path):
-    src, out, ckpt = (str(tmp_path / n) for n in ("src", "out", "ckpt"))
-    batches = [[("a", 1, "", "2026-03-01T00:00:00"), ("b", 1, "", "2026-03-01T00:00:00")], [("a", 1, "", "2026-03-02T00:00:00"), ("c", 1, "", "2026-03-02T00:00:00")]]
-    schema = _write_batches(spark, src, batches)
-    jobs.links_to_table(jobs.file_stream(spark, src, schema, 1), out, ckpt).awaitTermination()
-    assert codes(spark.read.parquet(out), "url") == ["a", "b", "c"]
+def test_link_table_reads_touched_buckets_and_does_not_grow_files(spark, tmp_path):
+    path = str(tmp_path / "links")
 
+    def rows(names):
+        return spark.createDataFrame([(n, n.upper()) for n in names], "url string, title string")
 
-def test_late_links_and_a_new_checkpoint_lose_nothing(spark, tmp_path):
-    src, out = (str(tmp_path / n) for n in ("src", "out"))
-    schema = _write_batches(spark, src, [[(u, 1, u, f"2026-{t}T00:00:00")] for u, t in (("a", "03-30"), ("b", "01-01"), ("c", "02-02"))])
-    jobs.links_to_table(jobs.file_stream(spark, src, schema, 1), out, str(tmp_path / "c1")).awaitTermination()
-    assert codes(spark.read.parquet(out), "url") == ["a", "b", "c"]
-    news_out, more = str(tmp_path / "news"), str(tmp_path / "more")
-    jobs.news_to_table(jobs.file_stream(spark, src, schema), news_out, str(tmp_path / "c2"), ["source_rank"]).awaitTermination()
-    _write_batches(spark, more, [[("d", 1, "D", "2026-03-01T00:00:00"), ("a", 1, "A", "2026-03-01T00:00:00")]])
-    jobs.news_to_table(jobs.file_stream(spark, more, schema), news_out, str(tmp_path / "c3"), ["source_rank"]).awaitTermination()
-    assert codes(spark.read.parquet(news_out), "url") == ["a", "b", "c", "d"]
+    for k in range(20):
+        linktable.add(spark, path, rows([f"u{k}-{x}" for x in range(30)] + [f"u{k - 1}-{x}" for x in range(30)]), buckets=4)
+        assert len(linktable.read(spark, path).inputFiles()) <= 4 * linktable.FILES
+    assert codes(linktable.read(spark, path), "url") == sorted(f"u{k}-{x}" for k in range(-1, 20) for x in range(30))
+    plan = linktable.unseen(rows(["a"]).withColumn("bucket", linktable.bucket_of("url", 4)), linktable.read(spark, path), [2])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan.replace("bucket#", "bucket") and "= 2)" in plan and "ReadSchema: struct<url:string>" in plan
 
 
-def test_bar_stream_runs_the_load(spark, tmp_path):
-    src, path, ckpt = (str(tmp_path / n) for n in ("src", "prices", "ckpt"))
+def test_a_merge_that_was_cut_off_is_done_again(spark, tmp_path):
+    path, copy = str(tmp_path / "links"), str(tmp_path / "copy")
+    table = spark.createDataFrame([("a", 0), ("b", 0), ("c", 1)], "url string, bucket int")
+    table.write.parquet(copy)
+    # The swap had removed bucket 0 and not yet moved its new file in.
+    table.filter("bucket = 1").write.partitionBy("bucket").parquet(f"{path}/rows")
+    spark.createDataFrame([(copy, [0, 1])], "copy string, buckets array<int>").write.parquet(f"{path}/_merge")
+    linktable.add(spark, path, spark.createDataFrame([("a",), ("d",)], "url string"), buckets=2)
+    assert codes(linktable.read(spark, path), "url") == ["a", "b", "c", "d"]
+    linktable.add(spark, path, spark.createDataFrame([("e",)], "url string"), buckets=2)
+    assert codes(linktable.read(spark, path), "url") == ["a", "b", "c", "d", "e"]
+
+
+def test_links_in_keyed_state(spark, tmp_path):
+    """Files out of order, links in several files and runs; late rows apart; a link is forgotten after its time to live."""
+    src, out, late, ckpt = (str(tmp_path / n) for n in ("src", "out", "late", "ckpt"))
+    done = []
+
+    def run(day, batches):
+        schema = _write_batches(spark, src, batches)
+        stream = jobs.file_stream(spark, src, schema, 1)
+        for query in jobs.links_to_table(stream, out, late, ckpt, dt.datetime.fromisoformat(day)):
+            query.awaitTermination()
+            done.append([p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]])
+        return codes(spark.read.parquet(out), "url"), sorted((r["url"], r["title"]) for r in spark.read.parquet(late).collect())
+
+    first = [[("b", 1, "", "2026-03-09T00:00:00"), ("a", 1, "", "2026-03-10T00:00:00")], [("a", 1, "", "2026-03-03T00:00:00"), ("x", 1, "old", "2026-03-01T00:00:00")], [(" b", 2, "", "2026-03-10T00:00:00"), ("c", 1, "", "2026-03-02T12:00:00"), ("n", 1, "", None)]]
+    assert run("2026-03-10T12:00:00", first) == (["a", "b", "c"], [("x", "old")])
+    again = [[("a", 1, "", "2026-03-10T00:00:00"), ("d", 1, "", "2026-03-12T00:00:00"), ("x", 1, "older", "2026-02-01T00:00:00")]]
+    assert run("2026-03-12T12:00:00", again) == (["a", "b", "c", "d"], [("x", "old"), ("x", "older")])
+    gone = [[("a", 1, "seen before", "2026-03-10T00:00:00"), ("e", 1, "", "2026-03-29T00:00:00")]]
+    assert run("2026-03-30T12:00:00", gone) == (["a", "b", "c", "d", "e"], [("a", "seen before"), ("x", "old"), ("x", "older")])
+    states = [x for x in done if x]
+    assert max(states[1]) == 4 and states[2][-1] == 1
+    assert spark.conf.get(jobs.STATE_STORE) != jobs.ROCKSDB
+
 
-    def rows(*items):
-        return spark.createDataFrame([(c, D - dt.timedelta(days=k), x, x, x, x, 1.0) for c, k, x in items], BARS)
+def test_links_need_no_table(spark, tmp_path):
+    schema = _write_batches(spark, str(tmp_path), [[("a", 1, "", "2026-03-01T00:00:00")]])
+    plan = jobs.unseen_links(jobs.file_stream(spark, str(tmp_path), schema), dt.datetime(2026, 3, 2))._jdf.queryExecution().analyzed().toString()
+    assert "DeduplicateWithinWatermark" in plan and "Join" not in plan and plan.count("StreamingRelation") == 1
 
-    store.create(rows(("a", 1, 10.0), ("s", 1, 20.0), ("s", 100, 21.0)), path, buckets=1)
-    rows(("a", 0, 11.0), ("a", 1, 10.0), ("s", 0, 9.0), ("s", 1, 10.0), ("n", 0, 1.0)).withColumn("seq", F.monotonically_increasing_id()).coalesce(1).write.parquet(src)
-    schema = spark.read.parquet(src).schema
-    names = spark.createDataFrame([("a",), ("s",), ("n",)], "code string")
-    jobs.bars_to_store(jobs.file_stream(spark, src, schema), names, path, ckpt, F.lit(str(D)), spark.read.parquet(src)).awaitTermination()
-    got = sorted((r["code"], r["close"]) for r in store.read(spark, path).collect())
-    assert got == [("a", 10.0), ("a", 11.0), ("n", 1.0), ("s", 9.0), ("s", 10.0)]
+
+def _prices(spark, *items):
+    """(code, days before D, close)."""
+    return spark.createDataFrame([(c, D - dt.timedelta(days=k), x, x, x, x, 1.0) for c, k, x in items], BARS)
+
+
+STORED = (("diff", 1, 10.0), ("diff", 2, 9.0), ("split", 1, 20.0), ("split", 100, 21.0), ("dup", 1, 3.0), ("skip", 0, 5.0))
+DAILY = (("diff", 0, 11.0), ("diff", 1, 10.0), ("split", 0, 9.0), ("split", 1, 10.0), ("new", 0, 1.0), ("new", 1, 2.0), ("dup", 0, 3.0), ("dup", 0, 4.0), ("skip", 0, 6.0), ("late", 3, 7.0))
+LOADED = sorted([("diff", 10.0), ("diff", 11.0), ("diff", 9.0), ("split", 9.0), ("split", 10.0), ("new", 1.0), ("new", 2.0), ("dup", 3.0), ("skip", 5.0), ("late", 7.0)])
+
+
+@pytest.mark.parametrize("cut", [1, 3, len(DAILY)])
+def test_a_load_in_any_cut(spark, tmp_path, cut):
+    """A code may come in any number of files, in any order: split, duplicate and difference are told from all of them."""
+    src, path, ckpt = (str(tmp_path / n) for n in ("src", "prices", "ckpt"))
+    store.create(_prices(spark, *STORED), path, buckets=2)
+    daily = _prices(spark, *DAILY).withColumn("seq", F.monotonically_increasing_id())
+    rows = daily.collect()
+    for k in reversed(range(cut)):
+        spark.createDataFrame(rows[k::cut], daily.schema).coalesce(1).write.mode("append").parquet(src)
+    names = spark.createDataFrame([(c,) for c in ("diff", "split", "new", "dup", "skip", "late")], "code string")
+    status = jobs.bars_to_store(jobs.file_stream(spark, src, daily.schema, 1), names, path, ckpt, F.lit(str(D)), daily)
+    assert sorted((r["code"], r["close"]) for r in store.read(spark, path).collect()) == LOADED
+    assert {r["code"]: r["action"] for r in status.collect()} == {"diff": "DIFF", "split": "REPLACE", "new": "FULL", "dup": "ERROR", "skip": "SKIP", "late": "FULL"}
+    # Nothing new: the next run loads nothing. A day later the same checkpoint takes what came since.
+    jobs.bars_to_store(jobs.file_stream(spark, src, daily.schema, 1), names, path, ckpt, F.lit(str(D)), daily)
+    assert sorted((r["code"], r["close"]) for r in store.read(spark, path).collect()) == LOADED
+    more = _prices(spark, ("diff", -1, 12.0), ("diff", 0, 11.0)).withColumn("seq", F.lit(0).cast("long"))
+    more.coalesce(1).write.mode("append").parquet(src)
+    jobs.bars_to_store(jobs.file_stream(spark, src, daily.schema, 1), names, path, ckpt, F.lit("2026-03-03"), daily)
+    assert sorted((r["code"], r["close"]) for r in store.read(spark, path).collect()) == sorted([*LOADED, ("diff", 12.0)])
+
+
+def test_a_load_that_was_cut_off(spark, tmp_path, monkeypatch):
+    """Lost after the store was written and before the run was closed, with more files coming before it goes on."""
+    src, path, ckpt = (str(tmp_path / n) for n in ("src", "prices", "ckpt"))
+    store.create(_prices(spark, *STORED), path, buckets=2)
+    daily = _prices(spark, *DAILY).withColumn("seq", F.monotonically_increasing_id())
+    rows = daily.collect()
+    names = spark.createDataFrame([(c,) for c in ("diff", "split", "new", "dup", "skip", "late")], "code string")
+    spark.createDataFrame(rows[:5], daily.schema).coalesce(1).write.parquet(src)
+    real = store.apply_load
+
+    def lost(*a):
+        real(*a)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(store, "apply_load", lost)
+    with pytest.raises(RuntimeError):
+        jobs.bars_to_store(jobs.file_stream(spark, src, daily.schema, 1), names, path, ckpt, F.lit(str(D)), daily)
+    monkeypatch.setattr(store, "apply_load", real)
+    spark.createDataFrame(rows[5:], daily.schema).coalesce(1).write.mode("append").parquet(src)
+    jobs.bars_to_store(jobs.file_stream(spark, src, daily.schema, 1), names, path, ckpt, F.lit(str(D)), daily)
+    assert sorted((r["code"], r["close"]) for r in store.read(spark, path).collect()) == LOADED
 
 
 def test_csv_round_trip(spark, tmp_path):

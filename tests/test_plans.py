@@ -73,6 +73,13 @@ def test_the_facts_are_read_once(spark, name, scans):
     assert len(facts) == scans
 
 
+@pytest.mark.parametrize("name, scans", [("load_merged", 6), ("load_status", 6)])
+def test_a_load_is_a_short_plan(spark, name, scans):
+    """Feeds, actions and chosen rows are written once: what is left reads each of them once or twice."""
+    text = plan(catalog.queries()[name](spark, SF))
+    assert text.count("FileScan parquet") <= scans and text.count("Exchange hashpartitioning") <= 14
+
+
 @pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_cross_joins(spark, name):
     if "stream" in name or name in ("store_upsert",):
