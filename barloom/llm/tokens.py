@@ -129,11 +129,11 @@ def numbers(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
     return coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
 
-def words(values: pa.Array, parts: np.ndarray = BLANK) -> Iterator[Words]:
+def words(values: pa.Array, parts: np.ndarray = BLANK, most: int = GROUP) -> Iterator[Words]:
     """The words of every text of a column, group by group; groups cover all texts, those without words included."""
     raw, at = column(values)
     with np.errstate(over="ignore"):
-        for lo, hi in groups(at):
+        for lo, hi in groups(at, most):
             data = LOWER[raw[at[lo] : at[hi]]]
             start, end, text = spans(data, at[lo : hi + 1] - at[lo], parts)
             yield Words(lo, hi, text, _keys(data, start, end), start, end, data)
