@@ -1,8 +1,8 @@
 """Registered queries over the given tables, each with an independent SQL statement where SQL can say it."""
 
-from . import analytics, extraction, jobs, listings, loading, news, reference
+from . import analytics, extraction, history, jobs, listings, loading, news, reference
 
-_MODULES = (analytics, loading, listings, extraction, reference, news, jobs)
+_MODULES = (analytics, loading, listings, extraction, reference, news, jobs, history)
 
 
 def queries() -> dict:

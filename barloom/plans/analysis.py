@@ -23,6 +23,10 @@ STATUS_SHORT = "エラー：データ不足(100件以下)"
 STATUS_OTHER = "エラー：その他"
 
 
+#: Beyond it powers of the smoothing factors leave double precision, and ranks are no longer cut before the shuffle.
+LONGEST_SLICE = 1_000
+
+
 def slope_window(span: int) -> int:
     """A 5-bar series is fitted over 5 values, all longer ones over 10."""
     return 5 if span == 5 else 10
@@ -99,6 +103,8 @@ KEY_HEADERS = {"code": "証券コード", "run_date": "更新日", "result": "
 def metric_series(bars: DataFrame, slice_bars: int = SLICE_BARS) -> DataFrame:
     """Slice of every code with all per-bar series the metrics need."""
     wanted = bars.select("code", "asof_date", "open", "high", "low", "close", "volume")
+    if slice_bars > LONGEST_SLICE:
+        raise ValueError(f"the smoothed series hold for slices of up to {LONGEST_SLICE} bars; operators.smoothing does whole histories")
     base = slice_positions(repair_nulls(wanted), slice_bars)
     first = series.with_macd(series.with_range_std(series.with_sma(series.with_steps(base))))
     second = series.with_rsi(series.with_deviation(first))
