@@ -207,13 +207,14 @@ def _holdings(spark, d):
     return X.holding_rows(holding_pages(spark, d), SITE).drop("row")
 
 
+# Element and class names of the news layouts the job reads.
 NEWS_RULES = (
     X.news_rule(
         "cards", r"(?is)<div class=\"card\"[^>]*>(.*?)</div>", r'(?is)<a[^>]*data-testid="Title"[^>]*href="([^"]+)"',
-        r'(?is)<h3[^>]*data-testid="Heading"[^>]*>(.*?)</h3>', SITE,
+        r'(?is)<h3[^>]*data-testid="Heading"[^>]*>(.*?)</h3>', SITE, nested=("div", "card"),
     ),
     X.news_rule("heads", r'(?is)<h3 class="item[^"]*"[^>]*>.*?</h3>', X.HREF, X.ANCHOR, SITE, timed=False, block_group=0),
-    X.news_items_rule("items", X.tag("li", "newsList__item"), "newsList__date", "newsList__title", SITE, in_anchor=False),
+    X.news_items_rule("items", X.tag("li", "newsList__item"), "newsList__date", "newsList__title", SITE, in_anchor=False, nested=("li", "newsList__item")),
     X.news_items_rule("notes", r"(?is)<a\b[^>]*>.*?</a>", "news-list-date", "news-list-title", SITE, in_anchor=True),
 )
 
@@ -246,6 +247,18 @@ def _news_articles(spark, d):
     return X.extract_all(pages, NEWS_RULES).drop("row")
 
 
+def _nested_news(spark, d):
+    """Items that hold other elements of their own name before link and title: lists in list items, boxes in cards."""
+    events = adapters.table(spark, d, "events")
+    blocks = news_blocks(lambda letter: F.concat_ws("/", F.lit(letter), F.col("event_id").cast("string")))
+    tags = '<ul class="tags"><li>x</li><li class="y">z</li></ul><!-- </li> -->'
+    boxes = '<div class="pic"><div></div></div>'
+    mixed = F.col("event_id") % 3 == 0
+    items = F.replace(blocks["items"], F.lit('new">'), F.when(mixed, F.lit(f'new">{tags}')).otherwise(F.lit('new">')))
+    cards = F.replace(blocks["cards"], F.lit('card">'), F.when(mixed, F.lit(f'card">{boxes}')).otherwise(F.lit('card">')))
+    return X.extract_all(paged_news(events, F.concat(items, cards)), NEWS_RULES).filter("source IN ('items', 'cards')").drop("row")
+
+
 # --- reference pages --------------------------------------------------------------------------
 
 
@@ -310,6 +323,7 @@ QUERIES = {
     "extract_earnings": _earnings,
     "extract_holdings": _holdings,
     "extract_news": _news_articles,
+    "extract_news_nested": _nested_news,
     "extract_basic_info": _basic_info,
     "extract_handbook": _handbook,
     "extract_links": lambda spark, d: X.links(_pages(spark, d)),
@@ -358,6 +372,9 @@ FROM customer""",
   UNION ALL SELECT event_id, 'heads', '', 'B & ' || event_id, 'b/' || event_id FROM events
   UNION ALL SELECT event_id, 'items', strftime(ts, '%Y/%m/%d %H:%M'), 'C ' || event_id, 'c/' || event_id FROM events
   UNION ALL SELECT event_id, 'notes', strftime(ts, '%Y/%m/%d %H:%M'), 'D ' || event_id, 'd/' || event_id FROM events)""",
+    "extract_news_nested": """SELECT event_id // 50 AS page_id, source, time_text, title, 'https://site.example/' || url AS url FROM (
+  SELECT event_id, 'cards' AS source, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS time_text, 'A ' || event_id AS title, 'a/' || event_id AS url FROM events
+  UNION ALL SELECT event_id, 'items', strftime(ts, '%Y/%m/%d %H:%M'), 'C ' || event_id, 'c/' || event_id FROM events)""",
     "extract_basic_info": f"""WITH p AS (SELECT *, p_partkey % 50 <> 7 AS ok, p_partkey AS k FROM part)
 SELECT CAST(k AS VARCHAR) AS code, '2002-01-04' AS run_date, CASE WHEN ok THEN '正常' ELSE 'エラー：株探読み込みに失敗' END AS result,
   CASE WHEN ok THEN p_name ELSE '' END AS short_name, CASE WHEN ok THEN p_name || ' & Co' ELSE '' END AS name,

@@ -44,20 +44,56 @@ def _holdings(spark, d):
     return A.holdings(pages, F.lit(HOLDING_DAY).cast("date"), SITE, KEYWORDS).select("date", "category", "reporter", "target", "code", "url", "title")
 
 
-def _news(spark, d):
+def _news_pages(spark, d):
     """Every event appears in one source; the links of a user's day are equal in all sources."""
     events = adapters.table(spark, d, "events")
     blocks = news_blocks(lambda _: F.concat(F.lit("n/"), F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "dd")))
-    pages = {name: paged_news(events.filter(F.col("event_id") % 4 == k), b) for k, (name, b) in enumerate(blocks.items())}
+    return {name: paged_news(events.filter(F.col("event_id") % 4 == k), b) for k, (name, b) in enumerate(blocks.items())}
+
+
+def _news_sources():
     styles = ("iso", "run", "inferred", "inferred")
-    sources = tuple(A.NewsSource(r, s, limited=s != "run") for r, s in zip(NEWS_RULES, styles))
-    known = events.filter("user_id % 7 = 0").select(
+    return tuple(A.NewsSource(r, s, limited=s != "run") for r, s in zip(NEWS_RULES, styles))
+
+
+def _known(spark, d):
+    return adapters.table(spark, d, "events").filter("user_id % 7 = 0").select(
         F.concat(F.lit(f"{SITE}/n/"), F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "dd")).alias("url")
     )
-    rows = A.rolling_news(pages, sources, F.lit(RUN_TS).cast("timestamp"), known)
+
+
+def _shown(rows):
     return rows.select("source", "title", "url", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "id", "read")
 
 
+def _news(spark, d):
+    return _shown(A.rolling_news(_news_pages(spark, d), _news_sources(), F.lit(RUN_TS).cast("timestamp"), _known(spark, d)))
+
+
+def _failing(spark, d):
+    """The news job with stored pages per source; those of ``items`` are no Parquet files, and every tenth page of ``notes`` prints no date."""
+    stored = {}
+    for name, pages in _news_pages(spark, d).items():
+        path = shared_dir(spark, f"pages-{name}")
+        if name == "items":
+            pages.select("html").write.text(path)
+        else:
+            unread = (F.lit(name) == "notes") & (F.col("page_id") % 10 == 0)
+            html = F.when(unread, F.regexp_replace("html", r"\d{4}/\d\d/\d\d \d\d:\d\d", "soon")).otherwise(F.col("html"))
+            pages.withColumn("html", html).write.parquet(path)
+        stored[name] = lambda path=path, schema=pages.schema: spark.read.schema(schema).parquet(path)
+    return A.rolling_news_guarded(stored, _news_sources(), F.lit(RUN_TS).cast("timestamp"), _known(spark, d))
+
+
+def _news_failing(spark, d):
+    return _shown(_failing(spark, d)[0])
+
+
+def _news_report(spark, d):
+    """What the sources gave: rows loaded and rejected, and whether one could not be read."""
+    return _failing(spark, d)[1].select("source", "loaded", "rejected", F.col("error").isNotNull().alias("failed"))
+
+
 def _sheet_codes(spark, d):
     """The first column of a spreadsheet with a byte-order mark."""
     path = shared_dir(spark, "sheet")
@@ -84,6 +120,8 @@ QUERIES = {
     "job_earnings_counts": _earnings_counts,
     "job_holdings": _holdings,
     "job_news": _news,
+    "job_news_failing": _news_failing,
+    "job_news_report": _news_report,
     "sheet_codes": _sheet_codes,
     "sheet_columns": _sheet_columns,
 }
@@ -121,6 +159,16 @@ FROM p, s WHERE day = DATE '{HOLDING_DAY}' AND (stop IS NULL OR pos < stop) AND
 f AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY k, event_id) AS r FROM n WHERE k = 1 OR t >= TIMESTAMP '{RUN_TS}' - INTERVAL 8 DAY)
 SELECT source, title, url, strftime(t, '%Y-%m-%d %H:%M:%S') AS ts, substr(sha256(strftime(t, '%Y-%m-%d %H:%M:%S') || '|' || title), 1, 16) AS id, '' AS read
 FROM f WHERE r = 1 AND user_id % 7 <> 0""",
+    "job_news_failing": f"""WITH n AS (SELECT event_id, user_id, event_id % 4 AS k, ['A ', 'B & ', 'C ', 'D '][event_id % 4 + 1] || event_id AS title,
+  ['cards', 'heads', 'items', 'notes'][event_id % 4 + 1] AS source, '{SITE}/n/' || user_id || '-' || strftime(ts, '%d') AS url,
+  CASE event_id % 4 WHEN 0 THEN date_trunc('second', ts) + INTERVAL 9 HOUR WHEN 1 THEN TIMESTAMP '{RUN_TS}' ELSE date_trunc('minute', ts) END AS t FROM events
+  WHERE event_id % 4 <> 2 AND NOT (event_id % 4 = 3 AND event_id // 50 % 10 = 0)),
+f AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY k, event_id) AS r FROM n WHERE k = 1 OR t >= TIMESTAMP '{RUN_TS}' - INTERVAL 8 DAY)
+SELECT source, title, url, strftime(t, '%Y-%m-%d %H:%M:%S') AS ts, substr(sha256(strftime(t, '%Y-%m-%d %H:%M:%S') || '|' || title), 1, 16) AS id, '' AS read
+FROM f WHERE r = 1 AND user_id % 7 <> 0""",
+    "job_news_report": """SELECT s AS source, CASE WHEN k = 2 THEN 0 ELSE (SELECT count(*) FROM events WHERE event_id % 4 = k AND NOT (k = 3 AND event_id // 50 % 10 = 0)) END AS loaded,
+  CASE WHEN k = 3 THEN (SELECT count(*) FROM events WHERE event_id % 4 = 3 AND event_id // 50 % 10 = 0) ELSE 0 END AS rejected, k = 2 AS failed
+FROM (VALUES ('cards', 0), ('heads', 1), ('items', 2), ('notes', 3)) v(s, k)""",
     "sheet_codes": "SELECT CAST(p_partkey AS VARCHAR) AS code FROM part",
     "sheet_columns": """SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN event_type END AS event_type, '"' || props || '", ' || event_type AS note FROM events""",
 }

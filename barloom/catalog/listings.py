@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text, titles
+from ..operators import keywords as K
 from ..operators import listings as L
 from ..plans import snapshot as S
 from ..sources import adapters
@@ -89,6 +90,15 @@ def _keyword_hits(spark, d):
     return L.keyword_hits(_hits(spark, d), _HIT_WORDS, ["doc_id"]).select("url", "doc_id")
 
 
+def _keyword_table(spark, d):
+    """Documents and the first of thousands of keywords they contain: words of at least nine characters of the conversations, by first use."""
+    turns = adapters.table(spark, d, "conversations")
+    words = turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("rank"), F.explode(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))).alias("keyword"))
+    listed = words.filter(F.length("keyword") >= 9).groupBy("keyword").agg(F.min("rank").alias("rank"))
+    docs = adapters.table(spark, d, "documents").select("doc_id", "text")
+    return K.first_listed(docs, listed, "text").select("doc_id", "keyword", "keyword_rank")
+
+
 def _title_split(spark, d):
     split = titles.company_and_body(F.col("text"))
     return _documents(spark, d).select(
@@ -121,6 +131,7 @@ QUERIES = {
     "keyword_class": _classed,
     "keyword_counts": _keyword_counts,
     "keyword_hits": _keyword_hits,
+    "keyword_table": _keyword_table,
     "title_split": _title_split,
     "labelled_union": _union_two,
     "hyperlink_cells": _links,
@@ -230,6 +241,11 @@ SELECT list, list_rank, code, rank, {r6('price', 'price')}, {r6('diff_pct', 'dif
   CASE WHEN page_id % 3 = 0 THEN '' ELSE regexp_extract(html, '<h1>([^<]*)</h1>', 1) END AS t FROM pages),
 q AS (SELECT page_id, u, CASE WHEN t = '' THEN 'say "' || url || '"' ELSE t END AS t FROM p)
 SELECT page_id, CASE WHEN u IS NULL THEN t ELSE '=HYPERLINK("' || replace(u, '"', '""') || '","' || replace(t, '"', '""') || '")' END AS cell FROM q""",
+    "keyword_table": """WITH k AS (SELECT keyword, min(conv_id * 1000 + turn) AS rank FROM (
+    SELECT conv_id, turn, unnest(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS keyword FROM conversations) WHERE length(keyword) >= 9 GROUP BY keyword),
+b AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\s\\x0B\\x{85}\\pZ]+', '', 'g') AS bare FROM documents),
+h AS (SELECT doc_id, min({'rank': rank, 'keyword': keyword}) AS best FROM b JOIN k ON contains(bare, keyword) GROUP BY doc_id)
+SELECT d.doc_id, best.keyword AS keyword, best.rank AS keyword_rank FROM documents d LEFT JOIN h ON h.doc_id = d.doc_id""",
     "keyword_hits": """WITH h AS (SELECT doc_id, source || '/' || (n_chars % 50) AS url,
   regexp_replace(text, '[\\s\\x0B\\x{85}\\pZ]+', '', 'g') AS bare FROM documents WHERE doc_id % 10 <> 3)
 SELECT url, min(doc_id) AS doc_id FROM h

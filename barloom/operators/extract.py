@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import any_date
+from ..functions.nesting import elements
 from ..functions.numbers import ascii_digits, first_int, strict_number, trim
 from ..functions.text import absolute_link, cell_text, clean_many, squeeze, squeeze_ascii, strip_tags
 from ..functions.titles import holding_parts
@@ -59,7 +60,8 @@ class Rule:
     are columns that still need tags removed and references decoded, done for all of them together.
     ``keep`` filters before that decoding, so that it runs once and only on rows that stay; it
     sees a text as ``_raw_<name>``. ``prefer`` names a part of the scope (group 1) that is looked at alone where there is one: its first
-    match, or with ``prefer_every`` all of them. Blocks that match ``skip`` are left out.
+    match, or with ``prefer_every`` all of them. Blocks that match ``skip`` are left out. ``nested`` names the element (and class token) that
+    ``block`` cuts: where a block holds another start tag of that name, the page's blocks are cut by the nesting of the tags instead.
     """
 
     name: str
@@ -76,6 +78,7 @@ class Rule:
     prefer: str | None = None
     prefer_every: bool = False
     skip: str | None = None
+    nested: tuple[str, str | None] | None = None
 
 
 def extract(pages: DataFrame, rule: Rule, html: str = "html") -> DataFrame:
@@ -131,6 +134,8 @@ def _blocks(text: Column, rule: Rule) -> Column:
             parts = parts if rule.prefer_every else F.slice(parts, 1, 1)
             s = F.when(F.size(parts) > 0, F.array_join(parts, "\n")).otherwise(s)
         found = every(s, rule.block, rule.block_group)
+        if rule.nested:
+            found = _by_nesting(s, found, *rule.nested, outer=rule.block_group == 0)
         return F.filter(found, lambda b: ~b.rlike(rule.skip)) if rule.skip else found
 
     if rule.every_scope:
@@ -141,6 +146,16 @@ def _blocks(text: Column, rule: Rule) -> Column:
     return F.slice(blocks, 1, 1) if rule.first_block_only else blocks
 
 
+def _by_nesting(page: Column, found: Column, name: str, cls: str | None, outer: bool) -> Column:
+    """The blocks as found by the pattern if none of them holds an inner start tag of its element; else the elements by their nesting.
+
+    Only pages that need it reach the parser.
+    """
+    own = 1 if outer else 0
+    inner = F.exists(found, lambda b: F.regexp_count(b, F.lit(rf"(?i)<{name}\b")) > own)
+    return F.when(inner, elements(F.when(inner, page), name, cls, outer)).otherwise(found)
+
+
 def _columns(cut: DataFrame, others: list[str], rule: Rule) -> DataFrame:
     if rule.cells:
         cut = cut.withColumn("_td", _cell_array(F.col("_block"), rule))
@@ -424,7 +439,8 @@ def _time_of(block: Column) -> Column:
 
 
 def news_rule(
-    name: str, block: str, link: str, title: str, prefix: str, timed: bool = True, block_group: int = 1
+    name: str, block: str, link: str, title: str, prefix: str, timed: bool = True, block_group: int = 1,
+    nested: tuple[str, str | None] | None = None,
 ) -> Rule:
     """News of one source: block, link and title patterns; without ``timed`` the run's time is used."""
     columns: dict[str, Callable[[Column], Column]] = {
@@ -432,10 +448,12 @@ def news_rule(
         "url": lambda b: absolute_link(first(b, link), prefix),
     }
     keep = "url <> '' AND _raw_title <> ''" + (" AND time_text <> ''" if timed else "")
-    return Rule(name, block, columns, block_group=block_group, keep=keep, texts={"title": lambda b: first(b, title)})
+    return Rule(name, block, columns, block_group=block_group, keep=keep, nested=nested, texts={"title": lambda b: first(b, title)})
 
 
-def news_items_rule(name: str, item: str, date_class: str, title_class: str, prefix: str, in_anchor: bool) -> Rule:
+def news_items_rule(
+    name: str, item: str, date_class: str, title_class: str, prefix: str, in_anchor: bool, nested: tuple[str, str | None] | None = None
+) -> Rule:
     """News by class name: either ``li`` items with a title link, or links that hold date and title spans."""
     date = tag("span", date_class)
     title = tag("span", title_class) if in_anchor else tag("a", title_class)
@@ -454,6 +472,7 @@ def news_items_rule(name: str, item: str, date_class: str, title_class: str, pre
         },
         block_group=0,
         keep="time_text <> '' AND title <> '' AND url <> ''",
+        nested=nested,
     )
 
 

@@ -5,6 +5,7 @@ Pages are read in order of ``page_id``; a row's place in its listing is (page_id
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -15,6 +16,7 @@ from ..functions import dates, titles
 from ..operators import extract as X
 from ..operators import listings as L
 from ..operators import news as N
+from ..sources import guarded
 
 PLACE = ["page_id", "row"]
 
@@ -56,6 +58,18 @@ class NewsSource:
     limited: bool = True
 
 
+def _source_rows(pages: DataFrame, s: NewsSource, k: int, run_ts: Column) -> DataFrame:
+    return N.timed(X.extract(pages, s.rule), run_ts, s.style).select(
+        *PLACE, "title", "url", "ts", F.lit(s.rule.name).alias("source"),
+        F.lit(k).alias("source_rank"), F.lit(s.limited).alias("limited"),
+    )
+
+
+def _merged(parts: list[DataFrame], run_ts: Column, history: DataFrame) -> DataFrame:
+    rows = N.fresh_enough(reduce(DataFrame.unionByName, parts), run_ts.cast("timestamp_ntz"), only=F.col("limited")).drop("limited")
+    return N.with_ids(N.merge_news(rows, history, ["source_rank", *PLACE])).drop("source_rank")
+
+
 def rolling_news(
     pages: dict[str, DataFrame], sources: tuple[NewsSource, ...], run_ts: Column, history: DataFrame
 ) -> DataFrame:
@@ -63,13 +77,23 @@ def rolling_news(
 
     ``pages`` holds the pages of every source under the name of its rule. Rows whose time cannot be read are dropped.
     """
-    parts = [
-        N.timed(X.extract(pages[s.rule.name], s.rule), run_ts, s.style).select(
-            *PLACE, "title", "url", "ts", F.lit(s.rule.name).alias("source"),
-            F.lit(k).alias("source_rank"), F.lit(s.limited).alias("limited"),
-        )
+    parts = [_source_rows(pages[s.rule.name], s, k, run_ts).filter("ts IS NOT NULL") for k, s in enumerate(sources, 1)]
+    return _merged(parts, run_ts, history)
+
+
+def rolling_news_guarded(
+    pages: dict[str, Callable[[], DataFrame]], sources: tuple[NewsSource, ...], run_ts: Column, history: DataFrame
+) -> tuple[DataFrame | None, DataFrame, list[guarded.Loaded]]:
+    """The same from sources that may fail: (rows to add, report, sources as loaded). The rest goes on without a source that fails.
+
+    ``pages`` holds a reader per source. Rows whose time cannot be read are kept with their reason in ``rejected`` of their source.
+    Rows are None when every source failed.
+    """
+    spark = history.sparkSession
+    reason = F.when(F.col("ts").isNull(), "unreadable time")
+    loaded = [
+        guarded.load(spark, s.rule.name, lambda s=s, k=k: _source_rows(pages[s.rule.name](), s, k, run_ts), reason)
         for k, s in enumerate(sources, 1)
     ]
-    rows = reduce(DataFrame.unionByName, parts).filter("ts IS NOT NULL")
-    rows = N.fresh_enough(rows, run_ts.cast("timestamp_ntz"), only=F.col("limited")).drop("limited")
-    return N.with_ids(N.merge_news(rows, history, ["source_rank", *PLACE])).drop("source_rank")
+    parts = [x.rows for x in loaded if x.rows is not None]
+    return (_merged(parts, run_ts, history) if parts else None), guarded.report(spark, loaded), loaded
