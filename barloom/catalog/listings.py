@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..functions import text, titles
 from ..operators import keywords as K
 from ..operators import listings as L
 from ..plans import snapshot as S
-from ..sources import adapters
+from ..session import materialised, shared_dir
+from ..sources import adapters, months, store
 from .common import SQL_BARS_SUPPLIER, r6, rounded
 
 # A day on which every full list of the snapshot has codes.
@@ -24,6 +27,29 @@ def _snapshot(spark, d):
     return rounded(S.snapshot(adapters.bars_supplier(spark, d), F.lit(DAY), names=names).drop("sort"))
 
 
+#: Days of the job over several days: all days of DAY's week and of the weeks before.
+DAYS = [dt.date.fromisoformat(DAY) - dt.timedelta(days=k) for k in range(20)]
+
+
+def _several_days(spark, d):
+    """Snapshots of twenty days in one job, from the price store and its month summaries, both kept up to date load by load: the days before
+    first, with one code at wrong prices, then the days themselves in three loads with the corrections."""
+    bars = materialised(adapters.bars_supplier(spark, d), "bars")
+    prices, summaries = shared_dir(spark, "prices"), shared_dir(spark, "months")
+    first, last = min(DAYS), max(DAYS)
+    wrong = F.col("code") == "1"
+    old = bars.filter((F.col("asof_date") < F.lit(first))).withColumn("close", F.when(wrong, F.col("close") * 9).otherwise(F.col("close")))
+    store.create(old, prices, buckets=2)
+    months.refresh(spark, summaries, prices)
+    fresh = bars.filter(F.col("asof_date") <= F.lit(last)).filter((F.col("asof_date") >= F.lit(first)) | wrong)
+    for k in (2, 0, 1):
+        load = materialised(fresh.filter(F.pmod(F.dayofmonth("asof_date"), F.lit(3)) == k), "load")
+        store.upsert(spark, prices, load)
+        months.refresh(spark, summaries, prices, months.months_of(load))
+    lists = S.snapshots(store.read(spark, prices), months.read(spark, summaries), DAYS)
+    return rounded(lists.drop("sort"))
+
+
 def _counts(spark, d):
     return S.snapshot_counts(adapters.bars_supplier(spark, d), F.lit(DAY))
 
@@ -124,6 +150,7 @@ def _links(spark, d):
 QUERIES = {
     "snapshot_lists": _snapshot,
     "snapshot_counts": _counts,
+    "snapshot_days": _several_days,
     "target_day_scan": _target,
     "target_day_single": _target_one,
     "watch_list": _watch,
@@ -198,6 +225,12 @@ _ENTRIES = " UNION ALL ".join(
 )
 
 
+def _one_day_sql(day: str) -> str:
+    """The single run of one day."""
+    return f"""SELECT DATE '{day}' AS t, list_rank, list, rank, code, {r6('price', 'price')}, {r6('diff', 'diff')}, {r6('diff_pct', 'diff_pct')}, {r6('amount', 'amount')}
+FROM (WITH {_METRICS.replace(DAY, day)} SELECT * FROM ({_ENTRIES}) WHERE rank IS NULL OR rank <= 20)"""
+
+
 # Separators of company and body, in the order in which they are tried.
 _SEPARATORS = ("、", "：", ":", "／", "/", " - ", "-")
 
@@ -214,6 +247,8 @@ SELECT 5 AS list_rank, '本日、52週高値更新' AS list, count(*) FILTER (pr
 UNION ALL SELECT 6, '本日、52週安値更新', count(*) FILTER (price < low_52w) FROM m
 UNION ALL SELECT 7, '本日、年初来高値更新', count(*) FILTER (price > high_ytd) FROM m
 UNION ALL SELECT 8, '本日、年初来安値更新', count(*) FILTER (price < low_ytd) FROM m""",
+    "snapshot_days": f"""WITH {SQL_BARS_SUPPLIER}, src AS MATERIALIZED (SELECT * FROM bars_supplier)
+{" UNION ALL ".join(_one_day_sql(str(day)) for day in DAYS)}""",
     "target_day_scan": f"""WITH {_LISTING}, t AS (SELECT max(day) - 1 AS target FROM listing),
 stops AS (SELECT listing, min(pos) AS stop FROM listing, t WHERE day < target GROUP BY listing)
 SELECT l.listing, event_id, day FROM listing l JOIN t ON day = target LEFT JOIN stops s ON s.listing = l.listing WHERE stop IS NULL OR pos < stop""",

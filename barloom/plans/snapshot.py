@@ -7,6 +7,7 @@ daily limits and exist only as extraction from pages.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -59,25 +60,23 @@ LISTS: tuple[RankedList, ...] = (
 )
 
 
-def day_metrics(bars: DataFrame, run_date: Column) -> DataFrame:
-    """Price, volume, previous close, earlier extremes and period bases of codes that traded on the day."""
-    days = bars.select("code", "asof_date", "close", "volume").withColumn("t", run_date.cast("date"))
-    days = days.filter(F.col("asof_date") <= F.col("t"))
+def _metrics(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Metrics per key from rows of (code, asof_date, t, last, hi, lo, volume): a bar, or a whole month of bars under its last day."""
 
     def last_close(condition: str) -> Column:
-        return F.expr(f"max_by(close, asof_date) FILTER (WHERE {condition})")
+        return F.expr(f"max_by(last, asof_date) FILTER (WHERE {condition})")
 
-    def extreme(agg: str, since: str) -> Column:
-        return F.expr(f"{agg}(close) FILTER (WHERE asof_date < t AND asof_date >= {since})")
+    def extreme(agg: str, column: str, since: str) -> Column:
+        return F.expr(f"{agg}({column}) FILTER (WHERE asof_date < t AND asof_date >= {since})")
 
-    out = days.groupBy("code").agg(
-        F.expr("max(close) FILTER (WHERE asof_date = t)").alias("price"),
+    out = rows.groupBy(*keys).agg(
+        F.expr("max(last) FILTER (WHERE asof_date = t)").alias("price"),
         F.expr("max(volume) FILTER (WHERE asof_date = t)").alias("volume"),
         last_close("asof_date < t").alias("prev"),
-        extreme("max", "date_sub(t, 364)").alias("high_52w"),
-        extreme("min", "date_sub(t, 364)").alias("low_52w"),
-        extreme("max", "trunc(t, 'YEAR')").alias("high_ytd"),
-        extreme("min", "trunc(t, 'YEAR')").alias("low_ytd"),
+        extreme("max", "hi", "date_sub(t, 364)").alias("high_52w"),
+        extreme("min", "lo", "date_sub(t, 364)").alias("low_52w"),
+        extreme("max", "hi", "trunc(t, 'YEAR')").alias("high_ytd"),
+        extreme("min", "lo", "trunc(t, 'YEAR')").alias("low_ytd"),
         last_close("asof_date < trunc(t, 'WEEK')").alias("base_week"),
         last_close("asof_date < trunc(t, 'MONTH')").alias("base_month"),
         last_close("asof_date < trunc(t, 'YEAR')").alias("base_year"),
@@ -90,7 +89,57 @@ def day_metrics(bars: DataFrame, run_date: Column) -> DataFrame:
     )
 
 
-def snapshot_entries(metrics: DataFrame, lists: tuple[RankedList, ...] = LISTS) -> DataFrame:
+def _as_rows(bars: DataFrame) -> DataFrame:
+    return bars.select("code", "asof_date", *[F.col("close").alias(n) for n in ("last", "hi", "lo")], "volume")
+
+
+def day_metrics(bars: DataFrame, run_date: Column) -> DataFrame:
+    """Price, volume, previous close, earlier extremes and period bases of codes that traded on the day."""
+    rows = _as_rows(bars).withColumn("t", run_date.cast("date"))
+    return _metrics(rows.filter(F.col("asof_date") <= F.col("t")), ["code"])
+
+
+def month_state(bars: DataFrame) -> DataFrame:
+    """(code, ym, asof_date, last, hi, lo): one row per code and month, under its last day. Combines in every task before the shuffle."""
+    month = (F.year("asof_date") * 100 + F.month("asof_date")).cast("int")
+    return bars.groupBy("code", month.alias("ym")).agg(
+        F.max("asof_date").alias("asof_date"), F.max_by("close", "asof_date").alias("last"), F.max("close").alias("hi"), F.min("close").alias("lo")
+    )
+
+
+def edge_months(day: dt.date) -> list[int]:
+    """The months that a bound of the day's metrics cuts: the day itself, 52 weeks, the week, 7 days, a month and a year before.
+
+    Every other month lies inside or outside each period as a whole, so its summary is enough.
+    """
+
+    def months_before(n: int) -> dt.date:
+        k = day.year * 12 + day.month - 1 - n
+        return dt.date(k // 12, k % 12 + 1, 1)
+
+    week = day - dt.timedelta(days=day.weekday())
+    cut = [day, day - dt.timedelta(days=364), week, day - dt.timedelta(days=7), months_before(1), months_before(12)]
+    return sorted({x.year * 100 + x.month for x in cut})
+
+
+def days_metrics(bars: DataFrame, state: DataFrame, days: list[dt.date]) -> DataFrame:
+    """Metrics of several days (column ``t``) in one aggregation: bars of the edge months only, all other months from their summaries.
+
+    ``bars`` and ``state`` both have the month as ``ym``, so a table partitioned by it is read in these months alone. A summary or bar goes once
+    to each of the days, which combine in every task before the shuffle.
+    """
+    edges = {t: edge_months(t) for t in days}
+    cut = sorted({m for months in edges.values() for m in months})
+    cases = F.array(*[F.struct(F.lit(t).alias("t"), F.array(*[F.lit(m) for m in months]).alias("cut")) for t, months in edges.items()])
+    fine = _as_rows(bars.filter(F.col("ym").isin(cut))).withColumn("ym", F.year("asof_date") * 100 + F.month("asof_date")).withColumn("fine", F.lit(True))
+    whole = state.select("code", "asof_date", "last", "hi", "lo", F.lit(None).cast("double").alias("volume"), "ym", F.lit(False).alias("fine"))
+    rows = fine.unionByName(whole).filter(F.col("asof_date") <= F.lit(max(days)))
+    rows = rows.withColumn("_d", F.explode(cases)).filter(F.array_contains("_d.cut", F.col("ym")) == F.col("fine"))
+    rows = rows.select("code", "asof_date", "last", "hi", "lo", "volume", "_d.t").filter(F.col("asof_date") <= F.col("t"))
+    return _metrics(rows, ["code", "t"])
+
+
+def snapshot_entries(metrics: DataFrame, lists: tuple[RankedList, ...] = LISTS, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every (list, code) that qualifies, before ranking: one pass instead of one scan per list."""
     entries = [
         f"if(coalesce({x.condition}, false), named_struct('list_rank', {k}, 'list', '{x.name}', 'top', {str(x.top is not None).lower()}, "
@@ -99,8 +148,8 @@ def snapshot_entries(metrics: DataFrame, lists: tuple[RankedList, ...] = LISTS)
         for k, x in enumerate(lists, 1)
     ]
     picked = F.expr(f"inline(filter(array({', '.join(entries)}), e -> e IS NOT NULL))")
-    flat = metrics.select("code", "price", "volume", F.col("diff").alias("d"), F.col("diff_pct").alias("p"), picked)
-    return flat.select("list_rank", "list", "top", "sort", "code", "price", "diff", "diff_pct", "amount")
+    flat = metrics.select(*keep, "code", "price", "volume", F.col("diff").alias("d"), F.col("diff_pct").alias("p"), picked)
+    return flat.select(*keep, "list_rank", "list", "top", "sort", "code", "price", "diff", "diff_pct", "amount")
 
 
 def snapshot(
@@ -112,12 +161,21 @@ def snapshot(
     One window ranks everything, so bars are read once: a code of a full list is a group of its own there and always
     passes. ``names`` has one row per code with ``code``, ``name`` and ``market``.
     """
-    entries = snapshot_entries(day_metrics(bars, run_date), lists).withColumn("_own", F.when(~F.col("top"), F.col("code")))
-    ranked = top_in_order(entries, TOP_DAY, ["list_rank", "_own"], [F.col("sort"), F.col("code")])
-    ranked = ranked.withColumn("rank", F.when(F.col("top"), F.col("rank"))).drop("top", "_own")
+    ranked = _ranked(snapshot_entries(day_metrics(bars, run_date), lists), [])
     return ranked if names is None else ranked.join(names.select("code", "name", "market"), "code", "left")
 
 
+def _ranked(entries: DataFrame, keys: list[str]) -> DataFrame:
+    entries = entries.withColumn("_own", F.when(~F.col("top"), F.col("code")))
+    ranked = top_in_order(entries, TOP_DAY, [*keys, "list_rank", "_own"], [F.col("sort"), F.col("code")])
+    return ranked.withColumn("rank", F.when(F.col("top"), F.col("rank"))).drop("top", "_own")
+
+
+def snapshots(bars: DataFrame, state: DataFrame, days: list[dt.date], lists: tuple[RankedList, ...] = LISTS) -> DataFrame:
+    """The lists of several days (column ``t``) from month summaries and the bars of few months; see ``days_metrics``."""
+    return _ranked(snapshot_entries(days_metrics(bars, state, days), lists, ("t",)), ["t"])
+
+
 def snapshot_counts(bars: DataFrame, run_date: Column, lists: tuple[RankedList, ...] = LISTS) -> DataFrame:
     """Number of codes per full list, 0 for a list without codes."""
     entries = snapshot_entries(day_metrics(bars, run_date), lists)
