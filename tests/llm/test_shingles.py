@@ -55,6 +55,51 @@ def test_pairs_are_those_of_all_pairs(spark):
     assert shingles.alike(texts.limit(0)).collect() == []
 
 
+def families(n, sizes, changed):
+    """Families of copies of a base with some words changed: most members are alike through the base or each other only."""
+    rng = random.Random(n)
+    rows = []
+    for f, size in enumerate(sizes):
+        base = [f"f{f}w{rng.randrange(5_000)}" for _ in range(400)]
+        for m in range(size):
+            other = list(base)
+            for at in rng.sample(range(400), changed if m else 0):
+                other[at] = f"new{rng.randrange(10**6)}"
+            rows.append((1_000 * f + m, " ".join(other)))
+    return rows
+
+
+def groups_of(ids, pairs):
+    root = {k: k for k in ids}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {k: find(k) for k in ids}
+
+
+def test_large_buckets_lose_no_link(spark, monkeypatch):
+    """Buckets of many blocks against the components of all pairs: star families, and texts that no pair connects."""
+    monkeypatch.setattr(shingles, "BLOCK", 20)
+    rows = families(1, [120, 90, 40, 3], 6) + [(9_000 + k, t) for k, (_, t) in enumerate(families(2, [60], 14))]
+    found = {(r.a, r.b) for r in shingles.alike(spark.createDataFrame(rows, "x long, t string")).collect()}
+    want = plain_pairs(rows)
+    assert found <= want
+    assert groups_of([k for k, _ in rows], found) == groups_of([k for k, _ in rows], want)
+
+
+def test_star_families_leave_one_row_each(spark):
+    rows = families(3, [500, 300, 20], 6)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    kept = sorted(r.doc_id for r in corpus_pipeline.one_of_each(spark, docs, SF).collect())
+    assert kept == [0, 1_000, 2_000]
+
+
 def test_stage_keeps_one_row_of_each_group(spark):
     long = " ".join(f"w{k}" for k in range(100))
     own = ["one whole text of its own " * 3, "another text that has nothing shared " * 3]
