@@ -2,8 +2,9 @@
 
 The standard library's parser streams events over the whole page. A line is the text between two block boundaries. Elements that never hold
 article text (menus, forms, scripts and the like, by tag or role) are left out with all they contain; open elements
-that the page forgot to close are closed by the rules of ``CLOSED_BY`` and by their parents' end. What only a class or id calls so is left out
-if it holds less than ``SHARE`` of the page's text; a name that merely mentions such a word lowers the score of its lines.
+that the page forgot to close are closed by the rules of ``CLOSED_BY`` and by their parents' end. What a class or id calls so is left out as well,
+however long it is. It is spared only where the page's article elements all stand inside such names, or where nothing else is left; comments
+never are. A name that merely mentions such a word lowers the score of its lines.
 
 Each line has a ratio: characters of text outside links, over tags seen in it. The ratios are smoothed along the page by a Gaussian kernel,
 and the threshold that parts content from the rest lies between the two means of a clustering of the logarithms of smoothed ratios.
@@ -62,8 +63,8 @@ RADIUS, SIGMA = 2, 1.0
 MARKED, NAMED = 2.0, 1.0
 #: What the lines outside lose on a page that marks an article; and characters per tag over which a line is no more of an article than others.
 UNMARKED, FULL = 1.5, 60.0
-#: A name cuts an element that holds less than this share of the page's text.
-SHARE = 0.5
+#: Words of names that mark readers' own words, which are no article even where a page has nothing else.
+COMMENTS = set("comment comments disqus reply replies respond".split())
 #: Before a word these say what the rest of the page has, not what the element is.
 ABOUT_PAGE = set("with has no without".split())
 _SPACE = re.compile(r"\s+")
@@ -103,17 +104,23 @@ def is_dropped(tag: str, attrs: list[tuple[str, str | None]], inside_article: bo
     return False
 
 
-def named(tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
-    """Whether a class or id is a dropped word or ends with one, and whether one mentions such a word. Never so for what marks the article."""
+def named(tag: str, attrs: list[tuple[str, str | None]]) -> tuple[str, bool]:
+    """The dropped word that a class or id is or ends with ('' for none; a word of comments goes first), and whether one mentions such
+    a word. Never so for what marks the article."""
     if not attrs or tag in ("html", "body") or tag in ARTICLE:
-        return False, False
+        return "", False
     given = dict(attrs)
     names = f"{given.get('class') or ''} {given.get('id') or ''}".split()
     if not names or any(KEPT_NAMES.match(n.lower()) for n in names):
-        return False, False
+        return "", False
     parts = [[w.lower() for w in _PARTS.findall(n)] for n in names]
-    ends = any(p and p[-1] in DROPPED_WORDS and not (len(p) > 1 and p[-2] in ABOUT_PAGE) for p in parts)
-    return ends, any(w in DROPPED_WORDS for p in parts for w in p)
+    ends = [p[-1] for p in parts if p and p[-1] in DROPPED_WORDS and not (len(p) > 1 and p[-2] in ABOUT_PAGE)]
+    return next((w for w in ends if w in COMMENTS), ends[0] if ends else ""), any(w in DROPPED_WORDS for p in parts for w in p)
+
+
+def marks_article(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    given = dict(attrs)
+    return tag in ARTICLE or any(KEPT_NAMES.match(n.lower()) for n in f"{given.get('class') or ''} {given.get('id') or ''}".split())
 
 
 @dataclass
@@ -126,11 +133,12 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.stack: list[_Open] = []
         self.dropped = self.articles = self.links = self.named = 0
-        self.cuts: list[int] = []  # open elements that their names may cut
-        self.sizes: list[int] = []  # characters in each of these elements
+        self.cuts: list[int] = []  # open elements that their names cut
+        self.words: list[str] = []  # the word in the name of each of these elements
+        self.marks: list[tuple[int, ...]] = []  # the elements of that kind around each element that marks an article
         self.parts: list[tuple[str, tuple[int, ...], bool]] = []
         self.raw: list[tuple[list, int, bool, bool, bool]] = []
-        self.tags = self.size = 0
+        self.tags = 0
         self.was_heading = False
 
     def _break(self) -> None:
@@ -163,16 +171,18 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         drop = is_dropped(tag, attrs, self.articles > 0)
-        cut, mentions = named(tag, attrs)
-        opened = _Open(tag, drop, tag in ARTICLE and not self.dropped, cut, mentions)
+        word, mentions = named(tag, attrs)
+        opened = _Open(tag, drop, tag in ARTICLE and not self.dropped, bool(word), mentions)
+        if not self.dropped and marks_article(tag, attrs):
+            self.marks.append(tuple(self.cuts))
         self.stack.append(opened)
         self.dropped += opened.dropped
         self.articles += opened.article
         self.links += tag == "a"
         self.named += mentions
-        if cut:
-            self.cuts.append(len(self.sizes))
-            self.sizes.append(0)
+        if word:
+            self.cuts.append(len(self.words))
+            self.words.append(word)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)  # a slash does not close an HTML element
@@ -193,23 +203,25 @@ class Lines(HTMLParser):
         if self.dropped:
             return
         self.parts.append((data, tuple(self.cuts), self.links > 0))
-        n = len(data.strip())
-        self.size += n
-        for k in self.cuts:
-            self.sizes[k] += n
         if self.stack and self.stack[-1].tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
             self.was_heading = True
 
     def close(self):
         super().close()
         self._break()
-        gone = {k for k, n in enumerate(self.sizes) if n < SHARE * self.size}
+        named, comments = set(range(len(self.words))), {k for k, w in enumerate(self.words) if w in COMMENTS}
+        around = set() if any(not m for m in self.marks) else {k for m in self.marks for k in m}
+        self.lines = self._without(named - (around - comments)) or self._without(comments)
+
+    def _without(self, gone: set[int]) -> list[Line]:
+        lines = []
         for parts, tags, in_article, heading, is_named in self.raw:
             kept = [(data, linked) for data, cuts, linked in parts if gone.isdisjoint(cuts)]
             text = _SPACE.sub(" ", "".join(data for data, _ in kept)).strip()
             if text:
                 linked = sum(len(data.strip()) for data, is_link in kept if is_link)
-                self.lines.append(Line(text, max(len(text) - linked, 0) / max(tags, 1), linked / len(text), in_article, heading, is_named))
+                lines.append(Line(text, max(len(text) - linked, 0) / max(tags, 1), linked / len(text), in_article, heading, is_named))
+        return lines
 
 
 def smoothed(ratios: np.ndarray, radius: int = RADIUS, sigma: float = SIGMA) -> np.ndarray:

@@ -76,3 +76,27 @@ def test_names_that_mention_a_dropped_word():
         assert "Once more." in extraction.main_text(two)
     small = f"<body><div>{body}</div><div class=comments><p>{BODY[0]} First!</p></div><div class='page-sidebar'>{BODY[1]} Aside.</div></body>"
     assert extraction.main_text(small) == " ".join(BODY)
+
+
+def test_comments_and_notices_of_any_length():
+    """Longer than the article, inside and beside it; readers' comments are often articles themselves."""
+    body = "".join(f"<p>{x}</p>" for x in BODY)
+    talk = "".join(f"<article class=comment-item><p>{x.replace('Sentence', 'Opinion')}</p></article>" for x in BODY * 4)
+    flat = "".join(f"<p>{x.replace('Sentence', 'Opinion')}</p>" for x in BODY * 4)
+    for page in (
+        f"<article>{body}<div id=comments>{flat}</div></article>",
+        f"<article>{body}</article><section class='post-comments'>{talk}</section>",
+        f"<div>{body}</div><div id=comments>{flat}</div>",
+        f"<div>{body}</div><ol class=comments>{talk}</ol>",
+        f"<main>{body}<div class='cookie-notice'>{flat}</div></main>",
+        f"<div>{body}</div><div class='cookie-notice'>{flat}</div>",
+        f"<div class='page-search'><article>{body}</article></div><div class=sidebar>{flat}</div>",
+    ):
+        assert extraction.main_text(f"<body>{page}</body>") == " ".join(BODY), page[:60]
+
+
+def test_names_around_everything():
+    body = "".join(f"<p>{x}</p>" for x in BODY)
+    assert extraction.main_text(f"<body><div class='site-modal'>{body}</div></body>") == " ".join(BODY)
+    assert extraction.main_text(f"<body><div class='site-modal'><div class=article-body>{body}</div></div><p>Small print.</p></body>").startswith(" ".join(BODY))
+    assert extraction.main_text(f"<body><div class=comments>{body}</div></body>") == ""
