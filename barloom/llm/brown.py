@@ -1,18 +1,24 @@
 """Language-model scores from Brown's class-based bigrams.
 
-Words. A bounded number of the most frequent words are units of their own; every other word belongs to the unit of its last two bytes, so
-that a word never seen has a unit too. The end of a text is a unit, and stands before the first word as well.
+Words. The ``TOP`` most frequent words have a class each by exchange clustering; every rarer word, and one never seen, belongs to the unit of
+its last two bytes, which has a class like a word. The end of a text has a class of its own, and stands before the first word as well.
 
-Classes. The exchange algorithm (Kneser and Ney 1993, Martin et al. 1998) moves each unit to the class with the greatest gain in the
-likelihood of the class bigrams, over counts of all neighbouring units in all training texts. It works on at most UNITS^2 counts, whatever the
-corpus, so it runs in one place.
+Classes. The exchange algorithm (Kneser and Ney 1993, Martin et al. 1998) moves a word to the class with the greatest gain in the
+likelihood of the class bigrams. It goes in two steps, both over counts from all training texts:
 
-Model. P(word | last) = P(class | class of last) P(unit | class) P(word | unit): class transitions are interpolated with class
-frequencies; a frequent word is all of its unit; among the rest of a unit a word has (count + 0.5) / (total + 0.5 (distinct + 1)), which
-leaves room for one unknown word, as the base does. Emissions of a unit get 0.5 too. The probabilities of all words after a history sum to 1.
+1. The core: the ``OWN`` most frequent words, the units of endings for all others, and the end. Their pairs are at most UNITS^2 counts,
+   whatever the corpus, and are exchanged in one place until the passes are over.
+2. All other words of the vocabulary, as a distributed pass (Uszkoreit and Brants 2008): each word's neighbours are counted by class, the
+   words are dealt over the tasks with these counts, and each moves to its best class in the class bigrams of the core. Only class
+   numbers come back, and the class bigrams are counted anew.
 
-Counts of the long tail are joined: per text and distinct tail word one row of two numbers, so no vocabulary is broadcast. Counts of
-the frequent words travel with the tasks, at most ``TOP`` of them.
+Model. P(word | last) = P(class | class of last) P(word | class): class transitions are interpolated with class frequencies; in its class a
+word has (count + 0.5) / (sum of these), and so has a unit of an ending, by the count of its words outside the vocabulary. Among those
+a word has (count + 0.5) / (total + 0.5 (distinct + 1)), which leaves room for one unknown word, as the base does. The probabilities of all
+words after a history sum to 1.
+
+Counts of the long tail are joined: per text and distinct tail word one row of two numbers. Counts and classes of the vocabulary
+travel with the tasks, at most ``TOP`` of them (about 10 MB).
 """
 
 from __future__ import annotations
@@ -26,14 +32,16 @@ from pyspark.sql import functions as F
 
 from . import common, tokens
 
-#: Frequent words whose counts travel with the tasks, and of these the number that are units of their own.
-TOP, OWN = 131_072, 1_024
+#: Words that have a class of their own and travel with the tasks, and of these the core.
+TOP, OWN = 524_288, 1_024
 #: Units for the other words, by their last two bytes; one more unit is the end.
 ENDINGS = 512
 UNITS = OWN + ENDINGS + 1
 CLASSES, PASSES = 32, 4
 END_KEY = -1  # stands for the end of a text among word keys
 _WEIGHT = 16.0  # of the class frequencies in a transition
+#: Counts of a word's neighbours: class after it, class before it, itself after it. Counts that a task holds at once.
+SLOTS, HELD = 2 * CLASSES + 1, 2_000_000
 
 
 def endings(words: tokens.Words) -> np.ndarray:
@@ -63,10 +71,10 @@ def word_counts(texts: DataFrame, text: str) -> DataFrame:
 
 
 class Vocabulary:
-    """The frequent words with their counts, sorted by key, and the unit of each."""
+    """The frequent words with their counts, sorted by key, the core unit of each (-1 outside the core), and their endings."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, unit: np.ndarray):
-        self.keys, self.counts, self.unit = keys, counts, unit
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, unit: np.ndarray, ending: np.ndarray):
+        self.keys, self.counts, self.unit, self.ending = keys, counts, unit, ending
 
     def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each key, and whether it is there."""
@@ -75,18 +83,34 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return at, self.keys[at] == key
 
-    def sequence(self, w: tokens.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Units of all tokens in order, ends included; of the words: place in the vocabulary and whether known there; and positions of ends."""
-        at, known = self.find(w.key.view(np.int64))
+    def places(self, w: tokens.Words) -> tuple[np.ndarray, np.ndarray]:
+        return self.find(w.key.view(np.int64))
+
+    def units(self, w: tokens.Words) -> np.ndarray:
+        """Core units of all tokens in order, ends included."""
+        at, known = self.places(w)
         unit = np.where(known, self.unit[at] if len(self.unit) else -1, -1)
-        unit = np.where(unit < 0, OWN + endings(w), unit)
-        per_text = np.bincount(w.text, minlength=w.n_texts)
-        ends = np.cumsum(per_text + 1) - 1
-        out = np.full(len(unit) + w.n_texts, UNITS - 1)
-        is_word = np.ones(len(out), bool)
-        is_word[ends] = False
-        out[is_word] = unit
-        return out, at, known, ends
+        return with_ends(w, np.where(unit < 0, OWN + endings(w), unit), UNITS - 1)
+
+
+def with_ends(w: tokens.Words, values: np.ndarray, end: int) -> np.ndarray:
+    """One value per word, and ``end`` after each text."""
+    out = np.full(len(values) + w.n_texts, end)
+    out[np.arange(len(values)) + w.text] = values
+    return out
+
+
+class Classes:
+    """The class of every vocabulary word and of the unit of every ending."""
+
+    def __init__(self, vocabulary: Vocabulary, label: np.ndarray, of_ending: np.ndarray):
+        self.vocabulary, self.label, self.of_ending = vocabulary, label, of_ending
+
+    def of_words(self, w: tokens.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Class, place in the vocabulary and whether there, of all words."""
+        at, known = self.vocabulary.places(w)
+        own = self.label[at] if len(self.label) else 0
+        return np.where(known, own, self.of_ending[endings(w)]), at, known
 
 
 def pairs(texts: DataFrame, text: str, vocabulary: Vocabulary) -> DataFrame:
@@ -97,7 +121,7 @@ def pairs(texts: DataFrame, text: str, vocabulary: Vocabulary) -> DataFrame:
         total = np.zeros(UNITS * UNITS, np.int64)
         for b in batches:
             for w in tokens.words(b.column(0)):
-                unit, _, _, _ = shared.value.sequence(w)
+                unit = shared.value.units(w)
                 # The end of the text before stands for the start.
                 last = np.concatenate(([UNITS - 1], unit[:-1]))
                 total += np.bincount(last * UNITS + unit, minlength=len(total))
@@ -111,6 +135,29 @@ def _plogp(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
 
 
+def best_class(table: np.ndarray, right: np.ndarray, left: np.ndarray, own: float) -> int:
+    """The class (the last one excepted) that gains most by taking in a word which ``table`` does not hold.
+
+    right, left: how often a class follows or precedes the word, itself (``own``) left out.
+    """
+    # Cells of row c and column c, and the two margins. What other classes get back in their margins is the same for every c.
+    row, col = table.sum(1) + left, table.sum(0) + right
+    gain = (_plogp(table + right) - _plogp(table)).sum(1) + (_plogp(table + left[:, None]) - _plogp(table)).sum(0)
+    diagonal = np.diag(table)
+    gain -= _plogp(diagonal + right) + _plogp(diagonal + left) - 2 * _plogp(diagonal)
+    gain += _plogp(diagonal + right + left + own) - _plogp(diagonal)
+    out_u, in_u = right.sum() + own, left.sum() + own
+    gain -= _plogp(row + out_u) - _plogp(row) + _plogp(col + in_u) - _plogp(col)
+    return int(np.argmax(gain[:-1]))
+
+
+def move(table: np.ndarray, c: int, right: np.ndarray, left: np.ndarray, own: float) -> None:
+    """Add a word's counts to class c; negative counts take it out."""
+    table[c] += right
+    table[:, c] += left
+    table[c, c] += own
+
+
 def exchange(counts: np.ndarray, classes: int = CLASSES, passes: int = PASSES) -> np.ndarray:
     """The class of every unit. Units without counts stay in the last class; the end keeps a class of its own."""
     counts = counts.astype(np.float64)
@@ -129,28 +176,13 @@ def exchange(counts: np.ndarray, classes: int = CLASSES, passes: int = PASSES) -
     for _ in range(passes):
         moved = 0
         for u in order:
-            old = label[u]
-            own = counts[u, u]
+            old, own = label[u], counts[u, u]
             right, left = after[u].copy(), before[u].copy()
             right[old] -= own
             left[old] -= own
-            # Take the unit out of its class.
-            table[old] -= right
-            table[:, old] -= left
-            table[old, old] -= own
-            # Gain of putting it into class c: cells of row c and column c, and the two margins. What other classes get back in their
-            # margins is the same for every c.
-            row, col = table.sum(1) + left, table.sum(0) + right
-            gain = (_plogp(table + right) - _plogp(table)).sum(1) + (_plogp(table + left[:, None]) - _plogp(table)).sum(0)
-            diagonal = np.diag(table)
-            gain -= _plogp(diagonal + right) + _plogp(diagonal + left) - 2 * _plogp(diagonal)
-            gain += _plogp(diagonal + right + left + own) - _plogp(diagonal)
-            out_u, in_u = right.sum() + own, left.sum() + own
-            gain -= _plogp(row + out_u) - _plogp(row) + _plogp(col + in_u) - _plogp(col)
-            new = int(np.argmax(gain[:movable]))
-            table[new] += right
-            table[:, new] += left
-            table[new, new] += own
+            move(table, old, -right, -left, -own)
+            new = best_class(table, right, left, own)
+            move(table, new, right, left, own)
             if new != old:
                 moved += 1
                 label[u] = new
@@ -163,68 +195,207 @@ def exchange(counts: np.ndarray, classes: int = CLASSES, passes: int = PASSES) -
     return label
 
 
+def neighbours(texts: DataFrame, text: str, classes: Classes) -> DataFrame:
+    """(place, slots, n): classes beside the vocabulary words outside the core, summed in every task, one row per task and word."""
+    shared = texts.sparkSession.sparkContext.broadcast(classes)
+
+    def grouped(code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        place = code // SLOTS
+        cut = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+        ends = np.append(cut, len(code)).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in ((code % SLOTS).astype(np.int8), n.astype(np.int32))]
+        return pa.RecordBatch.from_arrays([pa.array(place[cut].astype(np.int32)), *lists], ["place", "slots", "n"])
+
+    def summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        code, where = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
+        return code, np.bincount(where, np.concatenate([n for _, n in held]), len(code)).astype(np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for b in batches:
+            for w in tokens.words(b.column(0)):
+                label, at, known = shared.value.of_words(w)
+                whole = with_ends(w, label, CLASSES - 1)
+                here = np.arange(len(label)) + w.text
+                mine = known & (shared.value.vocabulary.unit[at] < 0) if len(at) else known
+                place = at[mine] * SLOTS
+                after, before = whole[here[mine] + 1], whole[here[mine] - 1]  # before the first word stands the end of the last text
+                again = np.zeros(len(label), bool)
+                again[:-1] = (w.key[1:] == w.key[:-1]) & (w.text[1:] == w.text[:-1])
+                code = np.concatenate((place + after, place + CLASSES + before, at[mine & again] * SLOTS + 2 * CLASSES))
+                held.append(np.unique(code, return_counts=True))
+                size += len(held[-1][0])
+                if size > HELD:
+                    held = [summed(held)]
+                    size = len(held[0][0])
+                    if size > HELD // 2 and size:
+                        yield grouped(*held[0])
+                        held, size = [], 0
+        if size:
+            yield grouped(*summed(held))
+
+    return texts.select(text).mapInArrow(count, "place int, slots array<tinyint>, n array<int>")
+
+
+def assigned(counts: DataFrame, classes: Classes, table: np.ndarray) -> DataFrame:
+    """(pair, n): place and best class of every word that ``neighbours`` has counts of, given the class bigrams that hold it in its present class."""
+    shared = counts.sparkSession.sparkContext.broadcast((classes.label, table.astype(np.float64)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        label, table = shared.value
+        carried, rest = -1, np.zeros(SLOTS)
+
+        def choose(place: int, v: np.ndarray) -> int:
+            old, own = int(label[place]), v[2 * CLASSES]
+            right, left = v[:CLASSES].copy(), v[CLASSES : 2 * CLASSES].copy()
+            right[old] -= own
+            left[old] -= own
+            # Where the counts of one place come from another labelling, cells may not fall below zero.
+            without = table.copy()
+            move(without, old, -right, -left, -own)
+            return best_class(np.maximum(without, 0), right, left, own)
+
+        for b in batches:
+            slots = b.column("slots")
+            place = b.column("place").to_numpy()
+            words, index = np.unique(place, return_inverse=True)
+            code = np.repeat(index, np.diff(slots.offsets.to_numpy())) * SLOTS + slots.flatten().to_numpy()
+            sums = np.bincount(code, b.column("n").flatten().to_numpy(), len(words) * SLOTS).reshape(-1, SLOTS)
+            done, chosen = [], []
+            if carried >= 0:
+                if len(words) and words[0] == carried:
+                    sums[0] += rest
+                else:
+                    done.append(carried)
+                    chosen.append(choose(carried, rest))
+            for k in range(len(words) - 1):
+                done.append(int(words[k]))
+                chosen.append(choose(int(words[k]), sums[k]))
+            if len(words):
+                carried, rest = int(words[-1]), sums[-1]
+            yield pa.RecordBatch.from_arrays([pa.array(done, pa.int64()), pa.array(chosen, pa.int64())], ["pair", "n"])
+        if carried >= 0:
+            yield pa.RecordBatch.from_arrays([pa.array([carried]), pa.array([choose(carried, rest)])], ["pair", "n"])
+
+    return counts.repartition("place").sortWithinPartitions("place").mapInArrow(run, "pair long, n long")
+
+
+def class_pairs(texts: DataFrame, text: str, classes: Classes) -> np.ndarray:
+    """How often each class follows each, over all training texts: CLASSES^2 numbers per task."""
+    shared = texts.sparkSession.sparkContext.broadcast(classes)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CLASSES * CLASSES, np.int64)
+        for b in batches:
+            for w in tokens.words(b.column(0)):
+                label = with_ends(w, shared.value.of_words(w)[0], CLASSES - 1)
+                total += np.bincount(np.concatenate(([CLASSES - 1], label[:-1])) * CLASSES + label, minlength=len(total))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["pair", "n"])
+
+    out = np.zeros(CLASSES * CLASSES)
+    for r in texts.select(text).mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        out[r["pair"]] = r["n"]
+    return out.reshape(CLASSES, CLASSES)
+
+
+def tails(words: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Per ending: occurrences and number of the words outside the vocabulary."""
+    shared = words.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, v = np.zeros(ENDINGS), np.zeros(ENDINGS)
+        for b in batches:
+            key, ending, times = (b.column(c).to_numpy() for c in ("key", "ending", "n"))
+            tail = ~shared.value.find(key)[1]
+            n += np.bincount(ending[tail], times[tail], ENDINGS)
+            v += np.bincount(ending[tail], minlength=ENDINGS)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(ENDINGS)), pa.array(n.astype(np.int64)), pa.array(v.astype(np.int64))], ["ending", "n", "v"])
+
+    total, distinct = np.zeros(ENDINGS), np.zeros(ENDINGS)
+    for r in words.mapInArrow(count, "ending long, n long, v long").groupBy("ending").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
+        total[r["ending"]], distinct[r["ending"]] = r["n"], r["v"]
+    return total, distinct
+
+
 class Model:
     """Logarithms to base 10 of the parts of the model."""
 
-    def __init__(self, vocabulary: Vocabulary, counts: np.ndarray, label: np.ndarray, tail_total: np.ndarray, tail_distinct: np.ndarray, total: int, distinct: int, ends: int):
-        self.vocabulary, self.label = vocabulary, label
-        member = np.zeros((len(label), CLASSES))
-        member[np.arange(len(label)), label] = 1
-        table = member.T @ counts @ member
+    def __init__(self, classes: Classes, table: np.ndarray, tail_total: np.ndarray, tail_distinct: np.ndarray, total: int, distinct: int, ends: int):
+        self.classes = classes
         frequency = (table.sum(0) + 0.5) / (table.sum() + 0.5 * CLASSES)
         self.transition = np.log10((table + _WEIGHT * frequency) / (table.sum(1, keepdims=True) + _WEIGHT))
-        units = counts.sum(0) + 0.5
-        self.emission = np.log10(units / (member.T @ units)[label])
-        self.tail_room = np.log10(tail_total + 0.5 * (tail_distinct + 1))  # of the units of endings
+        counts = classes.vocabulary.counts
+        mass = np.bincount(classes.label, counts + 0.5, CLASSES) + np.bincount(classes.of_ending, tail_total + 0.5, CLASSES)
+        mass = np.log10(np.maximum(mass, 0.5))
+        self.count_log = np.log10(counts + 0.5)
+        #: Of a vocabulary word in its class, and of the unit of an ending in its; the end is all of its class.
+        self.word = self.count_log - mass[classes.label]
+        self.ending = np.log10(tail_total + 0.5) - mass[classes.of_ending]
+        self.tail_room = np.log10(tail_total + 0.5 * (tail_distinct + 1))
         self.total, self.ends = total, ends
         self.room = np.log10(total + 0.5 * (distinct + 1))
 
     def text_sums(self, w: tokens.Words) -> tuple[np.ndarray, ...]:
         """Per text: tokens, known, sums of log10(count + 0.5) over frequent words and end, model score without the tail's counts; and tail words."""
-        unit, at, known, ends = self.vocabulary.sequence(w)
-        last = np.concatenate(([UNITS - 1], unit[:-1]))
+        label, at, known = self.classes.of_words(w)
+        whole = with_ends(w, label, CLASSES - 1)
+        ends = np.cumsum(np.bincount(w.text, minlength=w.n_texts) + 1) - 1
         first = np.concatenate(([0], ends[:-1] + 1))
-        score = self.transition[self.label[last], self.label[unit]] + self.emission[unit]
-        logs = np.log10(self.vocabulary.counts + 0.5) if len(self.vocabulary.counts) else np.zeros(1)
-        word_log = np.where(known, logs[at], 0.0)
-        word_unit = unit[np.delete(np.arange(len(unit)), ends)] if len(unit) > len(ends) else np.zeros(0, np.int64)
-        in_tail = word_unit >= OWN
-        room = np.where(in_tail, self.tail_room[np.where(in_tail, word_unit - OWN, 0)], 0.0)
+        step = self.transition[np.concatenate(([CLASSES - 1], whole[:-1])), whole]
+        at = np.where(known, at, 0)
+        ending = endings(w)
+        word = self.word[at] if len(self.word) else np.zeros(len(at))
+        count_log = self.count_log[at] if len(self.word) else np.zeros(len(at))
         n = w.n_texts
         per_text = lambda x: np.bincount(w.text, x, n)
-        total = np.add.reduceat(score, first) + per_text(np.where(in_tail & known, word_log, 0.0)) - per_text(room)
+        total = np.add.reduceat(step, first) + per_text(np.where(known, word, self.ending[ending] - self.tail_room[ending]))
         n_tokens = np.bincount(w.text, minlength=n) + 1
         n_known = per_text(known).astype(np.int64) + (self.ends > 0)
-        base = per_text(word_log) + np.log10(self.ends + 0.5) - n_tokens * self.room
+        base = per_text(np.where(known, count_log, 0.0)) + np.log10(self.ends + 0.5) - n_tokens * self.room
         return n_tokens, n_known, base, total, ~known
 
 
-def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, n_tokens, n_known, train_tokens, base_score, score per row, learning from the texts of ``training``.
-
-    A null or empty text is its end alone. Null keys and repeated rows are scored like others; other columns are not read. Without training
-    texts nothing is known and both scores are those of unknown words.
-    """
-    spark = docs.sparkSession
+def fit(training: DataFrame, text: str = "text") -> tuple[Model, DataFrame]:
+    """The model of the texts of ``training``, and the counts of their words (key, n)."""
     counts = common.stored(word_counts(training, text), "brown-counts")
     words = counts.where(F.col("key") != END_KEY)
     whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"), F.coalesce(F.sum(F.when(F.col("key") == END_KEY, F.col("n"))), F.lit(0)).alias("ends")).first()
-    # At most TOP rows of two numbers come to the driver.
-    top = words.select(F.col("key").alias("pair"), "n").orderBy(F.desc("n"), "pair").limit(TOP).mapInArrow(_packed, "pair binary, n binary").collect()
+    # At most TOP rows of three numbers come to the driver.
+    top = words.select(F.col("key").alias("pair"), (F.col("n") * ENDINGS + F.col("ending")).alias("n"), F.col("n").alias("_n")).orderBy(F.desc("_n"), "pair").limit(TOP)
+    top = top.select("pair", "n").mapInArrow(_packed, "pair binary, n binary").collect()
     keys, n = (np.frombuffer(b"".join(r[c] for r in top), np.int64) for c in ("pair", "n"))
+    rank = np.lexsort((keys, -(n // ENDINGS)))
+    keys, n = keys[rank], n[rank]
     unit = np.where(np.arange(len(keys)) < OWN, np.arange(len(keys)), -1)
     order = np.argsort(keys)
-    vocabulary = Vocabulary(keys[order], n[order], unit[order])
-    own = F.broadcast(spark.createDataFrame([(int(k),) for k in keys[:OWN]], "key long"))
-    tail_total, tail_distinct = np.zeros(ENDINGS), np.zeros(ENDINGS)
-    for r in words.join(own, "key", "left_anti").groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():
-        tail_total[r["ending"]], tail_distinct[r["ending"]] = r["n"], r["v"]
+    vocabulary = Vocabulary(keys[order], n[order] // ENDINGS, unit[order], n[order] % ENDINGS)
     table = np.zeros(UNITS * UNITS)
-    rows = pairs(training, text, vocabulary).coalesce(16).mapInArrow(_packed, "pair binary, n binary")
-    for r in rows.toLocalIterator():
+    for r in pairs(training, text, vocabulary).coalesce(16).mapInArrow(_packed, "pair binary, n binary").toLocalIterator():
         table[np.frombuffer(r["pair"], np.int64)] = np.frombuffer(r["n"], np.int64)
     table = table.reshape(UNITS, UNITS)
-    model = Model(vocabulary, table, exchange(table), tail_total, tail_distinct, int(whole["n"]), int(whole["v"]), int(whole["ends"]))
+    core = exchange(table)
+    label = core[np.where(vocabulary.unit < 0, OWN + vocabulary.ending, vocabulary.unit)]
+    classes = Classes(vocabulary, label, core[OWN : OWN + ENDINGS])
+    if len(keys) > OWN:
+        member = np.zeros((UNITS, CLASSES))
+        member[np.arange(UNITS), core] = 1
+        label = label.copy()
+        rows = assigned(neighbours(training, text, classes), classes, member.T @ table @ member)
+        for r in rows.mapInArrow(_packed, "pair binary, n binary").toLocalIterator():
+            label[np.frombuffer(r["pair"], np.int64)] = np.frombuffer(r["n"], np.int64)
+        classes = Classes(vocabulary, label, classes.of_ending)
+    tail_total, tail_distinct = tails(words, vocabulary)
+    return Model(classes, class_pairs(training, text, classes), tail_total, tail_distinct, int(whole["n"]), int(whole["v"]), int(whole["ends"])), words
+
+
+def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, n_tokens, n_known, train_tokens, base_score, score per row, learning from the texts of ``training``.
+
+    A null or empty text is its end alone. Null keys and repeated rows are scored like others; other columns are not read. Without training
+    texts nothing is known and both scores are those of unknown words.
+    """
+    spark = docs.sparkSession
+    model, words = fit(training, text)
     shared = spark.sparkContext.broadcast(model)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +426,7 @@ def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str =
     seen, logs = F.coalesce("seen", F.lit(0)), F.coalesce("logs", F.lit(0.0))
     unseen_log = (F.col("tail") - seen) * F.lit(float(np.log10(0.5)))
     return both.select(
-        key, "n_tokens", (F.col("n_known") + seen).alias("n_known"), F.lit(int(whole["n"])).cast("long").alias("train_tokens"),
+        key, "n_tokens", (F.col("n_known") + seen).alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"),
         (F.col("base") + logs + unseen_log).alias("base_score"), (F.col("total") + logs + unseen_log).alias("score"),
     )
 

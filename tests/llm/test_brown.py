@@ -65,12 +65,92 @@ def test_exchange_keeps_its_table_and_gains():
     assert len(set(label[:40:2])) == len(set(label[1:40:2])) == 1 and label[0] != label[1] and label[40] == 2
 
 
-def test_probabilities_sum_to_one():
-    rng = np.random.default_rng(0)
-    counts = np.zeros((brown.UNITS, brown.UNITS))
-    counts[:50, :50] = rng.integers(0, 5, (50, 50))
-    label = brown.exchange(counts)
-    vocabulary = brown.Vocabulary(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-    m = brown.Model(vocabulary, counts, label, np.zeros(brown.ENDINGS), np.zeros(brown.ENDINGS), 10, 3, 1)
-    for u in (0, 7, brown.UNITS - 1):
-        assert math.isclose((10 ** (m.transition[label[u], label] + m.emission)).sum(), 1, rel_tol=1e-9)
+def small_model(spark, monkeypatch, top=1_200):
+    """A model with a core, words outside it and a tail, over texts of two kinds."""
+    monkeypatch.setattr(brown, "TOP", top)
+    rng = np.random.default_rng(4)
+    text = lambda k: " ".join(f"{'xy'[k]}{int(x)}" for x in rng.zipf(1.15, 90) if x < 1_500)
+    rows = [(k, text(k % 2)) for k in range(400)] + [(500, "x1 x1 x1 x1"), (501, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    return rows, docs, brown.fit(docs)[0]
+
+
+def key_of(word):
+    import pyarrow as pa
+
+    return int(next(brown.tokens.words(pa.array([word]))).key.view(np.int64)[0])
+
+
+def ending_of(word):
+    import pyarrow as pa
+
+    return int(brown.endings(next(brown.tokens.words(pa.array([word]))))[0])
+
+
+def test_score_equals_a_plain_walk(spark, monkeypatch):
+    """Every token: class bigrams counted, interpolated and multiplied out in plain Python, from the classes that were learnt."""
+    rows, docs, m = small_model(spark, monkeypatch)
+    counts = Counter(t for _, text in rows for t in tokens_of(text))
+    place = {int(k): n for n, k in enumerate(m.classes.vocabulary.keys)}
+    assert len(place) == 1_200 < len(counts) - 1
+    tail = Counter()
+    for t, n in counts.items():
+        if t is not None and key_of(t) not in place:
+            tail[ending_of(t)] += n
+    kinds = Counter(ending_of(t) for t in counts if t is not None and key_of(t) not in place)
+    c = brown.CLASSES
+
+    def label(t):
+        if t is None:
+            return c - 1
+        return int(m.classes.label[place[key_of(t)]]) if key_of(t) in place else int(m.classes.of_ending[ending_of(t)])
+
+    pairs = Counter((label(a), label(b)) for _, text in rows for a, b in zip([None, *tokens_of(text)], tokens_of(text)))
+    total = sum(pairs.values())
+    after, size = Counter(), Counter()
+    for (a, b), n in pairs.items():
+        after[a] += n
+        size[b] += n
+    mass = Counter()
+    for t, n in counts.items():
+        if t is not None and key_of(t) in place:
+            mass[label(t)] += n + 0.5
+    for e in range(brown.ENDINGS):
+        mass[int(m.classes.of_ending[e])] += tail[e] + 0.5
+
+    def p(last, t):
+        a, b = label(last), label(t)
+        step = (pairs[a, b] + 16 * (size[b] + 0.5) / (total + 0.5 * c)) / (after[a] + 16)
+        if t is None:
+            return step
+        if key_of(t) in place:
+            return step * (counts[t] + 0.5) / mass[b]
+        e = ending_of(t)
+        return step * (tail[e] + 0.5) / mass[b] * (counts[t] + 0.5) / (tail[e] + 0.5 * (kinds[e] + 1))
+
+    asked = [*rows[:20], (900, "x1 never seen y2"), (901, "")]
+    got = {r.doc_id: r.score for r in brown.score(spark.createDataFrame(asked, "doc_id long, text string"), docs).collect()}
+    for k, text in asked:
+        ts = tokens_of(text)
+        assert math.isclose(got[k], sum(math.log10(p(a, b)) for a, b in zip([None, *ts], ts)), rel_tol=1e-9)
+
+
+def test_probabilities_sum_to_one(spark, monkeypatch):
+    _, _, m = small_model(spark, monkeypatch)
+    for last in range(brown.CLASSES):
+        words = (10 ** (m.transition[last, m.classes.label] + m.word)).sum()
+        tail = (10 ** (m.transition[last, m.classes.of_ending] + m.ending)).sum()
+        assert math.isclose(words + tail + 10 ** m.transition[last, -1], 1, rel_tol=1e-9)
+
+
+def test_words_outside_the_core_find_their_class(spark, monkeypatch):
+    """Two languages that never mix: the distributed pass parts their rarer words as the exchange parts the frequent ones."""
+    _, _, m = small_model(spark, monkeypatch, top=10_000)
+    sides = {"x": Counter(), "y": Counter()}
+    for n in range(1, 1_500):
+        for side in sides:
+            at, known = m.classes.vocabulary.find(np.array([key_of(f"{side}{n}")]))
+            if known[0] and m.classes.vocabulary.unit[at[0]] < 0:
+                sides[side][int(m.classes.label[at[0]])] += 1
+    shared, all_of_them = sum((sides["x"] & sides["y"]).values()), sum(sum(s.values()) for s in sides.values())
+    assert min(sum(s.values()) for s in sides.values()) > 50 and shared < 0.05 * all_of_them
