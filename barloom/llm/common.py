@@ -22,6 +22,11 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def by_place(df: DataFrame) -> DataFrame:
+    """The same columns called c0, c1, ...: Arrow functions take columns by name, and not every name can be looked up."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """A table in the shared checkpoint folder: computed once, and read again if an executor is lost."""
     return materialised(df, f"llm-{purpose}")
@@ -72,17 +77,20 @@ def fitting_rows(docs: DataFrame, labels: DataFrame, label: str, key: str, text:
     return rows.groupBy(F.xxhash64(key).alias("h"), F.col(label).cast("double").alias("y")).agg(F.min(F.coalesce(F.col(text), F.lit(""))).alias("t"))
 
 
-def numbered(df: DataFrame, groups: list[str], order: list[str], spread: str, name: str, per_block: int = 65_536) -> DataFrame:
-    """``name``: 0, 1, 2, ... within each group, without bringing a group together in one task.
+def numbered(df: DataFrame, groups: list[str], order: list[str], name: str, per_block: int = 65_536) -> DataFrame:
+    """``name``: 0, 1, 2, ... within each group, without bringing a group, a key or the copies of a row together in one task.
 
-    The whole number in column ``spread`` cuts every group into blocks; a small table of block sizes gives each block its first
-    number, and ranks are taken inside a block only. Rows that agree in all of ``groups`` and ``order`` are counted first and
-    spread out again last, so a row that repeats a billion times is one row on the way. The order is: block, then ``order``.
+    Rows that agree in all of ``groups`` and ``order`` are counted first, so a row that repeats a billion times is one row on the way to its
+    count. The count is cut into pieces of ``per_block``, and a hash of the whole row and the number of the piece deals the pieces over
+    blocks, whatever key is hot. A small table of block sizes gives each block its first number; ranks are taken inside a block, and pieces become
+    rows again where they are. The order is: block, then ``order``.
     """
     n_blocks = 2 * (df.count() // per_block + 1) + 1
     same = df.groupBy(*groups, *order).agg(F.count(F.lit(1)).alias("_n"))
-    same = same.withColumn("_block", F.pmod(F.coalesce(F.col(spread), F.lit(0)), F.lit(n_blocks)))
-    inside = Window.partitionBy(*groups, "_block").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    same = same.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / per_block))))
+    same = same.withColumn("_n", F.least(F.lit(per_block).cast("long"), F.col("_n") - F.col("_piece") * per_block))
+    same = same.withColumn("_block", F.pmod(F.xxhash64(*groups, *order, "_piece"), F.lit(n_blocks)))
+    inside = Window.partitionBy(*groups, "_block").orderBy(*[F.col(c).asc_nulls_first() for c in order], "_piece")
     same = same.withColumn("_before", F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)))
     sizes = same.groupBy(*groups, "_block").agg(F.sum("_n").alias("_size"))
     earlier = Window.partitionBy(*groups).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -91,7 +99,7 @@ def numbered(df: DataFrame, groups: list[str], order: list[str], spread: str, na
     return (
         same.join(firsts, [*groups, "_block"])
         .withColumn(name, F.explode(F.sequence(start, start + F.col("_n") - 1)))
-        .drop("_block", "_first", "_before", "_n")
+        .drop("_block", "_first", "_before", "_n", "_piece")
     )
 
 

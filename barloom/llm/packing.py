@@ -74,15 +74,15 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, key: str
     that row alone is over the budget. Rows without words go to the smallest bucket. Null keys and texts, and repeated rows, are packed like
     others; an empty table gives an empty result. Other columns are not read.
     """
-    lengths = common.stored(docs.select(F.col(key).alias(key), common.words(F.col(text)).alias("n_tokens"), F.xxhash64(key).alias("_spread")), "packing-lengths")
+    lengths = common.stored(docs.select(common.named(key).alias("_key"), common.words(common.named(text)).alias("n_tokens")), "packing-lengths")
     ends = boundaries(*histogram(lengths), buckets)
     if not ends:
         ends = [0]
     bound = F.element_at(F.filter(F.array(*[F.lit(e).cast("long") for e in ends]), lambda e: e >= F.col("n_tokens")), 1)
-    placed = common.numbered(lengths.withColumn("bucket", bound), ["bucket"], ["_spread", key, "n_tokens"], "_spread", "_number")
+    placed = common.numbered(lengths.withColumn("bucket", bound), ["bucket"], ["_key", "n_tokens"], "_number")
     per_batch = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(budget) / F.greatest(F.col("bucket"), F.lit(1))))
     return placed.select(
-        key, "n_tokens", "bucket", F.floor(F.col("_number") / per_batch).alias("batch"), F.pmod(F.col("_number"), per_batch).alias("slot"),
+        F.col("_key").alias(key), "n_tokens", "bucket", F.floor(F.col("_number") / per_batch).alias("batch"), F.pmod(F.col("_number"), per_batch).alias("slot"),
         (F.col("bucket") - F.col("n_tokens")).alias("padding"),
     )
 

@@ -64,7 +64,7 @@ def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text",
     )
     rows = rows.withColumns({"shard": jump_hash(F.col("_spread"), shards), "grown_shard": jump_hash(F.col("_spread"), shards + 1)})
     order = ["_spread", key, "size", "text_crc32", "grown_shard"]
-    out = common.numbered(rows, ["shard"], order, "_spread", "slot", per_block)
+    out = common.numbered(rows, ["shard"], order, "slot", per_block)
     return out.select(key, "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 

@@ -129,15 +129,15 @@ def score(docs: DataFrame, model, text: str = "text", name: str = "score") -> Da
     Works for every model with ``score(array of texts) -> array of probabilities``. A column that is called ``name`` already is replaced.
     """
     kept = [c for c in docs.columns if c != name or c == text]
-    docs = docs.select(*[F.col(f"`{c}`") for c in kept])
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
+    at = kept.index(text)
+    rows = common.by_place(docs.select(*[common.named(c) for c in kept]))
+    schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = b.schema.get_field_index(text)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.score(b.column(at)), pa.float64())], [*b.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.score(b.column(at)), pa.float64())], [*b.schema.names, "score"])
 
-    return docs.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).toDF(*kept, name)
 
 
 def held_out_scores(spark: SparkSession, sf_dir: str, trainer, label: str, threshold: float) -> DataFrame:

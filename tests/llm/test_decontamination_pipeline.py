@@ -158,7 +158,7 @@ def test_pipeline_hard_rows(spark, tmp_path):
 
 def test_stages_keep_columns_of_any_name(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(200)
-    names = ["_toxicity", "_quality", "_text", "score", "h", "t", "y", "k", "fp", "component_id", "item_id", "toxic", "quality", "_n", "bucket"]
+    names = ["_toxicity", "_quality", "_text", "score", "h", "t", "y", "k", "fp", "component_id", "item_id", "toxic", "quality", "_n", "bucket", "a.b", "c`d", "c0"]
     for n in names:
         docs = docs.withColumn(n, corpus_pipeline.F.lit(f"own {n}"))
     for _, stage in corpus_pipeline.STAGES[:-1]:

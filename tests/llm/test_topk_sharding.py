@@ -2,11 +2,12 @@
 
 import math
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
-from barloom.llm import sharding, topk
+from barloom.llm import common, sharding, topk
 from oracle import compare, connect
+from pyspark.sql import functions as F
 
 
 def test_topk_is_exact(spark, monkeypatch):
@@ -62,3 +63,19 @@ def test_shards(spark):
     assert sharding.shard(docs.limit(0), 8).collect() == []
     plan = sharding.shard(docs, 8)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_hot_keys_and_copies_are_dealt_over_blocks(spark):
+    """Half of all keys null with different texts, one key reused, and one row repeated: no block of a group holds more than its share."""
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(None)).when(F.col("id") % 10 == 1, 77).otherwise(F.col("id")).alias("k"),
+        F.when(F.col("id") % 4 == 0, 5).otherwise(F.col("id")).alias("v"), F.lit("g").alias("g"),
+    )
+    got = common.numbered(rows, ["g"], ["k", "v"], "n", per_block=1_000)
+    assert sorted(r.n for r in got.collect()) == list(range(20_000))
+    want = Counter((r.k, r.v) for r in rows.collect())
+    assert Counter((r.k, r.v) for r in got.collect()) == want
+    # Where a row's number lies says which block it is in: the copies of the repeated row and of the null key are in many places.
+    copies = sorted(r.n for r in got.where("k is null and v = 5").collect())
+    assert len(copies) == 5_000 and max(b - a for a, b in zip(copies, copies[1:])) > 1
+    assert sum(b - a > 1 for a, b in zip(copies, copies[1:])) >= 2
