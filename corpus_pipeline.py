@@ -43,7 +43,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     first = rows.join(group, F.col(f"row.{mark}") == F.col(mark)).groupBy("root").agg(F.min("row").alias("row")).select("row.id", F.col(f"row.{mark}").alias("x"))
     again = docs.withColumn(mark, F.xxhash64("text"))
     kept = again.join(first, (again[mark] == first["x"]) & again["doc_id"].eqNullSafe(first["id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", mark]).select(*docs.columns)
+    return kept.dropDuplicates(["doc_id", mark]).select(*[common.named(c) for c in docs.columns])
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
