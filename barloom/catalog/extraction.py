@@ -3,10 +3,13 @@ pages of each format inside the query and extracted again; the SQL side reads th
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from ..functions import dates, titles
+from ..functions import dates, text, titles
 from ..operators import extract as X
+from ..operators import listings as L
 from ..operators import reference as R
 from ..sources import adapters
 from .common import SQL_BARS_BRAND
@@ -98,18 +101,35 @@ def _ranked_lists(spark, d):
 
 def _list_header(spark, d):
     pages = _part_list_pages(spark, d)
-    rows = X.extract(pages, X.RANKED_LIST).groupBy("page_id", "list").agg(F.count(F.lit(1)).alias("captured"))
     head = pages.select("page_id", "list", X.list_header(F.col("html")).alias("h"))
-    return head.join(rows, ["page_id", "list"]).select(
-        "page_id", "list", F.col("h.date").alias("page_date"), F.col("h.time").alias("page_time"),
-        F.col("h.count").alias("listed"), "captured",
-    )
+    head = head.select("page_id", "list", F.col("h.date").alias("page_date"), F.col("h.time").alias("page_time"), F.col("h.count").alias("listed"))
+    return L.header_and_captured(X.extract(pages, X.RANKED_LIST), head, ["page_id", "list"])
 
 
 def _quality_rendered(spark, d):
     return X.page_quality(_part_list_pages(spark, d)).select("page_id", "list", "stock_rows", "stock_links", "timed_rows", "stamped_rows")
 
 
+def _page_kinds(spark, d):
+    """Pages of four kinds, of which some are of a busy site, some cut off at their end and some no more than a frame."""
+    part = adapters.table(spark, d, "part")
+    code = F.format_string("P%03d", F.col("p_partkey") % 1000)
+    row = F.concat(F.lit('<tr><td class="tac">\n<a href="/stock/?code='), code, F.lit('">'), code, F.lit("</a> </td></tr>"))
+    lists = _paged(part.select("p_partkey", row.alias("r")), PAGE_ROWS, "p_partkey", "r", "p_partkey")
+    lists = lists.select("page_id", _page(F.col("rows"), "<table>", "</table>").alias("html"))
+    kinds = {"list": lists, "disclosures": disclosure_pages(spark, d), "earnings": earnings_pages(spark, d), "holdings": holding_pages(spark, d)}
+    pages = reduce(lambda a, b: a.unionByName(b), [p.withColumn("kind", F.lit(k)) for k, p in kinds.items()])
+    padded = F.replace("html", F.lit("<body>"), F.lit(f"<body><!--{'x' * X.MIN_PAGE_CHARS}-->"))
+    k = F.col("page_id")
+    html = (
+        F.when(k % 11 == 7, "<html></html>")
+        .when(k % 5 == 3, F.replace(padded, F.lit("-->"), F.lit("-->アクセスが集中しています")))
+        .when(k % 5 == 4, F.replace(padded, F.lit("</html>"), F.lit("")))
+        .otherwise(padded)
+    )
+    return X.page_quality(pages.withColumn("html", html))
+
+
 def _night_morning(spark, d):
     """Evening list from suppliers (nine cells), morning list from customers (eight), one table."""
     def rows(df, key, name, cells):
@@ -307,6 +327,14 @@ def _handbook(spark, d):
     return R.handbook(pages, "2002-01-04")
 
 
+def _span_cleanup(spark, d):
+    """Names marked up with spans: tags alone taken off, or the spans with all they hold."""
+    p = adapters.table(spark, d, "part")
+    cell = F.concat(F.lit('<b> '), F.col("p_name"), F.lit('</b> &amp; <SPAN class="x">'), F.col("p_brand"), F.lit("\n&nbsp;</SPAN><span>"), F.col("p_type"), F.lit("</span> end "))
+    bare = F.regexp_replace(cell, "</?b>", "")
+    return p.select("p_partkey", text.drop_span_tags(F.lower(bare)).alias("tags_off"), text.drop_spans(bare).alias("spans_off"))
+
+
 # --- the given pages --------------------------------------------------------------------------
 
 
@@ -329,6 +357,8 @@ QUERIES = {
     "extract_links": lambda spark, d: X.links(_pages(spark, d)),
     "page_quality": lambda spark, d: X.page_quality(_pages(spark, d)),
     "page_quality_lists": _quality_rendered,
+    "page_kinds": _page_kinds,
+    "span_cleanup": _span_cleanup,
 }
 
 def _fmt(x: str, n: int) -> str:
@@ -348,6 +378,21 @@ UNION ALL SELECT page_id, list, "row", code, name, market, price, limit_flag, t7
   CAST(4175 AS BIGINT) AS listed, count(*) AS captured FROM part GROUP BY 1, 2""",
     "page_quality_lists": """SELECT p_partkey // 50 AS page_id, p_type AS list, CAST(count(*) AS INTEGER) AS stock_rows,
   CAST(count(*) AS INTEGER) AS stock_links, 0 AS timed_rows, 0 AS stamped_rows FROM part GROUP BY 1, 2""",
+    "span_cleanup": """SELECT p_partkey, lower(p_name) || ' & ' || lower(p_brand) || ' ' || lower(p_type) || ' end' AS tags_off, p_name || ' & end' AS spans_off FROM part""",
+    "page_kinds": """WITH n AS (
+  SELECT 'list' AS kind, p_partkey // 50 AS page_id, count(*) AS n FROM part GROUP BY 2
+  UNION ALL SELECT 'disclosures', o_orderkey // 100, count(*) FROM orders GROUP BY 2
+  UNION ALL SELECT 'earnings', event_id // 100, count(*) FROM events GROUP BY 2
+  UNION ALL SELECT 'holdings', c_custkey // 50, count(*) FROM customer GROUP BY 2),
+k AS (SELECT kind, page_id, page_id % 11 = 7 AS short, page_id % 11 <> 7 AND page_id % 5 = 3 AS busy, page_id % 11 <> 7 AND page_id % 5 = 4 AS cut,
+  CASE WHEN page_id % 11 = 7 THEN 0 ELSE n END AS n FROM n),
+c AS (SELECT kind, page_id, NOT short AS long_enough, true AS has_open, NOT cut AS has_close, busy AS is_busy,
+  CASE WHEN kind = 'list' THEN n ELSE 0 END AS stock_rows, CASE WHEN kind = 'list' THEN n ELSE 0 END AS stock_links,
+  CASE WHEN kind = 'holdings' AND NOT short THEN n + CASE WHEN page_id % 3 = 0 THEN 0 ELSE 2 END ELSE 0 END AS news_blocks,
+  CASE WHEN kind IN ('disclosures', 'earnings') THEN n ELSE 0 END AS timed_rows, CASE WHEN kind = 'earnings' THEN n ELSE 0 END AS stamped_rows,
+  NOT short AND NOT cut AND NOT busy AS basic_ok FROM k)
+SELECT *, basic_ok AND stock_rows = 50 AS list_ok, basic_ok AND news_blocks > 0 AS holdings_ok, basic_ok AND timed_rows > 0 AS disclosures_ok,
+  basic_ok AND stamped_rows > 0 AS earnings_ok, basic_ok AND stock_links > 0 AS morning_ok FROM c""",
     "extract_night_morning": f"""SELECT 'night' AS list, CAST(s_suppkey AS VARCHAR) AS code, s_name AS name, CAST(s_nationkey AS VARCHAR) AS market,
   {_fmt('s_acctbal', 1)} AS close, '' AS limit_flag, {_fmt('s_acctbal', 2)} AS night_close_or_text, '+1' AS diff, '0.5' AS diff_pct, {_fmt('s_suppkey', 0)} AS volume FROM supplier
 UNION ALL SELECT 'morning', CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR), {_fmt('c_acctbal', 1)}, 'S', c_mktsegment, '-1', '-0.5', '' FROM customer""",

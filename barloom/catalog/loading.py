@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import load
 from ..operators.bars import latest_dates, newest_n
 from ..session import materialised, shared_dir
-from ..sources import adapters, store
+from ..sources import adapters, sinks, store, tables
 from ..streaming import jobs
 from .common import SQL_BARS_BRAND, rounded
 
@@ -152,6 +152,21 @@ def _validate(spark, d):
     return load.validate_rows(raw)
 
 
+def _raw_file(spark, d):
+    """Orders as bars in a text file with a header, some of them malformed, read back and checked."""
+    o, path = adapters.table(spark, d, "orders"), shared_dir(spark, "raw-bars")
+    k = F.col("o_orderkey")
+    raw = o.select(
+        F.when(k % 7 == 0, "bad, code").otherwise((k % 100_000_000).cast("string")).alias("code"),
+        F.when(k % 5 == 0, F.date_format("o_orderdate", "yyyy/MM/dd")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("asof_date"),
+        F.when(k % 3 == 0, '"-"').otherwise(F.format_string("%.2f", "o_totalprice")).alias("open"),
+        F.when(k % 2 == 0, F.format_string("%.2f", "o_totalprice")).alias("high"), F.lit(None).cast("string").alias("low"),
+        F.format_string("%.2f", "o_totalprice").alias("close"), F.concat(F.col("o_custkey").cast("string"), F.lit(".75")).alias("volume"),
+    )
+    sinks.write_csv(raw, path)
+    return load.validate_rows(tables.read_raw_bars(spark, path))
+
+
 QUERIES = {
     "load_actions": _actions,
     "split_detect": _split,
@@ -164,6 +179,7 @@ QUERIES = {
     "store_upsert": _store,
     "load_stream": _load_stream,
     "row_validation": _validate,
+    "raw_bars_file": _raw_file,
 }
 
 _SQL = f"""WITH {SQL_BARS_BRAND},
@@ -233,6 +249,9 @@ FROM (VALUES ('FULL'), ('REPLACE'), ('DIFF'), ('SKIP'), ('ERROR')) v(a)""",
          row_number() OVER (PARTITION BY p_brand, CAST(l_shipdate AS DATE)
                             ORDER BY l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC, l_quantity DESC) AS k
   FROM lineitem JOIN part ON l_partkey = p_partkey) WHERE k = 1""",
+    "raw_bars_file": """SELECT CAST(o_orderkey % 100000000 AS VARCHAR) AS code, CAST(o_orderdate AS DATE) AS asof_date,
+  CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS open, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END AS high, CAST(NULL AS DOUBLE) AS low,
+  o_totalprice AS close, CAST(o_custkey AS DOUBLE) AS volume FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0""",
     "row_validation": """SELECT CAST(o_orderkey AS VARCHAR) AS code, CAST(o_orderdate AS DATE) AS asof_date,
   CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS open, CAST(NULL AS DOUBLE) AS high, CAST(NULL AS DOUBLE) AS low,
   o_totalprice AS close, CAST(o_custkey AS DOUBLE) AS volume

@@ -69,10 +69,10 @@ def labelled_union(lists: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def header_and_captured(rows: DataFrame, headers: DataFrame, key: str = "list") -> DataFrame:
-    """The count a list header announces next to the rows captured."""
-    captured = rows.groupBy(key).agg(F.count(F.lit(1)).alias("captured"))
-    return headers.join(captured, key, "left").withColumn("captured", F.coalesce("captured", F.lit(0)))
+def header_and_captured(rows: DataFrame, headers: DataFrame, keys: list[str]) -> DataFrame:
+    """What the header of each list announces next to the number of rows captured, 0 for a list without rows."""
+    captured = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("captured"))
+    return headers.join(captured, keys, "left").withColumn("captured", F.coalesce("captured", F.lit(0)))
 
 
 def keyword_counts(

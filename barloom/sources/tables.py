@@ -41,7 +41,7 @@ def read_bars_jdbc(spark: SparkSession, splits: int = 32, **options: str) -> Dat
 
 def read_raw_bars(spark: SparkSession, path: str) -> DataFrame:
     """Bars as text, to be checked by ``validate_rows``."""
-    return spark.read.schema(RAW_BARS).option("header", True).csv(path)
+    return spark.read.schema(RAW_BARS).options(header=True, escape='"').csv(path)
 
 
 def read_sheet(spark: SparkSession, path: str, required: tuple[str, ...] = ()) -> DataFrame:
