@@ -227,6 +227,14 @@ def _holdings(spark, d):
     return X.holding_rows(holding_pages(spark, d), SITE).drop("row")
 
 
+def _nested_holdings(spark, d):
+    """The same headlines, of which two in three hold boxes of their own before the date's end, behind the title, or stand in one."""
+    pages, k = holding_pages(spark, d), F.col("page_id")
+    more = F.replace("html", F.lit("</h4></div>"), F.lit('</h4><div class="more"><div>a</div><div>b</div></div></div>'))
+    around = F.regexp_replace("html", '(<div class="news">.*?</h4></div>)', '<div class="row">$1</div>')
+    return X.holding_rows(pages.withColumn("html", F.when(k % 3 == 1, more).when(k % 3 == 2, around).otherwise(F.col("html"))), SITE).drop("row")
+
+
 # Element and class names of the news layouts the job reads.
 NEWS_RULES = (
     X.news_rule(
@@ -350,6 +358,7 @@ QUERIES = {
     "extract_disclosures": _disclosures,
     "extract_earnings": _earnings,
     "extract_holdings": _holdings,
+    "extract_holdings_nested": _nested_holdings,
     "extract_news": _news_articles,
     "extract_news_nested": _nested_news,
     "extract_basic_info": _basic_info,
@@ -465,3 +474,4 @@ SELECT *, long_enough AND has_open AND has_close AND NOT is_busy AS basic_ok,
   long_enough AND has_open AND has_close AND NOT is_busy AND timed_rows >= 1 AS disclosures_ok, long_enough AND has_open AND has_close AND NOT is_busy AND stamped_rows >= 1 AS earnings_ok,
   long_enough AND has_open AND has_close AND NOT is_busy AND stock_links >= 1 AS morning_ok FROM q""",
 }
+ORACLES["extract_holdings_nested"] = ORACLES["extract_holdings"]

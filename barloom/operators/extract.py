@@ -62,6 +62,7 @@ class Rule:
     sees a text as ``_raw_<name>``. ``prefer`` names a part of the scope (group 1) that is looked at alone where there is one: its first
     match, or with ``prefer_every`` all of them. Blocks that match ``skip`` are left out. ``nested`` names the element (and class token) that
     ``block`` cuts: where a block holds another start tag of that name, the page's blocks are cut by the nesting of the tags instead.
+    ``cut`` makes the blocks of a page in its own way.
     """
 
     name: str
@@ -79,6 +80,7 @@ class Rule:
     prefer_every: bool = False
     skip: str | None = None
     nested: tuple[str, str | None] | None = None
+    cut: Callable[[Column], Column] | None = None
 
 
 def extract(pages: DataFrame, rule: Rule, html: str = "html") -> DataFrame:
@@ -128,6 +130,9 @@ def extract_all(pages: DataFrame, rules: tuple[Rule, ...], html: str = "html") -
 
 
 def _blocks(text: Column, rule: Rule) -> Column:
+    if rule.cut:
+        return rule.cut(text)
+
     def cut(s: Column) -> Column:
         if rule.prefer:
             parts = every(s, rule.prefer)
@@ -390,19 +395,40 @@ EARNINGS = Rule(
     texts={"title": lambda row: first(row, ANCHOR)},
 )
 
-#: A headline, from its date to its title; date in group 1, title in group 2. A date never reaches over its own end tag.
+#: A headline, from its date to its title. A date never reaches over its own end tag.
 HOLDING_BLOCK = (
-    f"(?is){start('div', HEADLINE)}\\s*{start('div', HEADLINE_DATE)}((?:(?!</div>).)*)</div>\\s*{start('h4', HEADLINE_TITLE)}(.*?)</h4>\\s*</div>"
+    f"(?is){start('div', HEADLINE)}\\s*{start('div', HEADLINE_DATE)}(?:(?!</div>).)*</div>\\s*{start('h4', HEADLINE_TITLE)}.*?</h4>\\s*</div>"
 )
 #: The box of the headlines ends where the end of a headline is followed by the end of the box.
 HOLDING_BOX = f"(?is){start('div', HEADLINE_BOX)}(.*?</div>)\\s*</div>"
+#: No headline: a block without a date and a title behind it.
+NO_HEADLINE = f"(?is)\\A(?!.*{start('div', HEADLINE_DATE)}.*{start('h4', HEADLINE_TITLE)})"
+
+
+def holding_blocks(page: Column) -> Column:
+    """Headlines of a page. Where it has boxes, headlines outside do not count.
+
+    A page of nothing but boxes, headlines and dates is cut by patterns. One with any other ``div`` goes to the parser, which lets boxes
+    and headlines hold more of them.
+    """
+
+    def divs(cls: str) -> Column:
+        return F.regexp_count(page, F.lit(f"(?i){start('div', cls)}"))
+
+    boxes = every(page, HOLDING_BOX)
+    plain = every(F.when(F.size(boxes) > 0, F.array_join(boxes, "\n")).otherwise(page), HOLDING_BLOCK, 0)
+    others = F.regexp_count(page, F.lit(r"(?i)<div\b")) > divs(HEADLINE_BOX) + divs(HEADLINE) + divs(HEADLINE_DATE)
+    tangled = F.when(others, page)
+    inside = elements(tangled, "div", HEADLINE_BOX, outer=False)
+    nested = elements(F.when(F.size(inside) > 0, F.array_join(inside, "\n")).otherwise(tangled), "div", HEADLINE)
+    return F.when(others, F.filter(nested, lambda b: ~b.rlike(NO_HEADLINE))).otherwise(plain)
 
 
 def holdings_rule(base_url: str) -> Rule:
-    """Large-holding headlines taken apart; ``base_url`` precedes the page's own links. Where a page has boxes, headlines outside do not count."""
+    """Large-holding headlines taken apart; ``base_url`` precedes the page's own links."""
 
     def heading(block: Column) -> Column:
-        return first(block, HOLDING_BLOCK, 2)
+        return first(block, tag("h4", HEADLINE_TITLE))
 
     def url(block: Column) -> Column:
         href = first(heading(block), LINK)
@@ -415,11 +441,9 @@ def holdings_rule(base_url: str) -> Rule:
         "holdings",
         HOLDING_BLOCK,
         {"url": url},
-        block_group=0,
-        prefer=HOLDING_BOX,
-        prefer_every=True,
+        cut=holding_blocks,
         texts={
-            "date": lambda b: first(b, HOLDING_BLOCK, 1),
+            "date": lambda b: first(b, tag("div", HEADLINE_DATE)),
             "title": title,
             "flag": lambda b: first(heading(b), tag("span", HEADLINE_FLAG)),
         },
