@@ -1,6 +1,7 @@
 """Announcement jobs from stored pages to their reports: disclosures, earnings, holdings and rolling news.
 
-Pages are read in order of ``page_id``; a row's place in its listing is (page_id, row).
+Pages are read in order of ``page_id``; a row's place in its listing is (page_id, row). Rows are extracted once and written inside the
+job: the end of the scan and the report both read them.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from ..functions import dates, titles
 from ..operators import extract as X
 from ..operators import listings as L
 from ..operators import news as N
+from ..session import materialised
 from ..sources import guarded
 
 PLACE = ["page_id", "row"]
@@ -24,13 +26,14 @@ PLACE = ["page_id", "row"]
 def disclosures(pages: DataFrame, target: Column, watch: list[str] | DataFrame | None = None) -> DataFrame:
     """Announcements of the target day, of watched codes only if there is a watch list."""
     rows = X.disclosure_rows(pages).withColumn("day", dates.date_inside(F.col("datetime_str")))
+    rows = materialised(rows, "disclosure-rows")
     rows = L.target_day(rows, F.col("day"), target, PLACE)
     return rows if watch is None else L.watched(rows, watch)
 
 
 def earnings(pages: DataFrame, target: Column) -> DataFrame:
     """Earnings headlines of the target day with company, body and class."""
-    rows = X.extract(pages, X.EARNINGS).filter("code <> '' AND title <> ''")
+    rows = materialised(X.extract(pages, X.EARNINGS).filter("code <> '' AND title <> ''"), "earnings-rows")
     rows = L.target_day(rows, dates.market_time(F.col("iso")).cast("date"), target, PLACE)
     split = titles.company_and_body(F.col("title"))
     return rows.select(
@@ -44,7 +47,7 @@ def holdings(pages: DataFrame, target: Column, base_url: str, keywords: tuple[st
     rule = X.holdings_rule(base_url)
     rows = X.extract(pages, rule)
     parts = titles.holding_parts(F.col("title"), F.col("flag"), F.col("url"))
-    rows = rows.select(*PLACE, "date", parts.alias("parts")).select(*PLACE, "date", "parts.*")
+    rows = materialised(rows.select(*PLACE, "date", parts.alias("parts")).select(*PLACE, "date", "parts.*"), "holding-rows")
     rows = L.target_day(rows, dates.any_date(F.col("date")), target, PLACE)
     return L.keyword_hits(rows, keywords, PLACE)
 
