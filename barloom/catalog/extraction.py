@@ -343,6 +343,12 @@ def _span_cleanup(spark, d):
     return p.select("p_partkey", text.drop_span_tags(F.lower(bare)).alias("tags_off"), text.drop_spans(bare).alias("spans_off"))
 
 
+def _reference_counts(spark, d):
+    """What the two reference jobs did with their codes; the basic-information job skips none."""
+    jobs = {"basic_info": _basic_info(spark, d), "handbook": _handbook(spark, d)}
+    return reduce(lambda a, b: a.unionByName(b), [R.class_counts(rows).withColumn("job", F.lit(k)) for k, rows in jobs.items()])
+
+
 # --- the given pages --------------------------------------------------------------------------
 
 
@@ -363,6 +369,7 @@ QUERIES = {
     "extract_news_nested": _nested_news,
     "extract_basic_info": _basic_info,
     "extract_handbook": _handbook,
+    "reference_counts": _reference_counts,
     "extract_links": lambda spark, d: X.links(_pages(spark, d)),
     "page_quality": lambda spark, d: X.page_quality(_pages(spark, d)),
     "page_quality_lists": _quality_rendered,
@@ -387,6 +394,11 @@ UNION ALL SELECT page_id, list, "row", code, name, market, price, limit_flag, t7
   CAST(4175 AS BIGINT) AS listed, count(*) AS captured FROM part GROUP BY 1, 2""",
     "page_quality_lists": """SELECT p_partkey // 50 AS page_id, p_type AS list, CAST(count(*) AS INTEGER) AS stock_rows,
   CAST(count(*) AS INTEGER) AS stock_links, 0 AS timed_rows, 0 AS stamped_rows FROM part GROUP BY 1, 2""",
+    "reference_counts": """SELECT 'basic_info' AS job, class, CASE class WHEN 'ok' THEN (SELECT count(*) FROM part WHERE p_partkey % 50 <> 7)
+    WHEN 'skip' THEN 0 ELSE (SELECT count(*) FROM part WHERE p_partkey % 50 = 7) END AS codes FROM (VALUES ('ok'), ('skip'), ('error')) v(class)
+UNION ALL SELECT 'handbook', class, CASE class WHEN 'ok' THEN (SELECT count(*) FROM part WHERE p_partkey % 4 <> 3 AND p_partkey % 25 <> 1)
+    WHEN 'skip' THEN (SELECT count(*) FROM part WHERE p_partkey % 4 = 3)
+    ELSE (SELECT count(*) FROM part WHERE p_partkey % 4 <> 3 AND p_partkey % 25 = 1) END FROM (VALUES ('ok'), ('skip'), ('error')) v(class)""",
     "span_cleanup": """SELECT p_partkey, lower(p_name) || ' & ' || lower(p_brand) || ' ' || lower(p_type) || ' end' AS tags_off, p_name || ' & end' AS spans_off FROM part""",
     "page_kinds": """WITH n AS (
   SELECT 'list' AS kind, p_partkey // 50 AS page_id, count(*) AS n FROM part GROUP BY 2

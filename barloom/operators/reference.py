@@ -246,7 +246,16 @@ def result_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("result").agg(F.count(F.lit(1)).alias("codes"))
 
 
+def class_counts(rows: DataFrame) -> DataFrame:
+    """(class, codes): what a job did with its codes, ``ok``, ``skip`` or ``error`` (any other result); a class without codes counts 0."""
+    kinds = {"ok": F.col("result") == RESULT_OK, "skip": F.col("result") == RESULT_SKIPPED}
+    kinds["error"] = ~F.coalesce(kinds["ok"] | kinds["skip"], F.lit(False))
+    counted = rows.agg(*[F.count_if(c).alias(k) for k, c in kinds.items()])
+    pairs = F.array(*[F.struct(F.lit(k).alias("class"), F.col(k).alias("codes")) for k in kinds])
+    return counted.select(F.inline(pairs))
+
+
 __all__ = [
-    "all_blank", "basic_info", "basic_info_numbers", "distinct_in_order", "handbook", "result_counts",
+    "all_blank", "basic_info", "basic_info_numbers", "class_counts", "distinct_in_order", "handbook", "result_counts",
     "tag_market", "until_blank", "wide_master", "without_blanks",
 ]
