@@ -86,6 +86,19 @@ def _bars_daily(spark, d):
     return adapters.bars_brand(spark, d)
 
 
+def _breakout_cases(spark, d):
+    """The newest close of every code set some thousandths above or below its shelf of bars 15 to 60, so that both scores take all values."""
+    bars = materialised(bars_mixed(spark, d), "bars")
+    near = B.newest_n(bars, 60)
+    shelf = near.groupBy("code").agg(
+        F.max("asof_date").alias("newest"), F.max(F.expr("if(rd >= 15, close, NULL)")).alias("_high"), F.min(F.expr("if(rd >= 15, close, NULL)")).alias("_low"),
+    )
+    k = F.length("code") * 7 + F.ascii(F.substring("code", -1, 1))
+    moved = F.when(k % 2 == 0, F.col("_high") * (1.0 + k % 37 / 1000.0)).otherwise(F.col("_low") * (1.0 - k % 37 / 1000.0))
+    cases = bars.join(shelf, "code").withColumn("close", F.when(F.col("asof_date") == F.col("newest"), moved).otherwise(F.col("close")))
+    return rounded(analysis.metrics(cases.select(*bars.columns)).select("code", *_PER_CODE["score_breakout"], *_PER_CODE["score_gap"]))
+
+
 _PER_CODE = {
     "slope_panel": SLOPES,
     "sma_slope": [f"{c}_sma_slope_{s}" for c in PRICED for s in SPANS],
@@ -114,6 +127,7 @@ QUERIES = {
     "macd": _panel("macd", "macd_signal", steps=[series.with_macd, series.with_macd_signal]),
     **{k: _per_code(*v) for k, v in _PER_CODE.items()},
     "market_stats_date": _per_code(*MARKET, align="date"),
+    "score_breakout_cases": _breakout_cases,
     "analysis_wide": _wide,
     "margin_days": _margin_days,
     "analysis_supplier": _supplier_metrics,
@@ -349,6 +363,15 @@ ORACLES = {
     **{k: f"{_chain()} SELECT code, {_out(v)} FROM final" for k, v in _PER_CODE.items()},
     "market_stats_date": f"WITH {SQL_BARS_MIXED},{SQL_SLICE},{SQL_INDEX},{_market_sql('pairs_date', 'stats')} "
     f"SELECT c.code, {_out(MARKET)} FROM (SELECT DISTINCT code FROM steps WHERE n >= 101) c LEFT JOIN stats s ON s.code = c.code",
+    "score_breakout_cases": _chain(
+        SQL_BARS_MIXED.replace("bars AS (", "plain AS (") + """,
+shelf AS (SELECT code, max(asof_date) AS newest, max(close) FILTER (rd >= 15) AS high, min(close) FILTER (rd >= 15) AS low, length(code) * 7 + ascii(right(code, 1)) AS k
+  FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY asof_date DESC) AS rd FROM plain) WHERE rd <= 60 GROUP BY code),
+bars AS (SELECT p.* REPLACE (CASE WHEN p.asof_date = s.newest THEN
+    CASE WHEN k % 2 = 0 THEN s.high * (1.0::DOUBLE + k % 37 / 1000.0::DOUBLE) ELSE s.low * (1.0::DOUBLE - k % 37 / 1000.0::DOUBLE) END ELSE p.close END AS close)
+  FROM plain p JOIN shelf s ON s.code = p.code)"""
+    )
+    + f" SELECT code, {_out([*_PER_CODE['score_breakout'], *_PER_CODE['score_gap']])} FROM final",
     "analysis_wide": _wide_sql(
         f"code, run_date, result, {_out(analysis.METRIC_NAMES)}, listing_class, margin_long, " + r6("margin_days", "margin_days")
     ),
