@@ -42,6 +42,8 @@ END_KEY = -1  # stands for the end of a text among word keys
 _WEIGHT = 16.0  # of the class frequencies in a transition
 #: Counts of a word's neighbours: class after it, class before it, itself after it. Counts that a task holds at once.
 SLOTS, HELD = 2 * CLASSES + 1, 2_000_000
+#: Words whose gains are worked out at once.
+AT_ONCE = 64
 
 
 def endings(words: tokens.Words) -> np.ndarray:
@@ -132,7 +134,8 @@ def pairs(texts: DataFrame, text: str, vocabulary: Vocabulary) -> DataFrame:
 
 
 def _plogp(x: np.ndarray) -> np.ndarray:
-    return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
+    """x log x of counts, 0 for 0."""
+    return x * np.log(np.maximum(x, 1))
 
 
 def best_class(table: np.ndarray, right: np.ndarray, left: np.ndarray, own: float) -> int:
@@ -151,6 +154,31 @@ def best_class(table: np.ndarray, right: np.ndarray, left: np.ndarray, own: floa
     return int(np.argmax(gain[:-1]))
 
 
+def best_classes(table: np.ndarray, old: np.ndarray, after: np.ndarray, before: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """``best_class`` of many words at once, each taken out of ``table``, which holds it in class ``old``.
+
+    after, before: words x classes, how often a class follows or precedes each word, itself included.
+    """
+    place, every = np.arange(len(old)), np.arange(table.shape[0])
+    right, left = after.copy(), before.copy()
+    right[place, old] -= own
+    left[place, old] -= own
+    without = np.repeat(table[None], len(old), 0)
+    without[place, old] -= right
+    without[place, :, old] -= left
+    without[place, old, old] -= own
+    np.maximum(without, 0, out=without)  # a table from another labelling never gives a negative count
+    held = _plogp(without)
+    gain = (_plogp(without + right[:, None]) - held).sum(2) + (_plogp(without + left[:, :, None]) - held).sum(1)
+    row, col = without.sum(2) + left, without.sum(1) + right
+    diagonal, held = without[:, every, every], held[:, every, every]
+    gain -= _plogp(diagonal + right) + _plogp(diagonal + left) - 2 * held
+    gain += _plogp(diagonal + right + left + own[:, None]) - held
+    out_u, in_u = (right.sum(1) + own)[:, None], (left.sum(1) + own)[:, None]
+    gain -= _plogp(row + out_u) - _plogp(row) + _plogp(col + in_u) - _plogp(col)
+    return np.argmax(gain[:, :-1], 1)
+
+
 def move(table: np.ndarray, c: int, right: np.ndarray, left: np.ndarray, own: float) -> None:
     """Add a word's counts to class c; negative counts take it out."""
     table[c] += right
@@ -245,15 +273,11 @@ def assigned(counts: DataFrame, classes: Classes, table: np.ndarray) -> DataFram
         label, table = shared.value
         carried, rest = -1, np.zeros(SLOTS)
 
-        def choose(place: int, v: np.ndarray) -> int:
-            old, own = int(label[place]), v[2 * CLASSES]
-            right, left = v[:CLASSES].copy(), v[CLASSES : 2 * CLASSES].copy()
-            right[old] -= own
-            left[old] -= own
-            # Where the counts of one place come from another labelling, cells may not fall below zero.
-            without = table.copy()
-            move(without, old, -right, -left, -own)
-            return best_class(np.maximum(without, 0), right, left, own)
+        def chosen(place: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+            own = v[:, 2 * CLASSES]
+            parts = [slice(k, k + AT_ONCE) for k in range(0, len(place), AT_ONCE)]
+            best = [best_classes(table, label[place[p]], v[p, :CLASSES], v[p, CLASSES : 2 * CLASSES], own[p]) for p in parts]
+            return pa.RecordBatch.from_arrays([pa.array(place, pa.int64()), pa.array(np.concatenate([np.zeros(0, np.int64), *best]))], ["pair", "n"])
 
         for b in batches:
             slots = b.column("slots")
@@ -261,21 +285,16 @@ def assigned(counts: DataFrame, classes: Classes, table: np.ndarray) -> DataFram
             words, index = np.unique(place, return_inverse=True)
             code = np.repeat(index, np.diff(slots.offsets.to_numpy())) * SLOTS + slots.flatten().to_numpy()
             sums = np.bincount(code, b.column("n").flatten().to_numpy(), len(words) * SLOTS).reshape(-1, SLOTS)
-            done, chosen = [], []
-            if carried >= 0:
+            if carried >= 0:  # the word that the batch before ended with
                 if len(words) and words[0] == carried:
                     sums[0] += rest
                 else:
-                    done.append(carried)
-                    chosen.append(choose(carried, rest))
-            for k in range(len(words) - 1):
-                done.append(int(words[k]))
-                chosen.append(choose(int(words[k]), sums[k]))
+                    words, sums = np.insert(words, 0, carried), np.insert(sums, 0, rest, 0)
             if len(words):
                 carried, rest = int(words[-1]), sums[-1]
-            yield pa.RecordBatch.from_arrays([pa.array(done, pa.int64()), pa.array(chosen, pa.int64())], ["pair", "n"])
+                yield chosen(words[:-1].astype(np.int64), sums[:-1])
         if carried >= 0:
-            yield pa.RecordBatch.from_arrays([pa.array([carried]), pa.array([choose(carried, rest)])], ["pair", "n"])
+            yield chosen(np.array([carried]), rest[None])
 
     return counts.repartition("place").sortWithinPartitions("place").mapInArrow(run, "pair long, n long")
 
@@ -381,7 +400,8 @@ def fit(training: DataFrame, text: str = "text") -> tuple[Model, DataFrame]:
         member[np.arange(UNITS), core] = 1
         label = label.copy()
         rows = assigned(neighbours(training, text, classes), classes, member.T @ table @ member)
-        for r in rows.mapInArrow(_packed, "pair binary, n binary").toLocalIterator():
+        # Two numbers per word of the vocabulary at most; taken at once, since an iterator would run one partition after the other.
+        for r in rows.mapInArrow(_packed, "pair binary, n binary").collect():
             label[np.frombuffer(r["pair"], np.int64)] = np.frombuffer(r["n"], np.int64)
         classes = Classes(vocabulary, label, classes.of_ending)
     tail_total, tail_distinct = tails(words, vocabulary)

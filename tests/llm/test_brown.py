@@ -65,6 +65,22 @@ def test_exchange_keeps_its_table_and_gains():
     assert len(set(label[:40:2])) == len(set(label[1:40:2])) == 1 and label[0] != label[1] and label[40] == 2
 
 
+def test_many_words_choose_as_each_by_itself():
+    rng = np.random.default_rng(3)
+    c = brown.CLASSES
+    table = rng.integers(200, 1_000, (c, c)).astype(float)
+    old = rng.integers(0, c - 1, 300)
+    after, before = (np.where(rng.random((300, c)) < 0.3, rng.integers(1, 6, (300, c)), 0).astype(float) for _ in range(2))
+    own = np.minimum(after[np.arange(300), old], before[np.arange(300), old]) * (rng.random(300) < 0.5)
+    got = brown.best_classes(table, old, after, before, own)
+    for k in range(300):
+        right, left, t = after[k].copy(), before[k].copy(), table.copy()
+        right[old[k]] -= own[k]
+        left[old[k]] -= own[k]
+        brown.move(t, old[k], -right, -left, -own[k])
+        assert got[k] == brown.best_class(t, right, left, own[k])
+
+
 def small_model(spark, monkeypatch, top=1_200):
     """A model with a core, words outside it and a tail, over texts of two kinds."""
     monkeypatch.setattr(brown, "TOP", top)
