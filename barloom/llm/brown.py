@@ -41,7 +41,9 @@ CLASSES, PASSES = 32, 4
 END_KEY = -1  # stands for the end of a text among word keys
 _WEIGHT = 16.0  # of the class frequencies in a transition
 #: Counts of a word's neighbours: class after it, class before it, itself after it. Counts that a task holds at once.
-SLOTS, HELD = 2 * CLASSES + 1, 2_000_000
+SLOTS, HELD = 2 * CLASSES + 1, 500_000
+#: Bytes of texts that are taken at once.
+GROUP = 1 << 20
 #: Words whose gains are worked out at once.
 AT_ONCE = 64
 
@@ -60,7 +62,7 @@ def word_counts(texts: DataFrame, text: str) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, ends, counts = [np.array([END_KEY])], [np.array([0])], [np.array([b.num_rows])]
-            for w in tokens.words(b.column(0)):
+            for w in tokens.words(b.column(0), most=GROUP):
                 key, at, n = np.unique(w.key.view(np.int64), return_index=True, return_counts=True)
                 keys.append(key)
                 ends.append(endings(w)[at])
@@ -76,7 +78,7 @@ class Vocabulary:
     """The frequent words with their counts, sorted by key, the core unit of each (-1 outside the core), and their endings."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, unit: np.ndarray, ending: np.ndarray):
-        self.keys, self.counts, self.unit, self.ending = keys, counts, unit, ending
+        self.keys, self.counts, self.unit, self.ending = keys, counts, unit.astype(np.int16), ending.astype(np.int16)
 
     def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each key, and whether it is there."""
@@ -106,12 +108,12 @@ class Classes:
     """The class of every vocabulary word and of the unit of every ending."""
 
     def __init__(self, vocabulary: Vocabulary, label: np.ndarray, of_ending: np.ndarray):
-        self.vocabulary, self.label, self.of_ending = vocabulary, label, of_ending
+        self.vocabulary, self.label, self.of_ending = vocabulary, label.astype(np.int16), of_ending.astype(np.int64)
 
     def of_words(self, w: tokens.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Class, place in the vocabulary and whether there, of all words."""
         at, known = self.vocabulary.places(w)
-        own = self.label[at] if len(self.label) else 0
+        own = self.label[at].astype(np.int64) if len(self.label) else 0
         return np.where(known, own, self.of_ending[endings(w)]), at, known
 
 
@@ -122,11 +124,12 @@ def pairs(texts: DataFrame, text: str, vocabulary: Vocabulary) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(UNITS * UNITS, np.int64)
         for b in batches:
-            for w in tokens.words(b.column(0)):
+            for w in tokens.words(b.column(0), most=GROUP):
                 unit = shared.value.units(w)
                 # The end of the text before stands for the start.
                 last = np.concatenate(([UNITS - 1], unit[:-1]))
-                total += np.bincount(last * UNITS + unit, minlength=len(total))
+                code, n = np.unique(last * UNITS + unit, return_counts=True)
+                total[code] += n
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["pair", "n"])
 
@@ -241,7 +244,7 @@ def neighbours(texts: DataFrame, text: str, classes: Classes) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for b in batches:
-            for w in tokens.words(b.column(0)):
+            for w in tokens.words(b.column(0), most=GROUP):
                 label, at, known = shared.value.of_words(w)
                 whole = with_ends(w, label, CLASSES - 1)
                 here = np.arange(len(label)) + w.text
@@ -306,7 +309,7 @@ def class_pairs(texts: DataFrame, text: str, classes: Classes) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CLASSES * CLASSES, np.int64)
         for b in batches:
-            for w in tokens.words(b.column(0)):
+            for w in tokens.words(b.column(0), most=GROUP):
                 label = with_ends(w, shared.value.of_words(w)[0], CLASSES - 1)
                 total += np.bincount(np.concatenate(([CLASSES - 1], label[:-1])) * CLASSES + label, minlength=len(total))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["pair", "n"])
@@ -420,7 +423,7 @@ def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str =
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for w in tokens.words(b.column("t")):
+            for w in tokens.words(b.column("t"), most=GROUP):
                 n_tokens, n_known, base, total, tail = shared.value.text_sums(w)
                 word, text_of, n = _per_text(w.key[tail], w.text[tail], w.n_texts)
                 ends = np.searchsorted(text_of, np.arange(w.n_texts + 1)).astype(np.int32)
