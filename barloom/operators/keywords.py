@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import no_blanks
-from ..session import materialised
+from ..session import materialised, shared_dir
 
 PASS_KEYWORDS, PASS_BYTES = 50_000, 4 << 20
 
@@ -53,20 +53,60 @@ def _pass(rows: DataFrame, mine: list[tuple[str, int, str]]) -> DataFrame:
     return rows.mapInArrow(run, rows.schema)
 
 
+def _in_passes(table: DataFrame, passes: int) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """The keywords with ``part``, ranges in order of rank, and the first and last part of each pass."""
+    # Ranges are cut by a sample: a quarter of a pass each, so that the passes made of them come out near their bounds.
+    dealt = table.repartitionByRange(4 * passes, "rank", "keyword").withColumn("part", F.spark_partition_id())
+    dealt = materialised(dealt, "keyword-parts")
+    sizes = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("bare") + F.octet_length("keyword")).alias("size"))
+    out, n, size = [], 0, 0
+    for r in sizes.orderBy("part").toLocalIterator():
+        if out and n + r["n"] <= PASS_KEYWORDS and size + r["size"] <= PASS_BYTES:
+            out[-1] = (out[-1][0], r["part"])
+            n, size = n + r["n"], size + r["size"]
+        else:
+            out.append((r["part"], r["part"]))
+            n, size = r["n"], r["size"]
+    return dealt, out
+
+
+def _collected(table: DataFrame) -> list[tuple[str, int, str]]:
+    # One slice of the table at a time is in the driver; its size is what the passes were chosen for.
+    return [(r["bare"], r["rank"], r["keyword"]) for r in table.collect()]
+
+
+def _search_in_passes(texts: DataFrame, table: DataFrame, passes: int) -> DataFrame:
+    """(_key, _best) of the texts with a find, from (_key, _bare, _best)."""
+    spark = texts.sparkSession
+    dealt, slices = _in_passes(table, passes)
+    turns = [shared_dir(spark, f"keyword-turn-{k}") for k in range(2)]
+    out, schema = texts, texts.schema
+    for k, (lo, hi) in enumerate(slices):
+        found = _pass(out, _collected(dealt.filter(F.col("part").between(lo, hi))))
+        # Later passes hold larger ranks only: a text with a find is done, and only its key goes on.
+        found.withColumn("_bare", F.when(F.col("_best").isNull(), F.col("_bare"))).write.mode("overwrite").parquet(turns[k % 2])
+        out = spark.read.schema(schema).parquet(turns[k % 2])
+        if out.filter("_bare IS NOT NULL").isEmpty():
+            break
+    return out.filter("_best IS NOT NULL").groupBy("_key").agg(F.min("_best").alias("_best"))
+
+
 def first_listed(rows: DataFrame, keywords: DataFrame, text: str = "title", keyword: str = "keyword", rank: str = "rank") -> DataFrame:
     """The rows with ``keyword`` and ``keyword_rank``: the keyword of the smallest rank that the text contains, blanks ignored on both sides.
 
-    Equal ranks go by the keyword's bytes. Rows without a find have NULL in both; the rows themselves are neither dropped nor moved.
+    Equal ranks go by the keyword's bytes. Rows without a find have NULL in both; no row is dropped. In several passes the finds
+    are joined to the rows by the digest of the text, so other columns are not written.
     """
     table = materialised(bare_keywords(keywords, keyword, rank), "keywords")
     n, size = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("bare") + F.octet_length("keyword")), F.lit(0))).first()
     passes = max(1, -(-n // PASS_KEYWORDS), -(-size // PASS_BYTES))
     best = T.StructType([T.StructField("rank", T.LongType()), T.StructField("keyword", T.StringType())])
-    out = rows.withColumns({"_bare": no_blanks(F.col(text)), "_best": F.lit(None).cast(best)})
-    for k in range(passes if n else 0):
-        # One slice of the table at a time is in the driver; its size is what ``passes`` was chosen for.
-        mine = table.filter(F.pmod(F.xxhash64("bare"), F.lit(passes)) == k).collect()
-        out = _pass(out, [(r["bare"], r["rank"], r["keyword"]) for r in mine])
-        if k < passes - 1:
-            out = materialised(out, f"keyword-pass-{k}")
+    bare, none = no_blanks(F.col(text)), F.lit(None).cast(best)
+    if passes == 1:
+        out = rows.withColumns({"_bare": bare, "_best": none})
+        out = _pass(out, _collected(table)) if n else out
+    else:
+        key = F.sha2(F.encode(F.col(text), "UTF-8"), 256)
+        texts = rows.select(key.alias("_key"), bare.alias("_bare"), none.alias("_best")).filter("_bare <> ''")
+        out = rows.withColumn("_key", key).join(_search_in_passes(texts, table, passes), "_key", "left")
     return out.select(*rows.columns, F.col("_best.keyword").alias("keyword"), F.col("_best.rank").alias("keyword_rank"))

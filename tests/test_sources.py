@@ -1,10 +1,12 @@
 """Sources that fail, keyword tables, and elements cut by nesting."""
 
+import itertools
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from barloom import session
 from barloom.functions.nesting import elements
 from barloom.operators import keywords
 from barloom.sources import guarded
@@ -66,6 +68,22 @@ def test_first_keyword_of_a_table(spark, monkeypatch, most):
     assert [x.keyword for x in keywords.first_listed(rows, table.limit(0)).collect()] == [None] * len(texts)
 
 
+def test_keyword_passes_do_not_add_copies_of_the_texts(spark, monkeypatch, tmp_path):
+    """Twenty passes over texts of which half hold no keyword take less disk than five copies of the texts, and find the smallest rank."""
+    monkeypatch.setattr(keywords, "PASS_KEYWORDS", 10)
+    made = itertools.count()
+    for module in (session, keywords):
+        monkeypatch.setattr(module, "shared_dir", lambda _, purpose: str(tmp_path / f"{purpose}-{next(made)}"), raising=False)
+    r = random.Random(5)
+    texts = ["".join(chr(r.randrange(0x4E00, 0x9E00)) for _ in range(500)) + ("" if k % 2 else f" zz{k % 200:03d} zz{k % 150:03d}") for k in range(600)]
+    rows = spark.createDataFrame(list(enumerate(texts + texts[:3])), "id int, title string")
+    table = spark.createDataFrame([(f"z z{k:03d}", 1000 - k) for k in range(200)], "keyword string, rank int")
+    got = {x.id: x.keyword_rank for x in keywords.first_listed(rows, table).collect()}
+    want = [None if k % 2 else 1000 - max(k % 200, k % 150) for k in range(600)]
+    assert [got[k] for k in range(603)] == want + want[:3]
+    assert sum(p.stat().st_size for p in tmp_path.rglob("*.parquet")) < 5 * sum(len(t.encode()) for t in texts)
+
+
 PAGES = {
     "<li class='a'>1</li><li class=\"b a\">2<ul><li>x</li></ul>3</li>": ["<li class='a'>1</li>", '<li class="b a">2<ul><li>x</li></ul>3</li>'],
     "<LI CLASS=a>1<li class=a>2</LI>3</li>\n<li class='ab'>no</li>": ["<LI CLASS=a>1<li class=a>2</LI>3</li>"],
