@@ -2,6 +2,8 @@
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
+
 from barloom.llm import quality, toxicity
 
 SF = "/root/testdata/sf0.1"
@@ -46,6 +48,24 @@ def test_a_hot_key_adds_one_row(spark):
     assert 1_500 < len(rows) < 2_500 and len({(r.h, r.y) for r in rows}) == len(rows)
 
 
+def test_models_learn_from_all_labels(spark):
+    """With several learners the classes are told apart, and labels far from any sample of the size of one learner's rows change the model."""
+    from barloom.llm import common
+
+    docs = spark.range(1_200).selectExpr("id AS doc_id", "concat(if(id % 3 = 0, 'vile rotten ', 'kind gentle '), 'words ', id) AS text")
+    labels = spark.range(1_200).selectExpr("id AS doc_id", "cast(id % 3 = 0 AS int) AS toxic", "cast(id % 3 > 0 AS int) AS quality")
+    h = labels.withColumn("h", F.xxhash64("doc_id"))
+    far = h.where((F.pmod(F.xxhash64(F.lit("shard"), "h"), F.lit(5)) > 0) & (F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000)) > 250_000))
+    others = labels.join(far.select("doc_id", F.lit(True).alias("far")), "doc_id", "left").selectExpr(
+        "doc_id", "if(far, 1 - toxic, toxic) AS toxic", "if(far, 1 - quality, quality) AS quality")
+    assert common.fitting_rows(docs, labels, "toxic", "doc_id", "text").count() == 1_200
+    for module, label in ((toxicity, "toxic"), (quality, "quality")):
+        model, other = module.train(docs, labels, label, bound=250), module.train(docs, others, label, bound=250)
+        p, q = (np.array([r.score for r in toxicity.score(docs, m).orderBy("doc_id").collect()]) for m in (model, other))
+        truth = np.array([r[label] for r in labels.orderBy("doc_id").collect()])
+        assert ((p >= 0.5) == truth).mean() > 0.99 and np.abs(p - q).max() > 0.01
+
+
 def test_score_replaces_a_column_of_its_name(spark):
     docs = spark.createDataFrame([("a", "own", 1)], "text string, score string, n int")
     got = toxicity.score(docs, toxicity.Model(np.zeros(0, np.int64), np.zeros(0), 0.0)).collect()
