@@ -18,6 +18,11 @@ SITE = "https://site.example"
 PAGE_ROWS = 50
 
 
+def _dealt(df, key: str):
+    """Rows of a narrow table over all cores, before pages many times their size are rendered from them: a file of a few MB is one task."""
+    return df.repartition(max(1, 2 * df.sparkSession.sparkContext.defaultParallelism), key)
+
+
 def _paged(df, per_page: int, key: str, row: str, order: str, *also: str):
     """Rows of a page joined in order. A page has at most ``per_page`` rows, so the lists stay small."""
     page = F.floor(F.col(key) / per_page).cast("bigint").alias("page_id")
@@ -291,7 +296,7 @@ def _nested_news(spark, d):
 
 
 def _basic_info(spark, d):
-    p = adapters.table(spark, d, "part")
+    p = _dealt(adapters.table(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_retailprice", "p_size", "p_brand"), "p_partkey")
     key = F.col("p_partkey")
 
     def t(*parts):
@@ -317,7 +322,7 @@ def _basic_info(spark, d):
 
 
 def _handbook(spark, d):
-    p = adapters.table(spark, d, "part")
+    p = _dealt(adapters.table(spark, d, "part").select("p_partkey", "p_name", "p_type"), "p_partkey")
     key = F.col("p_partkey")
     markets = F.array(*[F.lit(m) for m in (*R.TARGET_MARKETS, "ETF・ETN")])
     dds = F.concat(*[F.concat(F.lit(f"<dt>{label}</dt><dd>"), (key % (k + 2)).cast("string"), F.lit("</dd>")) for k, label in enumerate(R.SCORE_LABELS.values())])

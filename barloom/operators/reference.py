@@ -103,9 +103,10 @@ def basic_info(pages: DataFrame, run_date: str) -> DataFrame:
         "_credit": first(first(html, _CREDIT), _BODY),
     }
     cut = pages.select("code", *[c.alias(n) for n, c in blocks.items()])
-    ratios = _cells_of_row(first(F.col("_ratios"), _BODY), 0)
-    credit_row = at(every(F.col("_credit"), _ROW), 0)
-    credit = every(credit_row, _CELL)
+    # Cells that several fields are made of are cut once, in selects of their own.
+    cut = cut.withColumns({"_ratio_cells": _cells_of_row(first(F.col("_ratios"), _BODY), 0), "_credit_row": at(every(F.col("_credit"), _ROW), 0)})
+    cut = cut.withColumn("_credit_cells", every(F.col("_credit_row"), _CELL))
+    ratios, credit_row, credit = F.col("_ratio_cells"), F.col("_credit_row"), F.col("_credit_cells")
     raw = {
         "short_name": without_span_tags(F.col("_name")),
         "name": strip_tags(F.col("_company")),

@@ -86,3 +86,12 @@ def test_no_cross_joins(spark, name):
         pytest.skip("runs when called")
     text = plan(catalog.queries()[name](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_rendered_part_pages_are_dealt_over_tasks(spark, tmp_path):
+    """A small file of parts is one task; the pages made from it, many times its size, are not."""
+    rows = "id AS p_partkey, 'n' AS p_name, 't' AS p_type, 9.5D AS p_retailprice, 3 AS p_size, 'Brand#11' AS p_brand"
+    spark.range(500).selectExpr(*rows.split(", ")).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    for name in ("extract_basic_info", "extract_handbook"):
+        found = catalog.queries()[name](spark, str(tmp_path)).select("code", F.spark_partition_id().alias("task")).collect()
+        assert len({r.code for r in found}) == 500 and len({r.task for r in found}) > 4
