@@ -5,7 +5,8 @@ from __future__ import annotations
 import html
 import re
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -16,15 +17,14 @@ _SEP = "\x01"
 _ENTITY = re.compile(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
 
 
-@F.pandas_udf(StringType())
-def html_unescape(s: pd.Series) -> pd.Series:
-    """Decode character references; texts without an ampersand pass through untouched."""
-    hit = s.str.contains("&", regex=False).fillna(False).astype(bool)
-    if not hit.any():
+@F.arrow_udf(StringType())
+def html_unescape(s: pa.Array) -> pa.Array:
+    """Decode character references; texts without an ampersand pass through untouched and never become Python objects."""
+    hit = pc.fill_null(pc.match_substring(s, "&"), False)
+    if not pc.any(hit).as_py():
         return s
-    out = s.copy()
-    out[hit] = s[hit].map(lambda t: _ENTITY.sub(lambda m: html.unescape(m.group(0)), t))
-    return out
+    done = [_ENTITY.sub(lambda m: html.unescape(m.group(0)), t) for t in s.filter(hit).to_pylist()]
+    return pc.replace_with_mask(s, hit, pa.array(done, s.type))
 
 
 def strip_tags(s: Column) -> Column:

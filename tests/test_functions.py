@@ -165,3 +165,14 @@ def test_absolute_link(spark):
     assert one(spark, "a", lambda c: text.absolute_link(c, "https://s")) == "a"
     assert one(spark, "a", lambda c: text.absolute_link(c, "https://s", True)) == "https://s/a"
     assert one(spark, "HTTP://x/a", lambda c: text.absolute_link(c, "https://s", True)) == "HTTP://x/a"
+
+
+def test_references_are_decoded_on_arrow_arrays():
+    """A batch without a reference is handed on as it is; of others only the texts with one become Python objects."""
+    import pyarrow as pa
+
+    from barloom.functions import text
+
+    plain = pa.array(["a", None, ""], pa.string())
+    assert text.html_unescape.func(plain) is plain
+    assert text.html_unescape.func(pa.array(["a &amp; b", None, "&x", "c"])).to_pylist() == ["a & b", None, "&x", "c"]
