@@ -48,6 +48,28 @@ def test_a_hot_key_adds_one_row(spark):
     assert 1_500 < len(rows) < 2_500 and len({(r.h, r.y) for r in rows}) == len(rows)
 
 
+def test_few_rows_without_a_label_are_shuffled(spark):
+    from barloom.llm import common
+
+    rows = spark.range(20_000).selectExpr("id - 10000 AS k", "'a text' AS t").unionByName(spark.createDataFrame([(5, "b"), (None, "c")], "k long, t string"))
+    given = spark.range(0, 20_000, 40).selectExpr("id - 10000 AS k", "1.0D AS y").unionByName(spark.createDataFrame([(40, 0.0), (99_999, 1.0)], "k long, y double"))
+    likely = common._likely(rows, given)
+    assert 500 <= likely.count() < 600 and likely.join(given, "k", "left_semi").count() == 500
+    other = given.selectExpr("cast(k AS int) AS k", "y")
+    assert common._likely(rows, other).join(other, "k", "left_semi").count() == 500
+    none = common._likely(rows, given.limit(0))
+    assert none.columns == ["k", "t"] and none.count() == 0
+
+
+def test_coded_places_come_back_in_half_the_bytes():
+    rng = np.random.default_rng(0)
+    texts = [np.unique(rng.integers(0, 1 << toxicity.BITS, n)) for n in (0, 1, 900, 0, 3, 0)] + [np.array([0, 1, (1 << toxicity.BITS) - 1])]
+    low, high = toxicity.coded(np.concatenate(texts), np.cumsum([0, *map(len, texts)]))
+    for text, a, b in zip(texts, low.to_pylist(), high.to_pylist()):
+        assert toxicity.places(a, b).tolist() == text.tolist() and len(a) == 2 * len(text)
+    assert not any(high[2].as_py()[1:])
+
+
 def test_models_learn_from_all_labels(spark):
     """With several learners the classes are told apart, and labels far from any sample of the size of one learner's rows change the model."""
     from barloom.llm import common
