@@ -91,14 +91,13 @@ def hyperlink_cell(url: Column, text: Column, fallback: Column) -> Column:
 
 
 def absolute_link(href: Column, prefix: str, force_slash: bool = False) -> Column:
-    """Prefix site-relative links.
+    """Prefix site-relative links. ``href`` stands in the expression once, as it is mostly a pattern over a whole block.
 
     ``force_slash`` also prefixes links that start with neither a scheme nor a slash.
     """
     if force_slash:
-        rooted = F.when(href.startswith("/"), href).otherwise(F.concat(F.lit("/"), href))
-        return F.when(href.rlike("(?i)^https?://"), href).otherwise(F.concat(F.lit(prefix), rooted))
-    return F.when(href.startswith("/"), F.concat(F.lit(prefix), href)).otherwise(href)
+        href = F.regexp_replace(href, r"(?i)\A(?!https?://|/)", "/")
+    return F.regexp_replace(href, r"\A(?=/)", re.sub(r"([\\$])", r"\\\1", prefix))
 
 
 def short_id(time_text: Column, title: Column) -> Column:

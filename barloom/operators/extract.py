@@ -118,7 +118,7 @@ def extract_all(pages: DataFrame, rules: tuple[Rule, ...], html: str = "html") -
     picked = reduce(lambda e, kr: F.when(F.col("k") == kr[0], raw(kr[1])).otherwise(e), enumerate(rules), F.lit(None))
     rows = cut.select(*others, "k", "row", picked.alias("_v")).select(*others, "k", "row", "_v.*")
     kept = [f"(k = {k} AND {r.keep.replace('_raw_', '')})" for k, r in enumerate(rules)]
-    rows = rows.filter(" OR ".join(kept))
+    rows = _only(rows, " OR ".join(kept))
     decoded = sorted({n for r in rules for n in r.texts})
     done = rows.withColumn("_texts", clean_many([F.col(n) for n in decoded]))
     by_text = {
@@ -161,12 +161,21 @@ def _by_nesting(page: Column, found: Column, name: str, cls: str | None, outer:
     return F.when(inner, elements(F.when(inner, page), name, cls, outer)).otherwise(found)
 
 
+def _only(rows: DataFrame, keep: str) -> DataFrame:
+    """Rows that pass ``keep``, each of its columns made once.
+
+    A plain filter would move below the projection that makes the columns, and all their patterns would run a second time in it.
+    """
+    return rows.select("*", F.explode(F.when(F.expr(keep), F.array(F.lit(True)))).alias("_kept")).drop("_kept")
+
+
 def _columns(cut: DataFrame, others: list[str], rule: Rule) -> DataFrame:
     if rule.cells:
         cut = cut.withColumn("_td", _cell_array(F.col("_block"), rule))
     block = F.col("_block")
     made = {name: make(block) for name, make in rule.columns.items()}
-    out = cut.select(*others, "row", *[c.alias(n) for n, c in made.items()], *_raw_texts(rule, block)).filter(rule.keep)
+    out = cut.select(*others, "row", *[c.alias(n) for n, c in made.items()], *_raw_texts(rule, block))
+    out = out if rule.keep == "true" else _only(out, rule.keep)
     if rule.texts:
         done = clean_many([F.col(f"_raw_{n}") for n in rule.texts])
         out = out.select(*others, "row", *made, done.alias("_texts"))

@@ -165,6 +165,9 @@ def test_absolute_link(spark):
     assert one(spark, "a", lambda c: text.absolute_link(c, "https://s")) == "a"
     assert one(spark, "a", lambda c: text.absolute_link(c, "https://s", True)) == "https://s/a"
     assert one(spark, "HTTP://x/a", lambda c: text.absolute_link(c, "https://s", True)) == "HTTP://x/a"
+    assert one(spark, "", lambda c: text.absolute_link(c, "https://s", True)) == "https://s/"
+    assert one(spark, "", lambda c: text.absolute_link(c, "https://s")) == ""
+    assert one(spark, "/a/b", lambda c: text.absolute_link(c, "https://s/$1\\2")) == "https://s/$1\\2/a/b"
 
 
 def test_references_are_decoded_on_arrow_arrays():

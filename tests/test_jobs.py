@@ -301,3 +301,12 @@ def test_page_quality_limits(spark):
     got = {r["page_id"]: r for r in extract.page_quality(spark.createDataFrame(rows, "page_id int, html string")).collect()}
     assert [got[k]["list_ok"] for k in range(1, 6)] == [True, False, False, False, False]
     assert got[5]["basic_ok"] and got[5]["stock_rows"] == 49 and got[5]["morning_ok"]
+
+
+def test_kept_rows_are_cut_once(spark):
+    """No filter with the patterns of the columns stands below them, where they would run again."""
+    pages = spark.createDataFrame([(1, "")], "page_id int, html string")
+    news_rule = extract.news_rule("a", "(?s)<p>(.*?)</p>", extract.HREF, extract.ANCHOR, "https://s", timed=False)
+    for rows in (extract.extract(pages, extract.DISCLOSURES), extract.extract(pages, news_rule), extract.extract_all(pages, (news_rule, news_rule))):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "Filter" not in plan and rows.count() == 0
