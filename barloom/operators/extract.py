@@ -546,14 +546,17 @@ STOCK_LINK = r'<td class="tac">\s*<a href="/stock/\?code=([0-9A-Z]{4})">'
 NEWS_DIV = r'<div class="news">'
 TIMED_ROW = r"(?s)<tr[^>]*>.*?<time[^>]*>.*?</time>.*?</tr>"
 STAMPED_ROW = r'(?s)<tr[^>]*>.*?<time[^>]*datetime="[^"]+".*?</tr>'
+#: A page up to the end of the last row of that kind; behind it every start of a row would be followed to the end of the page in vain.
+TO_LAST_TIMED = r"(?s)\A.*<time[^>]*>.*?</time>.*?</tr>"
+TO_LAST_STAMPED = r'(?s)\A.*<time[^>]*datetime="[^"]+".*?</tr>'
 
 
 def page_quality(pages: DataFrame) -> DataFrame:
     """Completeness of every stored page: size, frame, busy text, and the counts each page kind needs."""
     html = F.col("html")
 
-    def count(pattern: str) -> Column:
-        return F.regexp_count(html, F.lit(pattern))
+    def count(pattern: str, part: Column = html) -> Column:
+        return F.regexp_count(part, F.lit(pattern))
 
     flags = {
         "long_enough": F.length(html) >= MIN_PAGE_CHARS,
@@ -565,8 +568,8 @@ def page_quality(pages: DataFrame) -> DataFrame:
         "stock_rows": count(STOCK_CELL),
         "stock_links": count(STOCK_LINK),
         "news_blocks": count(NEWS_DIV),
-        "timed_rows": count(TIMED_ROW),
-        "stamped_rows": count(STAMPED_ROW),
+        "timed_rows": count(TIMED_ROW, F.regexp_extract(html, TO_LAST_TIMED, 0)),
+        "stamped_rows": count(STAMPED_ROW, F.regexp_extract(html, TO_LAST_STAMPED, 0)),
     }
     out = pages.select(
         *[c for c in pages.columns if c != "html"],

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -303,6 +304,20 @@ def test_page_quality_limits(spark):
     assert got[5]["basic_ok"] and got[5]["stock_rows"] == 49 and got[5]["morning_ok"]
 
 
+def test_rows_behind_the_last_time_are_not_followed_to_the_end(spark):
+    """Counts as by the row patterns alone, also on a page whose many rows behind the last time each made the pattern read the rest of it."""
+    row, stamped = "<tr><td>a</td></tr>", '<tr><time datetime="2002-01-01">x</time></tr>'
+    odd = ["", stamped, stamped + row, f"{row}\n{stamped}{row}{stamped}", "<tr><time>x</time>", "<tr><time>x</tr><tr></time></tr>" + row, '<tr><time datetime="">x</time></tr>',
+           '<tr><time datetime="a></tr><time datetime="b"></tr>' + row, f"{stamped}<time>y</time></tr>{stamped[:-5]}", None]
+    pages = spark.createDataFrame(list(enumerate(odd)), "page_id int, html string")
+    plain = {n: F.coalesce(F.regexp_count("html", F.lit(p)), F.lit(0)).alias(n) for n, p in (("timed_rows", extract.TIMED_ROW), ("stamped_rows", extract.STAMPED_ROW))}
+    assert extract.page_quality(pages).select("page_id", *plain).orderBy("page_id").collect() == pages.select("page_id", *plain.values()).orderBy("page_id").collect()
+    long = spark.createDataFrame([(1, stamped)], "page_id int, html string").withColumn("html", F.concat("html", F.repeat(F.lit(row), 60_000)))
+    begin = time.time()
+    got = extract.page_quality(long).first()
+    assert (got.timed_rows, got.stamped_rows) == (1, 1) and time.time() - begin < 20
+
+
 def test_kept_rows_are_cut_once(spark):
     """No filter with the patterns of the columns stands below them, where they would run again."""
     pages = spark.createDataFrame([(1, "")], "page_id int, html string")
