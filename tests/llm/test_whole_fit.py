@@ -71,6 +71,31 @@ def test_windows_of_texts_in_tiles(monkeypatch):
     assert np.abs(np.array(found[0]) - np.array(found[1])).max() < 1e-6
 
 
+def test_every_place_of_an_item_in_a_text(monkeypatch):
+    """An item is found word for word at every place, also if one of its words outweighs all others."""
+    for length in (20, 21, 31, 47, 64, 65, 130):
+        places = d.long_windows(length)
+        assert {x % d.STEP for x in places} == set(range(d.STEP)) and min(places) == 0 and max(places) <= length - d.WINDOW
+        assert np.diff(places).max() <= d.WINDOW + d.STEP
+        words = [f"w{k}" for k in range(length)]
+        for heavy in (0, 15, 16, length - 1):
+            idf = np.ones(d.TERMS)
+            keys = next(d.tokens.words(pa.array([" ".join(words)]), d._NOT_WORD)).key
+            idf[d.terms(keys[heavy : heavy + 1])] = 50
+            items = d.Items([1], pa.array([" ".join(words)]), idf, np.random.default_rng(5).normal(size=(d.TERMS, 48)))
+            texts = pa.array([" ".join([f"x{k}" for k in range(m)] + words + ["y"] * 30) for m in range(24)])
+            assert [x[:3] for x in items.find(texts)] == [(m, 0, 1.0) for m in range(24)]
+
+
+def test_texts_of_words():
+    rng = np.random.default_rng(6)
+    for _ in range(50):
+        data = rng.choice(np.frombuffer(b"ab  .", np.uint8), 60)
+        offsets = np.concatenate(([0], np.sort(rng.integers(0, 61, 8)), [60]))
+        start, _, text = d.tokens.spans(data, offsets)
+        assert text.tolist() == (np.searchsorted(offsets, start, "right") - 1).tolist()
+
+
 def test_fitted_on_all_documents(spark):
     """Over 20,000 documents that share no word: the terms of every one have their part in the latent space, and no others."""
     docs = spark.range(24_000).selectExpr("id AS doc_id", "concat('x', id, ' y', id) AS text")
@@ -80,3 +105,18 @@ def test_fitted_on_all_documents(spark):
         used[d.terms(w.key)] = True
     size = np.abs(fitted.basis).max(1)
     assert 0 < (~used).sum() and ((size > 1e-9 * size.max()) == used).all()
+
+
+def test_pipeline_leaves_no_text_out_of_a_fit(spark, tmp_path, monkeypatch):
+    """Over 20,000 documents: decontamination is fitted on every text that reaches it, classifiers on every labelled row."""
+    import corpus_pipeline
+    from barloom.llm import common
+
+    docs = spark.range(24_000).selectExpr("id AS doc_id", "concat('x', id, ' y', id) AS text")
+    spark.createDataFrame([(1, "an item")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    fitted, range_pass = [], d.range_pass
+    monkeypatch.setattr(d, "range_pass", lambda texts, *rest: fitted.append(texts.agg({"n": "sum"}).first()[0]) or range_pass(texts, *rest))
+    assert corpus_pipeline.without_benchmark(spark, docs, str(tmp_path)).count() == 24_000
+    assert fitted == [24_000, 24_000] and not hasattr(common, "sampled")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS quality")
+    assert common.fitting_rows(docs, labels, "quality", "doc_id", "text").count() == 24_000
